@@ -73,7 +73,7 @@ def hourly_trends(fact: DataFrame, as_of, days: int = 7) -> DataFrame:
     start = ts_lit(as_of) - F.expr(f"INTERVAL {int(days)} DAY")
     return (fact.where(since("event_timestamp", as_of, days, "DAY")
                        & (F.col("event_date") >= F.to_date(start)))
-            .groupBy(F.date_trunc("HOUR", "event_timestamp").alias("hour_bucket"),
+            .groupBy(F.date_trunc("HOUR", "event_timestamp").cast("timestamp_ntz").alias("hour_bucket"),
                      "content_type", "event_type")
             .agg(F.count(F.lit(1)).alias("event_count"),
                  F.count_distinct("user_id").alias("unique_users"),

@@ -7,14 +7,14 @@ Sessions (gap ``g``: a new session starts when the gap to the previous event of
 content exceeds ``g``) are computed without sorting all events of a content in one task,
 which a hot content id would turn into one huge task:
 
-1. Events are aggregated per (content_id, cell) with ``cell = floor(ts / g)``. All events
+1. Event bounds are aggregated per (content_id, cell) with ``cell = floor(ts / g)``. All events
    in one cell are less than ``g`` apart, so a cell never splits a session. This is a
    hash aggregation with partial aggregation: skew-proof.
 2. Cells per content are bounded by the time span / g (not by event volume); sessions are
    found over cells with ``lag`` + running sum (gaps and islands).
-3. Per-session measures are folded from the cell partials; the exact distinct user count
-   joins the (content_id, cell, user_id) distinct rows to the cell->session map, then
-   counts per session with partial aggregation.
+3. Events aggregated at the (content_id, cell, user_id) grain are joined to the
+   cell->session map and folded per session (counts, seconds, exact distinct users),
+   again with partial aggregation.
 
 The result equals Spark's streaming ``session_window`` semantics: events exactly ``g``
 apart stay in one session; ``session_end = last event + g``.
@@ -53,10 +53,9 @@ def sessions(enriched: DataFrame, gap_minutes: int = 15, key: str = "content_id"
                          _micros("event_ts").alias("_us"))
     ev = ev.withColumn("_cell", F.expr(f"(_us - pmod(_us, {gap})) div {gap}"))
 
-    # 1. cell partials (partial aggregation before the shuffle)
+    # 1. cell bounds (partial aggregation before the shuffle)
     cells = (ev.groupBy(key, "_cell")
-             .agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
-                  F.count(F.lit(1)).alias("_n"), F.sum("engagement_seconds").alias("_es")))
+             .agg(F.min("_us").alias("_first"), F.max("_us").alias("_last")))
 
     # 2. gaps and islands over cells (bounded per key by time span / gap)
     w = Window.partitionBy(key).orderBy("_cell")
@@ -65,19 +64,20 @@ def sessions(enriched: DataFrame, gap_minutes: int = 15, key: str = "content_id"
     cells = cells.withColumn("_sid", F.sum("_brk").over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     # session identity = its first event time (unique per key)
-    sess_w = Window.partitionBy(key, "_sid")
-    cells = cells.withColumn("_start", F.min("_first").over(sess_w)).drop("_brk", "_sid")
-
-    # 3a. additive measures from the cells
-    per_session = (cells.groupBy(key, "_start")
+    cell_map = cells.select(key, "_cell", F.min("_first").over(
+        Window.partitionBy(key, "_sid")).alias("_start"))
+
+    # 3. all measures from the (key, cell, user) grain mapped to sessions: one join, one
+    #    aggregation; the distinct user count needs no second pass over the events
+    grain = (ev.groupBy(key, "_cell", "user_id")
+             .agg(F.max("_us").alias("_last"), F.count(F.lit(1)).alias("_n"),
+                  F.sum("engagement_seconds").alias("_es")))
+    per_session = (grain.join(cell_map, [key, "_cell"], "inner")
+                   .groupBy(key, "_start")
                    .agg(F.max("_last").alias("_end"), F.sum("_n").alias("total_events"),
+                        F.count_distinct("user_id").alias("unique_users"),
                         F.sum("_es").alias("_es")))
-    # 3b. exact distinct users: distinct (key, cell, user) rows mapped to sessions
-    cell_map = cells.select(key, "_cell", "_start")
-    users = (ev.select(key, "_cell", "user_id").distinct()
-             .join(cell_map, [key, "_cell"], "inner")
-             .groupBy(key, "_start").agg(F.count_distinct("user_id").alias("unique_users")))
-    return (per_session.join(users, [key, "_start"], "inner")
+    return (per_session
             .select(key,
                     F.timestamp_micros("_start").cast("timestamp_ntz").alias("session_start"),
                     F.timestamp_micros(F.col("_end") + F.lit(gap)).cast("timestamp_ntz")
