@@ -48,6 +48,9 @@ def process_batch(batch: DataFrame, batch_id: int, content, sinks: Sinks, strict
     """Validate, enrich and fan out one batch; returns its metrics (also written)."""
     t0 = time.time()
     spark = batch.sparkSession
+    if batch.isEmpty():  # nothing arrived: leave every sink as it is
+        return {"batch_id": int(batch_id), "input_rows": 0, "rejected_rows": 0,
+                "processed_rows": 0, "duration_sec": round(time.time() - t0, 3)}
     if dict(batch.dtypes).get("event_ts") == "timestamp":
         batch = batch.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
     tagged = en.tag(batch, _content(content), strict=strict, known_small=known_small)
