@@ -147,3 +147,12 @@ def error_rate_alerts(tagged: DataFrame, minutes: int = 5, threshold: float = 0.
             .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                     F.col("w.end").cast("timestamp_ntz").alias("window_end"),
                     "total_events", "rejected_events", "error_rate"))
+
+
+def page(df: DataFrame, order_by: list[Column | str], size: int, number: int = 0) -> DataFrame:
+    """One page of an ordered result (``ORDER BY ... LIMIT size OFFSET size*number``).
+
+    The order must include a unique key for pages to be stable; for scans over a range use
+    a filter (``half_open``) rather than deep offsets, which sort everything before them.
+    """
+    return df.orderBy(*order_by).offset(int(size) * int(number)).limit(int(size))

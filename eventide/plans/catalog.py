@@ -21,10 +21,26 @@ from eventide.plans import params as P
 from eventide.sources import fixtures as fx
 
 _dim_small: dict[str, bool] = {}
+_frames: dict[tuple, DataFrame] = {}
+
+
+def _memo(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Source frames are immutable plans: build each once per session and input folder
+    (saves the file listing and footer reads of repeated ``spark.read`` calls)."""
+    key = (id(spark), sf_dir, name)
+    if key not in _frames:
+        _frames[key] = build()
+    return _frames[key]
+
+
+def _events(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
+    if dense:
+        return _memo(spark, sf_dir, "dense", lambda: fx.load_dense_events(spark, sf_dir))
+    return _memo(spark, sf_dir, "events", lambda: fx.load_events(spark, sf_dir))
 
 
 def _content(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
-    content = fx.load_content(spark, sf_dir)
+    content = _memo(spark, sf_dir, "content", lambda: fx.load_content(spark, sf_dir))
     if sf_dir not in _dim_small:
         _dim_small[sf_dir] = fits_broadcast(content)
     return content, _dim_small[sf_dir]
@@ -33,13 +49,14 @@ def _content(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
 def _enriched(spark: SparkSession, sf_dir: str, dense: bool = False, strict: bool = True
               ) -> DataFrame:
     content, small = _content(spark, sf_dir)
-    events = fx.load_dense_events(spark, sf_dir) if dense else fx.load_events(spark, sf_dir)
-    return en.enrich(events, content, strict=strict, known_small=small)[0]
+    return _memo(spark, sf_dir, f"enriched-{dense}-{strict}", lambda: en.enrich(
+        _events(spark, sf_dir, dense), content, strict=strict, known_small=small)[0])
 
 
 def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     content, small = _content(spark, sf_dir)
-    return en.tag(fx.load_events(spark, sf_dir), content, known_small=small)
+    return _memo(spark, sf_dir, "tagged",
+                 lambda: en.tag(_events(spark, sf_dir), content, known_small=small))
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,14 +69,14 @@ def q_enriched(spark, sf_dir):
 
 def q_quarantine(spark, sf_dir):
     content, small = _content(spark, sf_dir)
-    events = fx.load_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     bad = en.enrich(events, content, known_small=small)[1]
     return bad.withColumn("reasons", validate.reasons_text())
 
 
 def q_enriched_view(spark, sf_dir):
     content, small = _content(spark, sf_dir)
-    return en.enriched_view(fx.load_events(spark, sf_dir), content, known_small=small)
+    return en.enriched_view(_events(spark, sf_dir), content, known_small=small)
 
 
 def q_top_content(spark, sf_dir):
@@ -123,11 +140,11 @@ def q_hourly_trends(spark, sf_dir):
 
 
 def q_window_stats(spark, sf_dir):
-    return marts.window_stats(fx.load_events(spark, sf_dir), P.AS_OF, 60)
+    return marts.window_stats(_events(spark, sf_dir), P.AS_OF, 60)
 
 
 def q_freshness(spark, sf_dir):
-    return marts.freshness(fx.load_events(spark, sf_dir), P.AS_OF, P.FRESHNESS_MINUTES)
+    return marts.freshness(_events(spark, sf_dir), P.AS_OF, P.FRESHNESS_MINUTES)
 
 
 def q_today_count(spark, sf_dir):
@@ -135,11 +152,11 @@ def q_today_count(spark, sf_dir):
 
 
 def q_event_count(spark, sf_dir):
-    return marts.row_count(fx.load_events(spark, sf_dir))
+    return marts.row_count(_events(spark, sf_dir))
 
 
 def q_overview(spark, sf_dir):
-    return marts.overview(fx.load_events(spark, sf_dir), _enriched(spark, sf_dir), P.AS_OF,
+    return marts.overview(_events(spark, sf_dir), _enriched(spark, sf_dir), P.AS_OF,
                           P.OVERVIEW_TOP, P.OVERVIEW_SHOW)
 
 
@@ -176,19 +193,19 @@ def q_sessions(spark, sf_dir):
 def q_backfill(spark, sf_dir):
     from eventide.streaming.backfill import backfill_frame
     content, small = _content(spark, sf_dir)
-    return backfill_frame(fx.load_events(spark, sf_dir), content, P.BACKFILL_START,
+    return backfill_frame(_events(spark, sf_dir), content, P.BACKFILL_START,
                           P.BACKFILL_END, known_small=small)
 
 
 def q_payload_fields(spark, sf_dir):
-    ev = fx.load_events(spark, sf_dir)
+    ev = _events(spark, sf_dir)
     return proj.with_payload_fields(ev.select("id", "raw_payload")).select(
         "id", F.get_json_object("raw_payload", "$.k").alias("k"), "session_id", "ip_address",
         "user_agent", "referrer", "screen_resolution")
 
 
 def q_dedup_events(spark, sf_dir):
-    return realtime.latest_per_key(fx.load_events(spark, sf_dir), "id", ["event_ts", "content_id"])
+    return realtime.latest_per_key(_events(spark, sf_dir), "id", ["event_ts", "content_id"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

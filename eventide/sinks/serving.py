@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions import engagement as fx
 from eventide.operators import projections as proj
-from eventide.operators.joins import maybe_broadcast
+from eventide.operators.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 from eventide.sinks import fs
 
 T_SUM = "decimal(38,2)"
@@ -63,12 +63,27 @@ class ServingStore:
         return self.spark.read.parquet(f"{self.path}/{name}/v={version}")
 
     # ---- write one batch ------------------------------------------------------------
-    def write_batch(self, enriched: DataFrame, batch_id: int) -> None:
+    def write_batch(self, enriched: DataFrame, batch_id: int, batch_rows: int | None = None
+                    ) -> None:
+        """Merge one batch into version ``batch_id`` and commit it.
+
+        ``batch_rows`` (when the caller counted the batch) bounds the batch's distinct
+        pairs, so the broadcast decision needs no extra count.
+        """
+        from eventide.streaming.pipeline import _run_concurrently
+
         base = self.base_version(batch_id)
-        stats = self._merge_stats(enriched, batch_id, base)
-        stats.write.mode("overwrite").parquet(f"{self.path}/content_stats/v={batch_id}")
-        recent = self._merge_recent(enriched, base)
-        recent.write.mode("overwrite").parquet(f"{self.path}/recent_events/v={batch_id}")
+        small = None if batch_rows is None else batch_rows <= DEFAULT_BROADCAST_ROWS
+
+        def stats() -> None:
+            (self._merge_stats(enriched, batch_id, base, small)
+             .write.mode("overwrite").parquet(f"{self.path}/content_stats/v={batch_id}"))
+
+        def recent() -> None:
+            (self._merge_recent(enriched, base)
+             .write.mode("overwrite").parquet(f"{self.path}/recent_events/v={batch_id}"))
+
+        _run_concurrently([stats, recent], self.spark)
         fs.touch(self.spark, f"{self.path}/_commits/{batch_id}")
 
     def _batch_stats(self, enriched: DataFrame) -> DataFrame:
@@ -89,14 +104,16 @@ class ServingStore:
         return (enriched.groupBy("content_id").agg(*aggs)
                 .select("content_id", "_m.slug", "_m.title", "_m.content_type", *measures))
 
-    def _new_users(self, enriched: DataFrame, batch_id: int) -> DataFrame:
+    def _new_users(self, enriched: DataFrame, batch_id: int, small: bool | None = None
+                   ) -> DataFrame:
         """Exact mode: (content_id, new distinct users) and the batch's new pairs."""
         pairs = enriched.select("content_id", "user_id").distinct()
         hist_path = f"{self.path}/user_pairs"
         if fs.exists(self.spark, hist_path):
             hist = (self.spark.read.option("basePath", hist_path).parquet(hist_path)
                     .where(F.col("batch_id") < batch_id).select("content_id", "user_id"))
-            seen = hist.join(maybe_broadcast(pairs), ["content_id", "user_id"], "left_semi")
+            seen = hist.join(maybe_broadcast(pairs, known_small=small), ["content_id", "user_id"],
+                             "left_semi")
             fresh = pairs.join(seen, ["content_id", "user_id"], "left_anti")
         else:
             fresh = pairs
@@ -109,10 +126,11 @@ class ServingStore:
         written = self.spark.read.parquet(own)
         return written.groupBy("content_id").agg(F.count(F.lit(1)).alias("new_users"))
 
-    def _merge_stats(self, enriched: DataFrame, batch_id: int, base: int | None) -> DataFrame:
+    def _merge_stats(self, enriched: DataFrame, batch_id: int, base: int | None,
+                     small: bool | None = None) -> DataFrame:
         cur = self._batch_stats(enriched)
         if self.distinct == "exact":
-            cur = (cur.join(self._new_users(enriched, batch_id), "content_id", "left")
+            cur = (cur.join(self._new_users(enriched, batch_id, small), "content_id", "left")
                    .withColumn("unique_users", F.coalesce("new_users", F.lit(0)).cast("long"))
                    .drop("new_users"))
         prev = self._read("content_stats", base)

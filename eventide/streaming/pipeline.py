@@ -43,14 +43,37 @@ def _content(content) -> DataFrame:
     return content() if callable(content) else content
 
 
+def _run_concurrently(tasks: list[Callable[[], None]], session: SparkSession | None = None
+                      ) -> None:
+    """Run independent sink writes as concurrent Spark jobs from driver threads.
+
+    The batch is persisted, so the writers share one computation; wall time is the
+    slowest sink instead of the sum. Local properties (job group, scheduler pool) are
+    inherited by the threads. The first failure is raised, so the micro-batch fails and
+    is replayed rather than half-written sinks being committed silently.
+    """
+    if len(tasks) <= 1:
+        for t in tasks:
+            t()
+        return
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.util import inheritable_thread_target
+
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        wrap = inheritable_thread_target(session) if session is not None else inheritable_thread_target
+        futures = [pool.submit(wrap(t)) for t in tasks]
+        errors = [f.exception() for f in futures]
+    for e in errors:
+        if e is not None:
+            raise e
+
+
 def process_batch(batch: DataFrame, batch_id: int, content, sinks: Sinks, strict: bool = True,
                   known_small: bool | None = None) -> dict:
     """Validate, enrich and fan out one batch; returns its metrics (also written)."""
     t0 = time.time()
     spark = batch.sparkSession
-    if batch.isEmpty():  # nothing arrived: leave every sink as it is
-        return {"batch_id": int(batch_id), "input_rows": 0, "rejected_rows": 0,
-                "processed_rows": 0, "duration_sec": round(time.time() - t0, 3)}
     if dict(batch.dtypes).get("event_ts") == "timestamp":
         batch = batch.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
     tagged = en.tag(batch, _content(content), strict=strict, known_small=known_small)
@@ -58,29 +81,38 @@ def process_batch(batch: DataFrame, batch_id: int, content, sinks: Sinks, strict
         tagged = tagged.withColumn(REASONS, F.array_distinct(F.concat("_parse_reasons", REASONS)))
     tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        enriched = tagged.where(F.size(REASONS) == 0).select(*ENRICHED_COLUMNS)
-        rejects = tagged.where(F.size(REASONS) > 0).select(*EVENT.fieldNames(), REASONS)
+        # one job: materialises the persisted batch and counts it
         counts = tagged.agg(F.count(F.lit(1)).alias("n"),
                             F.count_if(F.size(REASONS) > 0).alias("rejected")).first()
-        if sinks.quarantine:
+        n, rejected = int(counts["n"]), int(counts["rejected"])
+        metrics = {"batch_id": int(batch_id), "input_rows": n, "rejected_rows": rejected,
+                   "processed_rows": n - rejected, "duration_sec": 0.0}
+        if n == 0:  # nothing arrived: leave every sink as it is
+            return metrics
+        enriched = tagged.where(F.size(REASONS) == 0).select(*ENRICHED_COLUMNS)
+        rejects = tagged.where(F.size(REASONS) > 0).select(*EVENT.fieldNames(), REASONS)
+        tasks: list[Callable[[], None]] = []
+        if sinks.quarantine and rejected:
             from eventide.sinks.quarantine import write_rejects
-            write_rejects(rejects, sinks.quarantine, batch_id)
-        if sinks.warehouse:
+            tasks.append(lambda: write_rejects(rejects, sinks.quarantine, batch_id))
+        if sinks.warehouse and n > rejected:
             from eventide.sinks.warehouse import write_fact
-            write_fact(enriched, sinks.warehouse, batch_id)
-        if sinks.serving is not None:
-            sinks.serving.write_batch(enriched, batch_id)
-        if sinks.delivery_client is not None:
+            tasks.append(lambda: write_fact(enriched, sinks.warehouse, batch_id))
+        if sinks.serving is not None and n > rejected:
+            tasks.append(lambda: sinks.serving.write_batch(enriched, batch_id,
+                                                           batch_rows=n - rejected))
+        if sinks.delivery_client is not None and n > rejected:
             from eventide.sinks.delivery import deliver, write_results
-            results = deliver(enriched, sinks.delivery_client, **sinks.delivery_options)
-            if sinks.delivery_results:
-                write_results(results, sinks.delivery_results, batch_id)
-            else:
-                results.write.format("noop").mode("overwrite").save()
-        metrics = {"batch_id": int(batch_id), "input_rows": int(counts["n"]),
-                   "rejected_rows": int(counts["rejected"]),
-                   "processed_rows": int(counts["n"] - counts["rejected"]),
-                   "duration_sec": round(time.time() - t0, 3)}
+
+            def delivery() -> None:
+                results = deliver(enriched, sinks.delivery_client, **sinks.delivery_options)
+                if sinks.delivery_results:
+                    write_results(results, sinks.delivery_results, batch_id)
+                else:
+                    results.write.format("noop").mode("overwrite").save()
+            tasks.append(delivery)
+        _run_concurrently(tasks, spark)
+        metrics["duration_sec"] = round(time.time() - t0, 3)
         if sinks.metrics:
             (spark.createDataFrame([metrics])
              .write.mode("overwrite").parquet(f"{sinks.metrics}/batch_id={int(batch_id)}"))
