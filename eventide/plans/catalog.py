@@ -213,6 +213,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _add_stream_queries() -> None:
+    from eventide.plans.stream_checks import STREAM_QUERIES
+    QUERIES.update(STREAM_QUERIES)
+
+
+_add_stream_queries()
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_top_content(spark, sf_dir)
 

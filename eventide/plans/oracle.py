@@ -333,6 +333,10 @@ SELECT id, json_extract_string(raw_payload, '$.k') AS k,
        json_extract_string(raw_payload, '$.referrer') AS referrer,
        json_extract_string(raw_payload, '$.screen_resolution') AS screen_resolution
 FROM engagement_events""")
+    q["stream_fact"] = _with(*_std(FACT), body="SELECT * FROM fact")
+    from eventide.plans.stream_checks import ORACLE_TWIN
+    for name, twin in ORACLE_TWIN.items():
+        q[name] = q[twin]
     q["dedup_events"] = _with(CONTENT, EVENTS, body="""
 SELECT * FROM engagement_events
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_ts DESC, content_id DESC) = 1""")
