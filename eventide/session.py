@@ -12,13 +12,22 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on. Values are defaults only: anything already set on the
-# session (cluster config, spark-submit --conf) is left alone.
+# Settings every job relies on. They apply unless the launch configuration (cluster
+# config, spark-submit --conf) names the key itself.
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Broadcast only sizes that are proven: no broadcast from planner estimates; explicit
+    # hints come after a bounded count (operators.joins), and AQE may still broadcast a
+    # side whose shuffle output it has measured at run time.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # Streaming session windows: merge sessions inside each partition before the shuffle
+    # (pre-aggregation for hot keys).
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Partial (map-side) window group limit before the shuffle for top-N-per-key.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -58,13 +67,14 @@ def get_session(master: str | None = None, app_name: str = "eventide",
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Set runtime SQL defaults only where the session leaves them unset."""
+    """Set the runtime SQL defaults the library relies on.
+
+    A key named in the launch configuration wins (the cluster knows better), except the
+    session time zone: results are defined in UTC and another zone would shift dates.
+    """
+    launch = spark.sparkContext.getConf()
     for k, v in _DEFAULTS.items():
-        if k == "spark.sql.session.timeZone":
-            # Results are defined in UTC; a session in another zone would shift dates.
-            spark.conf.set(k, v)
-            continue
-        if spark.conf.get(k, None) is None:
+        if k == "spark.sql.session.timeZone" or not launch.contains(k):
             spark.conf.set(k, v)
 
 
