@@ -145,7 +145,11 @@ def run_stream(spark: SparkSession, stream: DataFrame, content, sinks: Sinks,
     def fn(df: DataFrame, batch_id: int) -> None:
         process_batch(df, batch_id, content, sinks, strict=strict, known_small=small)
 
-    w = (prepare_stream(stream, watermark, dedup).writeStream
+    observed = stream.observe(
+        "ingest", F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("id").isNull()).alias("rows_without_id"),
+        F.max("event_ts").alias("max_event_ts"))
+    w = (prepare_stream(observed, watermark, dedup).writeStream
          .foreachBatch(fn)
          .option("checkpointLocation", ckpt)
          .trigger(**(trigger or {"processingTime": "1 second"})))
@@ -184,3 +188,28 @@ def processing_metrics(spark: SparkSession, path: str, last: int = 1000) -> Data
         F.sum("rejected_rows").alias("errors"),
         (F.sum("rejected_rows") / F.greatest(F.sum("input_rows"), F.lit(1))).alias("error_rate"),
         F.avg("duration_sec").alias("avg_batch_seconds"))
+
+
+def progress_metrics(query: StreamingQuery, latency_limit_ms: int = 5000,
+                     backlog_limit: int = 1000) -> dict:
+    """A16/A17 from the last ``StreamingQueryProgress``: latency, rates, observed counts and
+    threshold flags (batch latency above ``latency_limit_ms``; more than ``backlog_limit``
+    rows read in one trigger means the query is catching up on a backlog)."""
+    p = query.lastProgress
+    if not p:
+        return {}
+    latency = p.durationMs.get("triggerExecution", 0)
+    observed = (p.observedMetrics or {}).get("ingest")
+    out = {
+        "batch_id": p.batchId,
+        "input_rows": p.numInputRows,
+        "input_rows_per_sec": p.inputRowsPerSecond,
+        "processed_rows_per_sec": p.processedRowsPerSecond,
+        "latency_ms": latency,
+        "watermark": (p.eventTime or {}).get("watermark"),
+        "rows_without_id": observed["rows_without_id"] if observed else None,
+        "max_event_ts": observed["max_event_ts"] if observed else None,
+    }
+    out["latency_alert"] = latency > latency_limit_ms
+    out["backlog_alert"] = p.numInputRows > backlog_limit
+    return out

@@ -83,3 +83,17 @@ def test_batched_delivery_falls_back(spark, tmp_path):
                   batch_url="http://x/batch", min_wait=0, max_wait=0)
     st = delivery_stats(res).first()
     assert (st.sent_count, st.error_count) == (7, 0)
+
+
+def test_progress_metrics(spark, tmp_path):
+    from eventide.streaming.pipeline import Sinks, file_events, progress_metrics, run_stream
+    ev = fx.load_events(spark, SF)
+    src = str(tmp_path / "src")
+    ev.coalesce(1).write.parquet(src)
+    q = run_stream(spark, file_events(spark, src), fx.load_content(spark, SF), Sinks(),
+                   checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True})
+    q.awaitTermination()
+    first = [p for p in q.recentProgress if p.numInputRows > 0][0]
+    assert first.observedMetrics["ingest"]["rows"] == ev.count()
+    m = progress_metrics(q)
+    assert {"latency_ms", "latency_alert", "backlog_alert"} <= set(m)
