@@ -52,13 +52,24 @@ def event_rules(strict: bool = True) -> list[tuple[str, Column]]:
     return rules
 
 
+def violated(rules: list[tuple[str, Column]]) -> Column:
+    """True when any rule is violated (plain boolean logic, fully code-generated)."""
+    out = F.lit(False)
+    for _, cond in rules:
+        out = out | F.coalesce(cond, F.lit(False))
+    return out
+
+
 def reasons_column(rules: list[tuple[str, Column]]) -> Column:
     """Array of the violated reason codes (empty when the row is valid).
 
     Rules are written null-safe; a rule that still evaluates to NULL is not a violation.
+    The array is only built for rows that violate something: valid rows (the bulk) take
+    the cheap boolean branch.
     """
     flags = [F.when(F.coalesce(cond, F.lit(False)), F.lit(code)) for code, cond in rules]
-    return F.filter(F.array(*flags), lambda x: x.isNotNull())
+    return F.when(violated(rules), F.array_compact(F.array(*flags))).otherwise(
+        F.array().cast("array<string>"))
 
 
 def with_reasons(df: DataFrame, strict: bool = True) -> DataFrame:

@@ -27,19 +27,24 @@ PARTS = 4
 _runs: dict[tuple, str] = {}
 
 
-def write_time_ordered(df: DataFrame, path: str, parts: int = PARTS, ts: str = "event_ts") -> None:
+def write_time_ordered(df: DataFrame, path: str, parts: int = PARTS, ts: str = "event_ts",
+                       files_per_part: int | None = None) -> int:
     """Write ``parts`` appends in event-time order, as a producer would deliver them.
 
-    Each append is a range filter pushed to the scan; the file stream source then sees the
-    files in modification-time order, so the watermark never drops an on-time event.
+    Each append is a range filter pushed to the scan, written as ``files_per_part`` files
+    (default: the session's parallelism); the file stream source sees the appends in
+    modification-time order, so the watermark never drops an on-time event. Returns
+    ``files_per_part`` (use it as ``maxFilesPerTrigger`` for one slice per micro-batch).
     """
+    k = files_per_part or df.sparkSession.sparkContext.defaultParallelism
     b = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     lo = F.lit(b.lo).cast("timestamp_ntz")
     span = F.unix_micros(F.lit(b.hi).cast("timestamp")) - F.unix_micros(lo.cast("timestamp")) + 1
     part = F.floor((F.unix_micros(F.col(ts).cast("timestamp"))
                     - F.unix_micros(lo.cast("timestamp"))) * parts / span)
     for i in range(parts):
-        df.where(part == i).write.mode("append").parquet(path)
+        df.where(part == i).repartition(k).write.mode("append").parquet(path)
+    return k
 
 
 def _root(spark: SparkSession, label: str) -> str:
@@ -52,13 +57,13 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> str:
     if key in _runs:
         return _runs[key]
     root = _root(spark, "pipeline")
-    write_time_ordered(fx.load_events(spark, sf_dir), f"{root}/source")
+    k = write_time_ordered(fx.load_events(spark, sf_dir), f"{root}/source")
     sinks = Sinks(warehouse=f"{root}/fact", quarantine=f"{root}/quarantine",
                   serving=ServingStore(spark, f"{root}/serving", history=1000),
                   metrics=f"{root}/metrics")
-    q = run_stream(spark, file_events(spark, f"{root}/source", max_files_per_trigger=1),
+    q = run_stream(spark, file_events(spark, f"{root}/source", max_files_per_trigger=k),
                    fx.load_content(spark, sf_dir), sinks, checkpoint=f"{root}/checkpoint",
-                   trigger={"availableNow": True}, watermark="1 day")
+                   trigger={"availableNow": True}, watermark="1 day", dedup=True)
     q.awaitTermination()
     _runs[key] = root
     return root
@@ -100,9 +105,9 @@ def _stateful_run(spark: SparkSession, sf_dir: str, label: str, build) -> DataFr
     key = (id(spark), sf_dir, label)
     if key not in _runs:
         root = _root(spark, label)
-        write_time_ordered(fx.load_dense_events(spark, sf_dir), f"{root}/source")
+        k = write_time_ordered(fx.load_dense_events(spark, sf_dir), f"{root}/source")
         content = fx.load_content(spark, sf_dir)
-        events = file_events(spark, f"{root}/source", max_files_per_trigger=1)
+        events = file_events(spark, f"{root}/source", max_files_per_trigger=k)
         enriched = enrich(events, content)[0]
         out = f"{root}/out"
 

@@ -128,55 +128,44 @@ class ServingStore:
 
     def _merge_stats(self, enriched: DataFrame, batch_id: int, base: int | None,
                      small: bool | None = None) -> DataFrame:
-        cur = self._batch_stats(enriched)
+        """Merge by re-aggregation: previous rows, the batch's partial rows and the batch's
+        new-user counts are stacked and folded per content in one aggregation (no joins)."""
+        parts = [self._batch_stats(enriched)]
         if self.distinct == "exact":
-            cur = (cur.join(self._new_users(enriched, batch_id, small), "content_id", "left")
-                   .withColumn("unique_users", F.coalesce("new_users", F.lit(0)).cast("long"))
-                   .drop("new_users"))
+            parts.append(self._new_users(enriched, batch_id, small)
+                         .withColumnRenamed("new_users", "unique_users"))
         prev = self._read("content_stats", base)
-        if prev is None:
-            merged = cur
+        if prev is not None:
+            parts.insert(0, prev)
+        stacked = parts[0]
+        for extra in parts[1:]:
+            stacked = stacked.unionByName(extra, allowMissingColumns=True)
+        aggs = [F.max_by(F.struct("slug", "title", "content_type"), "last_updated").alias("_m"),
+                F.coalesce(F.sum("total_events"), F.lit(0)).cast("long").alias("total_events"),
+                F.sum("score").cast(T_SCORE_SUM).alias("score"),
+                F.sum("es_sum").cast(T_SUM).alias("es_sum"),
+                F.sum("pct_sum").cast(T_SUM).alias("pct_sum"),
+                F.coalesce(F.sum("pct_count"), F.lit(0)).cast("long").alias("pct_count"),
+                F.max("last_updated").alias("last_updated")]
+        if self.distinct == "exact":
+            aggs.append(F.coalesce(F.sum("unique_users"), F.lit(0)).cast("long")
+                        .alias("unique_users"))
         else:
-            p, c = prev.alias("p"), cur.alias("c")
-            j = p.join(c, F.col("p.content_id") == F.col("c.content_id"), "full_outer")
-
-            def add(name):
-                return (F.coalesce(F.col(f"p.{name}"), F.lit(0))
-                        + F.coalesce(F.col(f"c.{name}"), F.lit(0)))
-
-            def dec_add(name, t):
-                return F.when(F.col(f"p.{name}").isNull(), F.col(f"c.{name}")).when(
-                    F.col(f"c.{name}").isNull(), F.col(f"p.{name}")).otherwise(
-                    (F.col(f"p.{name}") + F.col(f"c.{name}")).cast(t))
-            newer = F.col("c.content_id").isNotNull() & (
-                F.col("p.last_updated").isNull() | (F.col("c.last_updated") >= F.col("p.last_updated")))
-            cols = [F.coalesce("c.content_id", "p.content_id").alias("content_id")]
-            cols += [F.when(newer, F.col(f"c.{m}")).otherwise(F.col(f"p.{m}")).alias(m)
-                     for m in ("slug", "title", "content_type")]
-            cols += [add("total_events").cast("long").alias("total_events"),
-                     dec_add("score", T_SCORE_SUM).alias("score"),
-                     dec_add("es_sum", T_SUM).alias("es_sum"),
-                     dec_add("pct_sum", T_SUM).alias("pct_sum"),
-                     add("pct_count").cast("long").alias("pct_count"),
-                     F.greatest("p.last_updated", "c.last_updated").alias("last_updated")]
-            if self.distinct == "exact":
-                cols.append(add("unique_users").cast("long").alias("unique_users"))
-            else:
-                cols.append(F.when(F.col("p.users_sketch").isNull(), F.col("c.users_sketch"))
-                            .when(F.col("c.users_sketch").isNull(), F.col("p.users_sketch"))
-                            .otherwise(F.hll_union("p.users_sketch", "c.users_sketch"))
-                            .alias("users_sketch"))
-            merged = j.select(*cols)
-        return merged
+            aggs.append(F.hll_union_agg("users_sketch").alias("users_sketch"))
+        users = "unique_users" if self.distinct == "exact" else "users_sketch"
+        return (stacked.groupBy("content_id").agg(*aggs)
+                .select("content_id", "_m.slug", "_m.title", "_m.content_type", "total_events",
+                        "score", "es_sum", "pct_sum", "pct_count", "last_updated", users))
 
     def _merge_recent(self, enriched: DataFrame, base: int | None) -> DataFrame:
         cur = proj.to_recent_event(enriched)
         prev = self._read("recent_events", base)
         allr = cur if prev is None else prev.unionByName(cur)
-        # one row per event id (a replayed event replaces itself), then newest N per key
-        w_id = Window.partitionBy("event_id").orderBy(F.desc("event_ts"))
-        allr = allr.withColumn("_r", F.row_number().over(w_id)).where("_r = 1").drop("_r")
+        # newest first per content; an event id seen twice (re-sent) sits next to itself
+        # in this order, so one shuffle on content_id both de-duplicates and ranks
         w = Window.partitionBy("content_id").orderBy(F.desc("event_ts"), F.desc("event_id"))
+        allr = (allr.withColumn("_prev", F.lag("event_id").over(w))
+                .where(F.coalesce(F.col("_prev") != F.col("event_id"), F.lit(True))).drop("_prev"))
         return (allr.withColumn("_rn", F.row_number().over(w))
                 .where(F.col("_rn") <= self.history).drop("_rn"))
 
