@@ -117,13 +117,10 @@ class ServingStore:
             fresh = pairs.join(seen, ["content_id", "user_id"], "left_anti")
         else:
             fresh = pairs
-        (fresh.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(hist_path))
+        # the batch's own partition folder, replaced as a whole on replay
         own = f"{hist_path}/batch_id={int(batch_id)}"
-        if not fs.exists(self.spark, own):  # no new pair in this batch
-            return self.spark.createDataFrame([], "content_id string, new_users long")
-        written = self.spark.read.parquet(own)
+        fresh.write.mode("overwrite").parquet(own)
+        written = self.spark.read.schema("content_id string, user_id string").parquet(own)
         return written.groupBy("content_id").agg(F.count(F.lit(1)).alias("new_users"))
 
     def _merge_stats(self, enriched: DataFrame, batch_id: int, base: int | None,
