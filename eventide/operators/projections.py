@@ -115,10 +115,15 @@ def to_event_record(enriched: DataFrame) -> DataFrame:
     )
 
 
+# JSON timestamps keep microseconds (Spark's default JSON format stops at milliseconds).
+JSON_TIME_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def to_change_row(events: DataFrame) -> DataFrame:
     """Change-feed record ``to_json(row)`` keyed by content id (for a Kafka sink)."""
     return events.select(F.col("content_id").cast("string").alias("key"),
-                         F.to_json(F.struct(*events.columns)).alias("value"))
+                         F.to_json(F.struct(*events.columns), JSON_TIME_OPTIONS).alias("value"))
 
 
 def with_payload_fields(df: DataFrame, payload: str = "raw_payload") -> DataFrame:

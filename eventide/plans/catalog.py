@@ -204,6 +204,14 @@ def q_payload_fields(spark, sf_dir):
         "user_agent", "referrer", "screen_resolution")
 
 
+def q_raw_json_valid(spark, sf_dir):
+    """V1: events serialised as JSON documents (as on a message bus) and parsed back with the
+    string-typed schema + ``try_cast``; the valid rows must be the typed events that pass
+    V2-V5."""
+    docs = proj.to_change_row(_events(spark, sf_dir))
+    return validate.validate_raw(docs, "value")[0]
+
+
 def q_dedup_events(spark, sf_dir):
     return realtime.latest_per_key(_events(spark, sf_dir), "id", ["event_ts", "content_id"])
 

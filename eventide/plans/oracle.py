@@ -334,6 +334,9 @@ SELECT id, json_extract_string(raw_payload, '$.k') AS k,
        json_extract_string(raw_payload, '$.screen_resolution') AS screen_resolution
 FROM engagement_events""")
     q["stream_fact"] = _with(*_std(FACT), body="SELECT * FROM fact")
+    conds = " OR ".join(f"({c})" for _, c in _rules(True))
+    q["raw_json_valid"] = _with(CONTENT, EVENTS, body=f"""
+SELECT * FROM engagement_events e WHERE NOT ({conds})""")
     from eventide.plans.stream_checks import ORACLE_TWIN
     for name, twin in ORACLE_TWIN.items():
         q[name] = q[twin]
