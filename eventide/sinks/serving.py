@@ -106,7 +106,8 @@ class ServingStore:
 
     def _new_users(self, enriched: DataFrame, batch_id: int, small: bool | None = None
                    ) -> DataFrame:
-        """Exact mode: (content_id, new distinct users) and the batch's new pairs."""
+        """Exact mode: write the batch's first-seen (content, user) pairs to its own history
+        folder and return them as ``(content_id, new_users=1)`` rows."""
         pairs = enriched.select("content_id", "user_id").distinct()
         hist_path = f"{self.path}/user_pairs"
         if fs.exists(self.spark, hist_path):
@@ -121,7 +122,8 @@ class ServingStore:
         own = f"{hist_path}/batch_id={int(batch_id)}"
         fresh.write.mode("overwrite").parquet(own)
         written = self.spark.read.schema("content_id string, user_id string").parquet(own)
-        return written.groupBy("content_id").agg(F.count(F.lit(1)).alias("new_users"))
+        # one row per first-seen pair; the merge aggregation sums them per content
+        return written.select("content_id", F.lit(1).cast("long").alias("new_users"))
 
     def _merge_stats(self, enriched: DataFrame, batch_id: int, base: int | None,
                      small: bool | None = None) -> DataFrame:

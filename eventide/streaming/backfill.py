@@ -14,14 +14,17 @@ from eventide.operators import enrich as en
 
 
 def backfill_frame(events: DataFrame, content: DataFrame, start, end, strict: bool = False,
-                   known_small: bool | None = None) -> DataFrame:
+                   known_small: bool | None = None, ordered: bool = False) -> DataFrame:
     """Enriched rows of ``[start, end)``.
 
     ``strict=False`` (default) applies only the checks the historical path applies
     (required fields and a content match), not the live event-type/duration rules.
+    ``ordered=True`` (T4) sorts by (event_ts, id) — a range-partitioned global sort, only
+    for consumers that need replay order; aggregations and sinks do not.
     """
     ranged = events.where(half_open("event_ts", start, end))
-    return en.enrich(ranged, content, strict=strict, known_small=known_small)[0]
+    out = en.enrich(ranged, content, strict=strict, known_small=known_small)[0]
+    return out.orderBy("event_ts", "id") if ordered else out
 
 
 def backfill(events: DataFrame, content: DataFrame, start, end, sinks, batch_id: int,

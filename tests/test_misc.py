@@ -97,3 +97,21 @@ def test_progress_metrics(spark, tmp_path):
     assert first.observedMetrics["ingest"]["rows"] == ev.count()
     m = progress_metrics(q)
     assert {"latency_ms", "latency_alert", "backlog_alert"} <= set(m)
+
+
+def test_warehouse_record_schema(spark):
+    from eventide.operators.projections import to_warehouse_record
+    from eventide.schemas import WAREHOUSE
+    enriched, _ = enrich(fx.load_events(spark, SF), fx.load_content(spark, SF))
+    rec = to_warehouse_record(enriched)
+    assert [(f.name, f.dataType) for f in rec.schema.fields] == [
+        (f.name, f.dataType) for f in WAREHOUSE.fields]
+
+
+def test_backfill_ordered(spark):
+    from eventide.streaming.backfill import backfill_frame
+    ev, content = fx.load_events(spark, SF), fx.load_content(spark, SF)
+    rows = backfill_frame(ev, content, "2024-01-10", "2024-01-12", ordered=True).collect()
+    keys = [(r.event_ts, r.id) for r in rows]
+    assert keys == sorted(keys) and all(
+        dt_ >= __import__("datetime").datetime(2024, 1, 10) for dt_, _ in keys)
