@@ -229,6 +229,15 @@ def _add_stream_queries() -> None:
 _add_stream_queries()
 
 
+def as_reported(df: DataFrame) -> DataFrame:
+    """Registered outputs report exact DECIMAL values as DOUBLE (one final cast of the exact
+    value), so result comparisons do not depend on how a client renders decimals."""
+    from pyspark.sql.types import DecimalType
+    return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_top_content(spark, sf_dir)
 

@@ -343,9 +343,16 @@ SELECT * FROM engagement_events e WHERE NOT ({conds})""")
     q["dedup_events"] = _with(CONTENT, EVENTS, body="""
 SELECT * FROM engagement_events
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_ts DESC, content_id DESC) = 1""")
+    # exact DECIMAL outputs are reported as DOUBLE (same single cast on both sides)
+    for name in DECIMAL_OUTPUTS:
+        q[name] = (f"SELECT * REPLACE (CAST(engagement_seconds AS DOUBLE) AS engagement_seconds, "
+                   f"CAST(engagement_pct AS DOUBLE) AS engagement_pct) FROM ({q[name]})")
     return q
 
 
+DECIMAL_OUTPUTS = ("enriched", "enriched_view", "anomaly_flags", "backfill", "stream_fact")
+
+
 def _quality_body() -> str:
     from eventide.operators.quality import EVENT_REASONS
     sums = ",\n       ".join(
