@@ -33,8 +33,36 @@ def _micros(col: str):
 
 
 def sliding_counts(enriched: DataFrame, size_minutes: int = 10, slide_minutes: int = 1,
-                   key: str = "content_id") -> DataFrame:
-    """ST3: events and distinct users per key and sliding event-time window."""
+                   key: str = "content_id", distinct: str = "exact") -> DataFrame:
+    """ST3: events and distinct users per key and sliding event-time window.
+
+    ``exact``: ``F.window`` expands each event into size/slide windows before a partial
+    aggregation on (key, window, user); the shuffle grows with size/slide x distinct
+    (key, window, user). ``sketch``: one partial row per (key, slide-wide pane) with an HLL
+    sketch of its users; panes are expanded into windows and sketches merged, so the
+    shuffle grows with panes, not events (approximate distinct counts, exact totals).
+    """
+    if distinct == "sketch":
+        if size_minutes % slide_minutes:
+            raise ValueError("sketch mode needs a window size that is a multiple of the slide")
+        slide = int(slide_minutes) * 60 * 1_000_000
+        us = F.unix_micros(F.col("event_ts").cast("timestamp"))
+        panes = (enriched.withColumn("_pane", us - F.pmod(us, F.lit(slide)))
+                 .groupBy(key, "_pane")
+                 .agg(F.count(F.lit(1)).alias("_n"), F.sum(fx.content_score()).alias("_s"),
+                      F.hll_sketch_agg("user_id").alias("_u")))
+        k = F.explode(F.sequence(F.lit(0), F.lit(size_minutes // slide_minutes - 1))).alias("_k")
+        win = (panes.select(key, "_n", "_s", "_u", "_pane", k)
+               .withColumn("_start", F.col("_pane") - F.col("_k") * F.lit(slide)))
+        return (win.groupBy(key, "_start")
+                .agg(F.sum("_n").alias("total_events"),
+                     F.hll_sketch_estimate(F.hll_union_agg("_u")).alias("unique_users"),
+                     F.sum("_s").cast("double").alias("score"))
+                .select(key,
+                        F.timestamp_micros("_start").cast("timestamp_ntz").alias("window_start"),
+                        F.timestamp_micros(F.col("_start") + F.lit(size_minutes * 60_000_000))
+                        .cast("timestamp_ntz").alias("window_end"),
+                        "total_events", "unique_users", "score"))
     w = F.window(F.col("event_ts").cast("timestamp"), f"{size_minutes} minutes",
                  f"{slide_minutes} minutes")
     return (enriched.groupBy(key, w.alias("w"))

@@ -363,7 +363,7 @@ def _quality_body() -> str:
 
     def dup(src: str, key: str, name: str) -> str:
         return (f"SELECT '{name}' AS check_name, "
-                f"CAST(coalesce(sum(CASE WHEN n > 1 THEN n - 1 ELSE 0 END), 0) AS BIGINT) AS violations, "
+                f"CAST(coalesce(sum(CASE WHEN {key} IS NOT NULL AND n > 1 THEN n - 1 ELSE 0 END), 0) AS BIGINT) AS violations, "
                 f"CAST(coalesce(sum(n), 0) AS BIGINT) AS total "
                 f"FROM (SELECT {key}, count(*) AS n FROM {src} GROUP BY {key})")
     return f""", reason_totals AS (

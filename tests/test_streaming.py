@@ -232,3 +232,16 @@ def test_backfill_through_sinks(spark, data, tmp_path):
     fact = read_fact(spark, f"{root}/fact")
     assert fact.count() == exp.count()
     assert _rows(fact.select("event_id")) == _rows(exp.select(F.col("id").alias("event_id")))
+
+
+def test_sliding_sketch_mode_matches_exact_totals(spark):
+    content = fx.load_content(spark, SF)
+    dense, _ = enrich(fx.load_dense_events(spark, SF), content)
+    exact = {(r.content_id, r.window_start): r for r in windows.sliding_counts(dense).collect()}
+    sketch = {(r.content_id, r.window_start): r
+              for r in windows.sliding_counts(dense, distinct="sketch").collect()}
+    assert exact.keys() == sketch.keys()
+    for k, e in exact.items():
+        s = sketch[k]
+        assert (s.total_events, s.score, s.window_end) == (e.total_events, e.score, e.window_end)
+        assert abs(s.unique_users - e.unique_users) <= max(1, 0.05 * e.unique_users)
