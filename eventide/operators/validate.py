@@ -87,19 +87,23 @@ def split_valid(df: DataFrame, strict: bool = True) -> tuple[DataFrame, DataFram
 def parse_raw_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """V1: JSON strings to typed events plus parse reasons.
 
-    Fields are read as strings and converted with ``try_cast``: ``"12"`` is accepted as
-    12 while ``12.5`` or ``"x"`` become a reason rather than a silent NULL. A field that
-    is present but does not convert is reported; a missing field is treated as NULL.
+    Fields are read as strings (``json_tuple``: one parse per document, and as a generator
+    it is a plan barrier, so later filters cannot re-inline the parse per field) and
+    converted with ``try_cast``: ``"12"`` is accepted as 12 while ``12.5`` or ``"x"``
+    become a reason rather than a silent NULL. A field that is present but does not
+    convert is reported; a missing field or a malformed document gives NULL fields.
     """
     from eventide.schemas import RAW_EVENT_JSON
 
-    parsed = raw.select(F.from_json(F.col(value_col), RAW_EVENT_JSON).alias("e"),
+    names = RAW_EVENT_JSON.fieldNames()
+    raw_names = [f"_j_{n}" for n in names]
+    parsed = raw.select(F.json_tuple(F.col(value_col), *names).alias(*raw_names),
                         F.col(value_col).alias("_raw"))
-    e = lambda n: F.col(f"e.{n}")
-    id_ = F.expr("try_cast(e.id AS BIGINT)")
-    dur = F.expr("try_cast(e.duration_ms AS INT)")
-    ts = F.expr("try_to_timestamp(e.event_ts)").cast("timestamp_ntz")
-    payload_ok = e("raw_payload").isNull() | F.expr("try_parse_json(e.raw_payload)").isNotNull()
+    e = lambda n: F.col(f"_j_{n}")
+    id_ = F.expr("try_cast(_j_id AS BIGINT)")
+    dur = F.expr("try_cast(_j_duration_ms AS INT)")
+    ts = F.expr("try_to_timestamp(_j_event_ts)").cast("timestamp_ntz")
+    payload_ok = e("raw_payload").isNull() | F.expr("try_parse_json(_j_raw_payload)").isNotNull()
     parse_rules = [
         (R_BAD_ID, e("id").isNotNull() & id_.isNull()),
         (R_BAD_TS, e("event_ts").isNotNull() & ts.isNull()),
