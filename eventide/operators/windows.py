@@ -85,15 +85,15 @@ def sessions(enriched: DataFrame, gap_minutes: int = 15, key: str = "content_id"
     cells = (ev.groupBy(key, "_cell")
              .agg(F.min("_us").alias("_first"), F.max("_us").alias("_last")))
 
-    # 2. gaps and islands over cells (bounded per key by time span / gap)
+    # 2. gaps and islands over cells (bounded per key by time span / gap); one window spec,
+    #    so one shuffle: a session starts at a cell whose gap to the previous cell exceeds g,
+    #    and every cell carries the start of the latest session start at or before it
     w = Window.partitionBy(key).orderBy("_cell")
-    brk = F.when(F.col("_first") - F.lag("_last").over(w) > gap, 1).otherwise(0)
-    cells = cells.withColumn("_brk", brk)
-    cells = cells.withColumn("_sid", F.sum("_brk").over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    # session identity = its first event time (unique per key)
-    cell_map = cells.select(key, "_cell", F.min("_first").over(
-        Window.partitionBy(key, "_sid")).alias("_start"))
+    prev_last = F.lag("_last").over(w)
+    starts = F.when(prev_last.isNull() | (F.col("_first") - prev_last > gap), F.col("_first"))
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cell_map = (cells.withColumn("_s", starts)
+                .select(key, "_cell", F.last("_s", ignorenulls=True).over(running).alias("_start")))
 
     # 3. all measures from the (key, cell, user) grain mapped to sessions: one join, one
     #    aggregation; the distinct user count needs no second pass over the events
