@@ -245,3 +245,33 @@ def test_sliding_sketch_mode_matches_exact_totals(spark):
         s = sketch[k]
         assert (s.total_events, s.score, s.window_end) == (e.total_events, e.score, e.window_end)
         assert abs(s.unique_users - e.unique_users) <= max(1, 0.05 * e.unique_users)
+
+
+def test_hot_key_results_whole(spark):
+    """One content holds a third of all events: operators stay exact (no capping)."""
+    import random
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    hot = "11111111-1111-4111-8111-000000000001"
+    rows = []
+    for i in range(3000):
+        cid = hot if i % 3 == 0 else f"11111111-1111-4111-8111-{rnd.randint(2, 60):012d}"
+        ts = base + dt.timedelta(seconds=rnd.randint(0, 6 * 3600))
+        rows.append((i, cid, f"u{rnd.randint(0, 300)}", rnd.choice(["play", "pause", "finish"]), ts,
+                     rnd.randint(0, 60000)))
+    df = spark.createDataFrame(rows, "id long, content_id string, user_id string, event_type string, "
+                                     "event_ts timestamp_ntz, duration_ms int")
+    df = (df.withColumn("engagement_seconds", (F.col("duration_ms") / 1000).cast("decimal(18,2)"))
+          .withColumn("engagement_pct", F.lit(None).cast("decimal(18,2)")).withColumn("device", F.lit("ios"))
+          .withColumn("slug", F.col("content_id")).withColumn("title", F.col("content_id"))
+          .withColumn("content_type", F.lit("video")).withColumn("length_seconds", F.lit(None).cast("int"))
+          .withColumn("raw_payload", F.lit(None).cast("string")))
+    hot_rows = [r for r in rows if r[1] == hot]
+    stats = {r.content_id: r for r in realtime.content_stats(df).collect()}
+    assert stats[hot].total_events == len(hot_rows) == 1000
+    assert stats[hot].unique_users == len({r[2] for r in hot_rows})
+    recent = realtime.recent_events(df, 50).where(F.col("content_id") == hot).collect()
+    newest = sorted(hot_rows, key=lambda r: (r[4], r[0]), reverse=True)[:50]
+    assert [r.event_id for r in sorted(recent, key=lambda r: r.position)] == [r[0] for r in newest]
+    sess = windows.sessions(df, 15).where(F.col("content_id") == hot).collect()
+    assert sum(r.total_events for r in sess) == 1000
