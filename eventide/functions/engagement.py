@@ -86,3 +86,13 @@ def payload_field(key: str, payload="raw_payload") -> Column:
 
 def payload_fields(payload="raw_payload") -> list[Column]:
     return [payload_field(k, payload).alias(k) for k in PAYLOAD_KEYS]
+
+
+def payload_variant(payload="raw_payload") -> Column:
+    """The payload as VARIANT (malformed JSON becomes NULL), for typed field access."""
+    return F.try_parse_json(_c(payload))
+
+
+def payload_variant_field(key: str, type_: str = "string", payload="raw_payload") -> Column:
+    """One typed field of the payload through VARIANT (NULL when absent or of another type)."""
+    return F.try_variant_get(payload_variant(payload), f"$.{key}", type_)

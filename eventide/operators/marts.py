@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.time import date_lit, dates_between, since, trailing, ts_lit
+from eventide.functions.time import dates_between, since, ts_lit
 
 
 def _avg(col: str) -> Column:

@@ -189,11 +189,21 @@ class ServingStore:
         return (self.content_stats(version).where(F.col("score") > 0)
                 .orderBy(F.desc("score"), F.desc("content_id")).limit(k))
 
-    def recent_events(self, n: int = 50, version: int | None = None) -> DataFrame:
-        """Newest ``n`` events per content."""
+    def recent_events(self, n: int = 50, version: int | None = None, as_of=None,
+                      ttl_minutes: int | None = None) -> DataFrame:
+        """Newest ``n`` events per content.
+
+        With ``as_of`` and ``ttl_minutes`` (ST6: the history expires an hour after the
+        content's last event) only contents active within the TTL keep a history.
+        """
         v = self.latest() if version is None else version
         r = self._read("recent_events", v)
         w = Window.partitionBy("content_id").orderBy(F.desc("event_ts"), F.desc("event_id"))
-        return (r.withColumn("position", F.row_number().over(w)).where(F.col("position") <= n)
-                .drop("event_ts"))
+        r = r.withColumn("position", F.row_number().over(w))
+        if as_of is not None and ttl_minutes is not None:
+            from eventide.functions.time import ts_lit
+            cutoff = ts_lit(as_of) - F.expr(f"INTERVAL {int(ttl_minutes)} MINUTE")
+            r = (r.withColumn("_last", F.max("event_ts").over(Window.partitionBy("content_id")))
+                 .where(F.col("_last") > cutoff).drop("_last"))
+        return r.where(F.col("position") <= n).drop("event_ts")
 

@@ -140,3 +140,10 @@ def test_payload_fields(spark):
     df = spark.createDataFrame([('{"session_id": "a", "referrer": null}',)], "raw_payload string")
     r = df.select(*fx.payload_fields()).first()
     assert r.session_id == "a" and r.referrer is None and r.ip_address is None
+
+
+def test_payload_variant(spark):
+    df = spark.createDataFrame([('{"k": 69, "session_id": "s"}',), ("{broken",)], "raw_payload string")
+    got = df.select(fx.payload_variant_field("k", "int").alias("k"),
+                    fx.payload_variant_field("session_id").alias("s")).collect()
+    assert [(r.k, r.s) for r in got] == [(69, "s"), (None, None)]

@@ -275,3 +275,13 @@ def test_hot_key_results_whole(spark):
     assert [r.event_id for r in sorted(recent, key=lambda r: r.position)] == [r[0] for r in newest]
     sess = windows.sessions(df, 15).where(F.col("content_id") == hot).collect()
     assert sum(r.total_events for r in sess) == 1000
+
+
+def test_serving_history_ttl(spark, data, streamed):
+    _, sinks = streamed
+    _, _, enriched, _ = data
+    as_of, ttl = "2024-01-31 00:00:00", 3 * 24 * 60
+    got = sinks.serving.recent_events(50, as_of=as_of, ttl_minutes=ttl)
+    exp = realtime.recent_events(enriched, 50, as_of=as_of, ttl_minutes=ttl)
+    assert 0 < got.count() < sinks.serving.recent_events(50).count()
+    assert _rows(got) == _rows(exp)
