@@ -162,8 +162,11 @@ def run_stream(spark: SparkSession, stream: DataFrame, content, sinks: Sinks,
     """Start the pipeline; ``trigger`` e.g. ``{"processingTime": "1 second"}`` (default)
     or ``{"availableNow": True}`` for catch-up/backfill runs."""
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/{query_name or 'engagement-pipeline'}"
-    # a fixed catalogue is checked once; one re-read per batch (callable) is checked per batch
+    # a fixed catalogue is checked once (and, being provably small, kept in memory for the
+    # per-batch broadcast); one re-read per batch (callable) is checked per batch
     small = None if callable(content) else fits_broadcast(content)
+    if small:
+        content = content.persist()
 
     def fn(df: DataFrame, batch_id: int) -> None:
         process_batch(df, batch_id, content, sinks, strict=strict, known_small=small)
