@@ -110,9 +110,8 @@ class ServingStore:
         folder and return them as ``(content_id, new_users=1)`` rows."""
         pairs = enriched.select("content_id", "user_id").distinct()
         hist_path = f"{self.path}/user_pairs"
-        if fs.exists(self.spark, hist_path):
-            hist = (self.spark.read.option("basePath", hist_path).parquet(hist_path)
-                    .where(F.col("batch_id") < batch_id).select("content_id", "user_id"))
+        hist = self._pair_history(batch_id)
+        if hist is not None:
             seen = hist.join(maybe_broadcast(pairs, known_small=small), ["content_id", "user_id"],
                              "left_semi")
             fresh = pairs.join(seen, ["content_id", "user_id"], "left_anti")
@@ -125,6 +124,45 @@ class ServingStore:
         # one row per first-seen pair; the merge aggregation sums them per content
         return written.select("content_id", F.lit(1).cast("long").alias("new_users"))
 
+    def _pair_history(self, batch_id: int) -> DataFrame | None:
+        """Pairs first seen before ``batch_id``: the newest compacted snapshot below it plus
+        the per-batch folders written after that snapshot."""
+        hist_path = f"{self.path}/user_pairs"
+        if not fs.exists(self.spark, hist_path):
+            return None
+        snaps = [v for v in self._snapshots() if v < batch_id]
+        hist = (self.spark.read.option("basePath", hist_path).parquet(hist_path)
+                .where(F.col("batch_id") < batch_id))
+        if snaps:
+            upto = snaps[-1]
+            hist = hist.where(F.col("batch_id") > upto)
+            snap = self.spark.read.parquet(f"{self.path}/user_pairs_snapshot/upto={upto}")
+            return snap.unionByName(hist.select("content_id", "user_id"))
+        return hist.select("content_id", "user_id")
+
+    def _snapshots(self) -> list[int]:
+        marks = fs.list_names(self.spark, f"{self.path}/user_pairs_snapshot/_commits")
+        return sorted(int(n) for n in marks if n.isdigit())
+
+    def compact_pairs(self, upto: int | None = None) -> int | None:
+        """Consolidate the pair history of batches ``<= upto`` (default: newest committed)
+        into one snapshot, so later batches read one folder instead of one per batch.
+
+        The per-batch folders are left in place (a retention policy may remove them); the
+        snapshot is committed with a marker only after it is complete, so a failed
+        compaction changes nothing.
+        """
+        upto = self.latest() if upto is None else upto
+        if upto is None or self.distinct != "exact":
+            return None
+        hist = self._pair_history(upto + 1)
+        if hist is None:
+            return None
+        (hist.hint("rebalance", "content_id").write.mode("overwrite")
+         .parquet(f"{self.path}/user_pairs_snapshot/upto={upto}"))
+        fs.touch(self.spark, f"{self.path}/user_pairs_snapshot/_commits/{upto}")
+        return upto
+
     def _merge_stats(self, enriched: DataFrame, batch_id: int, base: int | None,
                      small: bool | None = None) -> DataFrame:
         """Merge by re-aggregation: previous rows, the batch's partial rows and the batch's

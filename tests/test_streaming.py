@@ -285,3 +285,21 @@ def test_serving_history_ttl(spark, data, streamed):
     exp = realtime.recent_events(enriched, 50, as_of=as_of, ttl_minutes=ttl)
     assert 0 < got.count() < sinks.serving.recent_events(50).count()
     assert _rows(got) == _rows(exp)
+
+
+def test_pair_compaction_keeps_counts(spark, data, tmp_path):
+    content, events, enriched, _ = data
+    store = ServingStore(spark, str(tmp_path / "serving"))
+    cuts = ["2024-01-08", "2024-01-16", "2024-01-24"]
+    bounds = [None] + cuts + [None]
+    for i in range(4):
+        part = events
+        if bounds[i]:
+            part = part.where(F.col("event_ts") >= F.lit(bounds[i]))
+        if bounds[i + 1]:
+            part = part.where(F.col("event_ts") < F.lit(bounds[i + 1]))
+        process_batch(part, i, content, Sinks(serving=store))
+        if i == 1:
+            assert store.compact_pairs() == 1
+    cols = ["content_id", "total_events", "unique_users"]
+    assert _rows(store.content_stats(), cols) == _rows(realtime.content_stats(enriched), cols)
