@@ -23,7 +23,7 @@ from eventide.sources import fixtures as fx
 from eventide.streaming import stateful
 from eventide.streaming.pipeline import Sinks, file_events, prepare_stream, run_stream
 
-PARTS = 4
+PARTS = 2
 _runs: dict[tuple, str] = {}
 
 
