@@ -110,7 +110,7 @@ class ServingStore:
         folder and return them as ``(content_id, new_users=1)`` rows."""
         pairs = enriched.select("content_id", "user_id").distinct()
         hist_path = f"{self.path}/user_pairs"
-        hist = self._pair_history(batch_id)
+        hist = self._pair_history(batch_id) if self.distinct == "exact" else None
         if hist is not None:
             seen = hist.join(maybe_broadcast(pairs, known_small=small), ["content_id", "user_id"],
                              "left_semi")
@@ -126,19 +126,23 @@ class ServingStore:
 
     def _pair_history(self, batch_id: int) -> DataFrame | None:
         """Pairs first seen before ``batch_id``: the newest compacted snapshot below it plus
-        the per-batch folders written after that snapshot."""
+        the folders of the committed batches after that snapshot (named explicitly, so no
+        partition discovery walks every batch folder ever written)."""
         hist_path = f"{self.path}/user_pairs"
-        if not fs.exists(self.spark, hist_path):
-            return None
         snaps = [v for v in self._snapshots() if v < batch_id]
-        hist = (self.spark.read.option("basePath", hist_path).parquet(hist_path)
-                .where(F.col("batch_id") < batch_id))
-        if snaps:
-            upto = snaps[-1]
-            hist = hist.where(F.col("batch_id") > upto)
-            snap = self.spark.read.parquet(f"{self.path}/user_pairs_snapshot/upto={upto}")
-            return snap.unionByName(hist.select("content_id", "user_id"))
-        return hist.select("content_id", "user_id")
+        upto = snaps[-1] if snaps else None
+        batches = [b for b in self.committed() if b < batch_id and (upto is None or b > upto)]
+        schema = "content_id string, user_id string"
+        parts = []
+        if upto is not None:
+            parts.append(self.spark.read.schema(schema).parquet(
+                f"{self.path}/user_pairs_snapshot/upto={upto}"))
+        if batches:
+            parts.append(self.spark.read.schema(schema).parquet(
+                *[f"{hist_path}/batch_id={b}" for b in batches]))
+        if not parts:
+            return None
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def _snapshots(self) -> list[int]:
         marks = fs.list_names(self.spark, f"{self.path}/user_pairs_snapshot/_commits")
@@ -158,7 +162,7 @@ class ServingStore:
         hist = self._pair_history(upto + 1)
         if hist is None:
             return None
-        (hist.hint("rebalance", "content_id").write.mode("overwrite")
+        (hist.distinct().hint("rebalance", "content_id").write.mode("overwrite")
          .parquet(f"{self.path}/user_pairs_snapshot/upto={upto}"))
         fs.touch(self.spark, f"{self.path}/user_pairs_snapshot/_commits/{upto}")
         return upto
