@@ -199,12 +199,19 @@ class ServingStore:
                         "score", "es_sum", "pct_sum", "pct_count", "last_updated", users))
 
     def _merge_recent(self, enriched: DataFrame, base: int | None) -> DataFrame:
-        cur = proj.to_recent_event(enriched)
+        w = Window.partitionBy("content_id").orderBy(F.desc("event_ts"), F.desc("event_id"))
+        # the batch side first keeps its own newest ``history`` rows per content (events
+        # de-duplicated on (content, event) with a hash aggregation, then a row_number
+        # limit that Spark applies partially before the shuffle), so a content holding a
+        # large share of a big batch never sends all its rows to one task
+        cur = (proj.to_recent_event(enriched).dropDuplicates(["content_id", "event_id"])
+               .withColumn("_rn", F.row_number().over(w))
+               .where(F.col("_rn") <= self.history).drop("_rn"))
         prev = self._read("recent_events", base)
         allr = cur if prev is None else prev.unionByName(cur)
-        # newest first per content; an event id seen twice (re-sent) sits next to itself
-        # in this order, so one shuffle on content_id both de-duplicates and ranks
-        w = Window.partitionBy("content_id").orderBy(F.desc("event_ts"), F.desc("event_id"))
+        # newest first per content; an event id re-sent in a later batch sits next to its
+        # earlier copy in this order, so one shuffle on content_id de-duplicates and ranks
+        # at most 2 x history rows per content
         allr = (allr.withColumn("_prev", F.lag("event_id").over(w))
                 .where(F.coalesce(F.col("_prev") != F.col("event_id"), F.lit(True))).drop("_prev"))
         return (allr.withColumn("_rn", F.row_number().over(w))
