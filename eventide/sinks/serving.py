@@ -7,7 +7,8 @@ are merged once per micro-batch:
                               metadata, distinct-user state (see below)
 ``<path>/recent_events/v=N``  newest ``history`` events per content (bounded)
 ``<path>/user_pairs/batch_id=N``  first sightings of (content_id, user_id), exact mode
-``<path>/_commits/N``         commit marker: version N is complete
+``<path>/_commits/b=K/N``     commit marker: version N is complete (K = N // 1000, so a
+                              lookup lists one or two small folders, not every batch)
 
 Batch N merges its partial aggregates into the newest committed version below N and
 writes version N, then commits. A replay of N reads the same base and overwrites the
@@ -30,6 +31,7 @@ from eventide.operators import projections as proj
 from eventide.operators.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 from eventide.sinks import fs
 
+COMMIT_BUCKET = 1000
 T_SUM = "decimal(38,2)"
 T_SCORE_SUM = "decimal(38,5)"
 
@@ -45,17 +47,39 @@ class ServingStore:
         self.distinct = distinct
 
     # ---- versions -------------------------------------------------------------------
-    def committed(self) -> list[int]:
-        return sorted(int(n) for n in fs.list_names(self.spark, f"{self.path}/_commits")
-                      if n.isdigit())
+    def _bucket(self, batch_id: int) -> str:
+        return f"{self.path}/_commits/b={int(batch_id) // COMMIT_BUCKET}"
+
+    def _buckets(self) -> list[int]:
+        names = fs.list_names(self.spark, f"{self.path}/_commits")
+        return sorted(int(n[2:]) for n in names if n.startswith("b=") and n[2:].isdigit())
+
+    def committed(self, lo: int | None = None, hi: int | None = None) -> list[int]:
+        """Committed versions in ``[lo, hi)`` (listing only the marker buckets in range)."""
+        out = []
+        for b in self._buckets():
+            if lo is not None and (b + 1) * COMMIT_BUCKET <= lo:
+                continue
+            if hi is not None and b * COMMIT_BUCKET >= hi:
+                continue
+            out += [int(n) for n in fs.list_names(self.spark, f"{self.path}/_commits/b={b}")
+                    if n.isdigit()]
+        return sorted(v for v in out if (lo is None or v >= lo) and (hi is None or v < hi))
 
     def base_version(self, batch_id: int) -> int | None:
-        below = [v for v in self.committed() if v < batch_id]
-        return below[-1] if below else None
+        """Newest committed version below ``batch_id`` (searching buckets downwards)."""
+        for b in reversed([b for b in self._buckets() if b * COMMIT_BUCKET < batch_id]):
+            below = self.committed(b * COMMIT_BUCKET, batch_id)
+            if below:
+                return below[-1]
+        return None
 
     def latest(self) -> int | None:
-        c = self.committed()
-        return c[-1] if c else None
+        for b in reversed(self._buckets()):
+            c = self.committed(b * COMMIT_BUCKET, (b + 1) * COMMIT_BUCKET)
+            if c:
+                return c[-1]
+        return None
 
     def _read(self, name: str, version: int | None) -> DataFrame | None:
         if version is None:
@@ -84,7 +108,7 @@ class ServingStore:
              .write.mode("overwrite").parquet(f"{self.path}/recent_events/v={batch_id}"))
 
         _run_concurrently([stats, recent], self.spark)
-        fs.touch(self.spark, f"{self.path}/_commits/{batch_id}")
+        fs.touch(self.spark, f"{self._bucket(batch_id)}/{batch_id}")
 
     def _batch_stats(self, enriched: DataFrame) -> DataFrame:
         es = fx.nullif_zero("engagement_seconds")
@@ -131,7 +155,7 @@ class ServingStore:
         hist_path = f"{self.path}/user_pairs"
         snaps = [v for v in self._snapshots() if v < batch_id]
         upto = snaps[-1] if snaps else None
-        batches = [b for b in self.committed() if b < batch_id and (upto is None or b > upto)]
+        batches = self.committed(None if upto is None else upto + 1, batch_id)
         schema = "content_id string, user_id string"
         parts = []
         if upto is not None:

@@ -362,3 +362,17 @@ def test_failed_batch_is_replayed_without_double_counting(spark, data, tmp_path)
     assert read_fact(spark, f"{root}/fact").count() == enriched.count()
     cols = ["content_id", "total_events", "unique_users", "total_engagement_seconds"]
     assert _rows(store.content_stats(), cols) == _rows(realtime.content_stats(enriched), cols)
+
+
+def test_commit_marker_buckets(spark, tmp_path):
+    from eventide.sinks import fs
+    store = ServingStore(spark, str(tmp_path / "serving"))
+    assert store.latest() is None and store.base_version(5) is None
+    for v in (3, 999, 1000, 2500):
+        fs.touch(spark, f"{store._bucket(v)}/{v}")
+    assert store.committed() == [3, 999, 1000, 2500]
+    assert store.latest() == 2500
+    assert store.base_version(2500) == 1000
+    assert store.base_version(1000) == 999
+    assert store.base_version(4) == 3 and store.base_version(3) is None
+    assert store.committed(999, 2500) == [999, 1000]
