@@ -7,14 +7,13 @@ Sessions (gap ``g``: a new session starts when the gap to the previous event of
 content exceeds ``g``) are computed without sorting all events of a content in one task,
 which a hot content id would turn into one huge task:
 
-1. Event bounds are aggregated per (content_id, cell) with ``cell = floor(ts / g)``. All events
-   in one cell are less than ``g`` apart, so a cell never splits a session. This is a
-   hash aggregation with partial aggregation: skew-proof.
+1. Events are aggregated per (content_id, cell, user) with ``cell = floor(ts / g)`` (hash
+   aggregation with partial aggregation: skew-proof); cell bounds fold from that grain.
+   All events in one cell are less than ``g`` apart, so a cell never splits a session.
 2. Cells per content are bounded by the time span / g (not by event volume); sessions are
    found over cells with ``lag`` + running sum (gaps and islands).
-3. Events aggregated at the (content_id, cell, user_id) grain are joined to the
-   cell->session map and folded per session (counts, seconds, exact distinct users),
-   again with partial aggregation.
+3. The grain is joined to the cell->session map and folded per session (counts, seconds,
+   exact distinct users), again with partial aggregation.
 
 The result equals Spark's streaming ``session_window`` semantics: events exactly ``g``
 apart stay in one session; ``session_end = last event + g``.
@@ -74,16 +73,33 @@ def sliding_counts(enriched: DataFrame, size_minutes: int = 10, slide_minutes: i
                     "total_events", "unique_users", "score"))
 
 
-def sessions(enriched: DataFrame, gap_minutes: int = 15, key: str = "content_id") -> DataFrame:
-    """ST4/D9: inactivity sessions per key with counts, distinct users and seconds."""
+def sessions(enriched: DataFrame, gap_minutes: int = 15, key: str = "content_id",
+             materialize: bool = False) -> DataFrame:
+    """ST4/D9: inactivity sessions per key with counts, distinct users and seconds.
+
+    The (key, cell, user) grain feeds two branches (cell bounds and the per-session fold).
+    Spark plans each branch from the events, so they are read twice; ``materialize=True``
+    writes the grain once with a reliable ``checkpoint()`` under ``spark.checkpoint.dir``
+    (eager: one job when the frame is built) and both branches read it, so the events are
+    scanned once. Prefer it when producing the events is expensive (large inputs,
+    JSON extraction, enrichment joins).
+    """
     gap = int(gap_minutes) * 60 * 1_000_000
     ev = enriched.select(key, "user_id", "engagement_seconds",
                          _micros("event_ts").alias("_us"))
     ev = ev.withColumn("_cell", F.expr(f"(_us - pmod(_us, {gap})) div {gap}"))
 
-    # 1. cell bounds (partial aggregation before the shuffle)
-    cells = (ev.groupBy(key, "_cell")
-             .agg(F.min("_us").alias("_first"), F.max("_us").alias("_last")))
+    # 1. the (key, cell, user) grain with partial aggregation before the shuffle, and the
+    #    cell bounds folded from it
+    grain = (ev.groupBy(key, "_cell", "user_id")
+             .agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
+                  F.count(F.lit(1)).alias("_n"), F.sum("engagement_seconds").alias("_es")))
+    if materialize:
+        from eventide.session import checkpoint_dir
+        checkpoint_dir(enriched.sparkSession)  # the shared folder named by the session
+        grain = grain.checkpoint(eager=True)
+    cells = (grain.groupBy(key, "_cell")
+             .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last")))
 
     # 2. gaps and islands over cells (bounded per key by time span / gap); one window spec,
     #    so one shuffle: a session starts at a cell whose gap to the previous cell exceeds g,
@@ -95,11 +111,8 @@ def sessions(enriched: DataFrame, gap_minutes: int = 15, key: str = "content_id"
     cell_map = (cells.withColumn("_s", starts)
                 .select(key, "_cell", F.last("_s", ignorenulls=True).over(running).alias("_start")))
 
-    # 3. all measures from the (key, cell, user) grain mapped to sessions: one join, one
-    #    aggregation; the distinct user count needs no second pass over the events
-    grain = (ev.groupBy(key, "_cell", "user_id")
-             .agg(F.max("_us").alias("_last"), F.count(F.lit(1)).alias("_n"),
-                  F.sum("engagement_seconds").alias("_es")))
+    # 3. all measures from the grain mapped to sessions: one join, one aggregation; the
+    #    distinct user count needs no second pass over the events
     per_session = (grain.join(cell_map, [key, "_cell"], "inner")
                    .groupBy(key, "_start")
                    .agg(F.max("_last").alias("_end"), F.sum("_n").alias("total_events"),

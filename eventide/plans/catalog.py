@@ -187,7 +187,8 @@ def q_sliding_counts(spark, sf_dir):
 
 
 def q_sessions(spark, sf_dir):
-    return windows.sessions(_enriched(spark, sf_dir, dense=True), P.SESSION_GAP_MINUTES)
+    return windows.sessions(_enriched(spark, sf_dir, dense=True), P.SESSION_GAP_MINUTES,
+                            materialize=True)
 
 
 def q_backfill(spark, sf_dir):

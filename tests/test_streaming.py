@@ -187,9 +187,10 @@ def test_sessions_brute_force_random(spark):
                 cur = []
             cur.append(e)
         exp.append((k, cur[0][2], len(cur), len({x[1] for x in cur})))
-    got = sorted((r.content_id, r.session_start, r.total_events, r.unique_users)
-                 for r in windows.sessions(df, 15).collect())
-    assert got == sorted(exp)
+    for materialize in (False, True):
+        got = sorted((r.content_id, r.session_start, r.total_events, r.unique_users)
+                     for r in windows.sessions(df, 15, materialize=materialize).collect())
+        assert got == sorted(exp)
 
 
 def test_delivery_with_recording_client(spark, data, tmp_path):
