@@ -18,6 +18,7 @@ from eventide.operators import marts, quality, realtime, validate, windows
 from eventide.operators import projections as proj
 from eventide.operators.joins import fits_broadcast
 from eventide.plans import params as P
+from eventide.session import session_key
 from eventide.sources import fixtures as fx
 
 _dim_small: dict[str, bool] = {}
@@ -27,7 +28,7 @@ _frames: dict[tuple, DataFrame] = {}
 def _memo(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """Source frames are immutable plans: build each once per session and input folder
     (saves the file listing and footer reads of repeated ``spark.read`` calls)."""
-    key = (id(spark), sf_dir, name)
+    key = (session_key(spark), sf_dir, name)
     if key not in _frames:
         _frames[key] = build()
     return _frames[key]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from eventide.operators.enrich import enrich
 from eventide.operators.validate import reasons_text
-from eventide.session import checkpoint_dir
+from eventide.session import checkpoint_dir, session_key
 from eventide.sinks.serving import ServingStore
 from eventide.sinks.warehouse import read_fact
 from eventide.sources import fixtures as fx
@@ -53,7 +53,7 @@ def _root(spark: SparkSession, label: str) -> str:
 
 def pipeline_run(spark: SparkSession, sf_dir: str) -> str:
     """Run the full pipeline once per session and input folder; returns its output root."""
-    key = (id(spark), sf_dir, "pipeline")
+    key = (session_key(spark), sf_dir, "pipeline")
     if key in _runs:
         return _runs[key]
     root = _root(spark, "pipeline")
@@ -102,7 +102,7 @@ def _stateful_run(spark: SparkSession, sf_dir: str, label: str, build) -> DataFr
     Complete mode flushes every open window/session for the comparison; a production run
     uses append mode, where state is dropped once the watermark passes.
     """
-    key = (id(spark), sf_dir, label)
+    key = (session_key(spark), sf_dir, label)
     if key not in _runs:
         root = _root(spark, label)
         k = write_time_ordered(fx.load_dense_events(spark, sf_dir), f"{root}/source")

@@ -95,3 +95,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(conf_dir)
     return conf_dir.rstrip("/")
+
+
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session for caches of DataFrames built on it: the application id
+    changes when a session is stopped and another one started (``id()`` may be reused)."""
+    return (spark.sparkContext.applicationId, id(spark))
