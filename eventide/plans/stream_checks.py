@@ -1,6 +1,6 @@
 """Registered queries that run the streaming path end to end.
 
-The fixture events are replayed as a file stream (time-ordered appends, one file per
+The fixture events are replayed as a file stream (time-ordered appends, one time slice per
 micro-batch) through ``run_stream`` into the sinks, or through a stateful stream operator;
 the query then reads what the stream wrote. Each result must equal its batch twin, so the
 same oracle SQL applies. Output lives under the session's ``spark.checkpoint.dir`` in a
