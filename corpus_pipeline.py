@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import exact_dedup, packing, poisson_mix, rules_forest
+from eventide.llm import exact_dedup, ngram_join, packing, poisson_mix, rules_forest
 from eventide.llm.common import materialize, read_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -29,6 +29,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(docs).select(*COLUMNS)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_duplicates(docs)
+    return _without(docs, found.where("NOT (doc_id <=> component_id)"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return poisson_mix.poisson_mix(docs).select(*COLUMNS)
 
@@ -38,7 +43,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact),
-          ("mix_sources", mix_sources), ("best_fit_packing", pack)]
+          ("near_duplicates", near_duplicates), ("mix_sources", mix_sources),
+          ("best_fit_packing", pack)]
 
 #: Tokenisation and the forest cannot be expressed in SQL.
 ORACLE_SQL = None

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +18,24 @@ PRESENCE_BITS = 1 << 25
 _ROW_BITS = 32768  # bits of one bitmap row of Spark's bitmap functions
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Let Python workers import this package: Spark sends them its source (once for each
+    application), so executors need no copy of the repository."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = f"{tempfile.mkdtemp(prefix='eventide-src-')}/{root.name}-src.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -25,6 +46,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: later stages reread files that survive the loss of an executor.
     """
     spark = df.sparkSession
+    ship_code(spark)
     path = f"{checkpoint_dir(spark)}/eventide-llm-{uuid.uuid4().hex}/{name}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -32,6 +54,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def texts(docs: DataFrame) -> DataFrame:
     """(doc_id, text) only, null text read as empty: names of other columns cannot clash."""
+    ship_code(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
 

@@ -172,3 +172,26 @@ def bytes_sum(mask: np.ndarray, off: np.ndarray) -> np.ndarray:
     acc = np.zeros(len(mask) + 1, np.int64)
     np.cumsum(mask, out=acc[1:])
     return acc[off[1:]] - acc[off[:-1]]
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Ascending 64-bit values as byte planes of their differences (zero planes compress)."""
+    if not len(values):
+        return b""
+    delta = np.empty_like(values)
+    delta[0] = values[0]
+    np.subtract(values[1:], values[:-1], out=delta[1:])
+    return np.ascontiguousarray(delta.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpack_sorted(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(blob, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def first_of_runs(sorted_values: np.ndarray) -> np.ndarray:
+    """Marks where a new value begins in a sorted array."""
+    new = np.ones(len(sorted_values), bool)
+    if len(new) > 1:
+        new[1:] = sorted_values[1:] != sorted_values[:-1]
+    return new

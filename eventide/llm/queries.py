@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import (exact_dedup, line_windows, packing, poisson_mix, qda, rules_forest)
+from eventide.llm import (ctw, exact_dedup, line_windows, ngram_join, packing, poisson_mix, qda,
+                          rules_forest, secret_scan, suffix_dedup)
 from eventide.llm.common import read_table
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), with_kept=False)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_forest.judge(read_table(spark, sf_dir, "documents"),
                               read_table(spark, sf_dir, "labels"))
@@ -21,10 +27,19 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                         read_table(spark, sf_dir, "labels"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_digest(
+        secret_scan.scan_secrets(read_table(spark, sf_dir, "documents")))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.lm_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op7_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = poisson_mix.poisson_mix(read_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "source", "copy", "shuffle_key")
@@ -36,13 +51,18 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_rules, op3_quality_classifier, op5_best_fit_packing,
-                            op7_poisson_mix, op8_line_dedup, op10_exact_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_suffix_array_dedup, op2_quality_rules, op3_quality_classifier, op4_secret_scan,
+    op5_best_fit_packing, op6_lm_scoring, op7_poisson_mix, op8_line_dedup,
+    op9_ngram_jaccard_join, op10_exact_dedup)}
 
 ORACLES: dict[str, str] = {
     "op7_poisson_mix": poisson_mix.ORACLE_SQL,
