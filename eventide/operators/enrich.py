@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 from eventide.functions import engagement as fx
 from eventide.operators.joins import maybe_broadcast
 from eventide.operators.validate import (R_CONTENT_NOT_FOUND, REASONS, event_rules,
-                                         reasons_column)
+                                         reasons_column, violated)
 from eventide.schemas import ENRICHED_COLUMNS
 
 DIM_COLUMNS = ["content_id", "slug", "title", "content_type", "length_seconds"]
 
 
-def _dim(content: DataFrame, known_small: bool | None) -> DataFrame:
-    return maybe_broadcast(content.select(*DIM_COLUMNS), known_small=known_small)
+def _dim(content: DataFrame, known_small: bool | None, extra: tuple[str, ...] = ()) -> DataFrame:
+    return maybe_broadcast(content.select(*DIM_COLUMNS, *extra), known_small=known_small)
 
 
 def with_engagement(df: DataFrame, rounding: str = fx.ROUNDING_STREAM) -> DataFrame:
@@ -30,10 +30,17 @@ def with_engagement(df: DataFrame, rounding: str = fx.ROUNDING_STREAM) -> DataFr
 
 
 def enrich_valid(events: DataFrame, content: DataFrame, rounding: str = fx.ROUNDING_STREAM,
-                 known_small: bool | None = None) -> DataFrame:
-    """Inner join of already validated events with content, then engagement columns."""
-    joined = events.join(_dim(content, known_small), "content_id", "inner")
-    return with_engagement(joined, rounding).select(*ENRICHED_COLUMNS)
+                 strict: bool = True, known_small: bool | None = None,
+                 extra: tuple[str, ...] = ()) -> DataFrame:
+    """The valid events joined with content, then engagement columns.
+
+    For consumers that need no rejects: the rules filter plain event columns before an inner
+    join, so invalid rows are dropped at the scan and are never joined. ``extra`` names further
+    catalogue columns to keep.
+    """
+    valid = events.where(~violated(event_rules(strict)))
+    joined = valid.join(_dim(content, known_small, extra), "content_id", "inner")
+    return with_engagement(joined, rounding).select(*ENRICHED_COLUMNS, *extra)
 
 
 def unmatched(events: DataFrame, content: DataFrame, known_small: bool | None = None) -> DataFrame:
@@ -60,11 +67,11 @@ def enrich(events: DataFrame, content: DataFrame, rounding: str = fx.ROUNDING_ST
            strict: bool = True, known_small: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """Validate, join and compute engagement. Returns (enriched, quarantine).
 
-    The event side is joined once (broadcast dimension: no shuffle of events); a caller
-    that writes both outputs persists ``tag(...)`` or uses ``foreachBatch``.
+    Either output alone is planned for itself (the enriched rows by ``enrich_valid``); a caller
+    that writes both persists ``tag(...)``, as ``process_batch`` does.
     """
+    matched = enrich_valid(events, content, rounding, strict, known_small)
     tagged = tag(events, content, rounding, strict, known_small)
-    matched = tagged.where(F.size(REASONS) == 0).select(*ENRICHED_COLUMNS)
     quarantine = tagged.where(F.size(REASONS) > 0).select(*events.columns, REASONS)
     return matched, quarantine
 

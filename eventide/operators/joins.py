@@ -1,8 +1,8 @@
 """Dimension joins with a proven size bound before broadcasting.
 
-A dimension is broadcast only after a bounded count proves it has at most ``max_rows``
-rows (``limit(max_rows + 1).count()`` reads no more than that many rows). Beyond the
-bound the join is left to Catalyst: a shuffle (sort-merge) join on the key, which AQE can
+A dimension is broadcast only after one bounded pass proves that it has at most ``max_rows``
+rows and ``max_bytes`` bytes of values (no more than ``max_rows + 1`` rows are read). Beyond the
+bounds the join is left to Catalyst: a shuffle (sort-merge) join on the key, which AQE can
 still turn into a broadcast from runtime statistics, or split when a key is skewed.
 """
 
@@ -11,15 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound on dimension rows that may be broadcast (~100 B/row -> ~200 MB).
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Bounds on what may be broadcast: bytes of values, and rows (each costs a hash table entry).
+DEFAULT_BROADCAST_BYTES = 64 << 20
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` provably has at most ``max_rows`` rows."""
+def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``dim`` provably has at most ``max_rows`` rows and ``max_bytes`` bytes."""
     if dim.isStreaming:
         return False
-    return dim.limit(max_rows + 1).count() <= max_rows
+    size = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8
+                for c in dim.columns), F.lit(0).cast("long"))
+    got = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                      F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+    return got["n"] <= max_rows and got["b"] <= max_bytes
 
 
 def maybe_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,

@@ -52,7 +52,7 @@ def top_content_lookback(fact: DataFrame, as_of, hours: int = 24, limit: int = 1
 
 
 def daily_summary(fact: DataFrame) -> DataFrame:
-    """A5 + T5: per day and content type."""
+    """A5: per day and content type (``ordered_daily`` serves it)."""
     return (fact.groupBy("event_date", "content_type")
             .agg(F.count(F.lit(1)).alias("total_events"),
                  F.count_distinct("user_id").alias("unique_users"),
@@ -62,6 +62,16 @@ def daily_summary(fact: DataFrame) -> DataFrame:
                  _completions().alias("total_completions")))
 
 
+def ordered_daily(summary: DataFrame) -> DataFrame:
+    """T5: the daily mart as it is served, newest day first, then content type."""
+    return summary.orderBy(F.desc("event_date"), "content_type")
+
+
+def ordered_hourly(trends: DataFrame) -> DataFrame:
+    """T5: the hourly mart as it is served, newest hour first, then content and event type."""
+    return trends.orderBy(F.desc("hour_bucket"), "content_type", "event_type")
+
+
 def daily_summary_recent(fact: DataFrame, as_of, days: int = 7) -> DataFrame:
     """The daily mart restricted to ``event_date >= date(as_of) - days``."""
     cutoff = F.date_sub(F.to_date(ts_lit(as_of)), days)
@@ -69,7 +79,8 @@ def daily_summary_recent(fact: DataFrame, as_of, days: int = 7) -> DataFrame:
 
 
 def hourly_trends(fact: DataFrame, as_of, days: int = 7) -> DataFrame:
-    """A6 + T5: per hour, content type and event type over the last ``days``."""
+    """Per hour, content type and event type over the last ``days`` (``ordered_hourly``
+    serves it)."""
     start = ts_lit(as_of) - F.expr(f"INTERVAL {int(days)} DAY")
     return (fact.where(since("event_timestamp", as_of, days, "DAY")
                        & (F.col("event_date") >= F.to_date(start)))
@@ -135,17 +146,20 @@ def error_rate_alerts(tagged: DataFrame, minutes: int = 5, threshold: float = 0.
     """Tumbling windows whose reject rate exceeds ``threshold``.
 
     ``tagged`` is the output of ``enrich.tag``: every raw event with its ``reasons``; one
-    aggregation counts all events and the rejected ones together.
+    aggregation counts all events and the rejected ones together. Events without a time are
+    counted in a window of their own whose bounds are NULL.
     """
-    w = F.window(F.col("event_ts").cast("timestamp"), f"{int(minutes)} minutes")
+    size = int(minutes) * 60_000_000
+    us = F.unix_micros(F.col("event_ts").cast("timestamp"))
     rejected = F.when(F.size("reasons") > 0, 1).otherwise(0)
-    return (tagged.groupBy(w.alias("w"))
+    return (tagged.groupBy((us - F.pmod(us, F.lit(size))).alias("w"))
             .agg(F.count(F.lit(1)).alias("total_events"),
                  F.sum(rejected).cast("bigint").alias("rejected_events"))
             .withColumn("error_rate", F.col("rejected_events") / F.col("total_events"))
             .where(F.col("error_rate") > threshold)
-            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+            .select(F.timestamp_micros("w").cast("timestamp_ntz").alias("window_start"),
+                    F.timestamp_micros(F.col("w") + F.lit(size)).cast("timestamp_ntz")
+                    .alias("window_end"),
                     "total_events", "rejected_events", "error_rate"))
 
 

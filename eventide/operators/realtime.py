@@ -92,16 +92,17 @@ def windowed_counts(enriched: DataFrame, as_of, minutes: int = 10) -> DataFrame:
 def stats_card(enriched: DataFrame, content: DataFrame, as_of, minutes: int = 10) -> DataFrame:
     """Stats card for every catalogue entry; absent activity gives zeros.
 
-    Lifetime and windowed measures come from a single aggregation (conditional distinct
-    count), and the catalogue is joined to the aggregate on content_id.
+    Lifetime measures are one aggregation; the windowed count is another whose time filter
+    reaches the scan (one aggregation with both distinct counts would expand every event).
+    Both are joined to the catalogue on content_id.
     """
-    in_window = trailing("event_ts", as_of, minutes, "MINUTE")
     agg = (enriched.groupBy("content_id")
            .agg(F.count(F.lit(1)).alias("total_events"),
                 F.count_distinct("user_id").alias("unique_users"),
-                F.sum(fx.nullif_zero("engagement_seconds")).cast("double").alias("_es"),
-                F.count_distinct(F.when(in_window, F.col("id"))).alias("events_in_window")))
+                F.sum(fx.nullif_zero("engagement_seconds")).cast("double").alias("_es")))
+    recent = windowed_counts(enriched, as_of, minutes)
     return (content.select("content_id").join(agg, "content_id", "left")
+            .join(recent, "content_id", "left")
             .select("content_id",
                     F.coalesce("total_events", F.lit(0)).cast("bigint").alias("total_events"),
                     F.coalesce("unique_users", F.lit(0)).cast("bigint").alias("unique_users"),
@@ -131,9 +132,15 @@ def recent_events(enriched: DataFrame, n: int = 50, as_of=None, ttl_minutes: int
 
 
 def latest_per_key(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
-    """Last write wins per key (the newest row by ``order_cols``)."""
+    """Last write wins per key (the newest row by ``order_cols``).
+
+    Rows without a key are no copies of each other: all of them stay, and none of them is
+    sent to the ranking.
+    """
     w = Window.partitionBy(key).orderBy(*[F.desc(c) for c in order_cols])
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    known = df.where(F.col(key).isNotNull())
+    newest = known.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    return newest.unionByName(df.where(F.col(key).isNull()))
 
 
 def content_meta(enriched: DataFrame) -> DataFrame:

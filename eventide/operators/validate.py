@@ -24,6 +24,20 @@ R_BAD_DURATION = "invalid_duration_ms"
 R_MISSING_DURATION = "missing_duration"
 R_BAD_PAYLOAD = "invalid_raw_payload"
 R_CONTENT_NOT_FOUND = "content_not_found"
+R_MALFORMED = "malformed_json"
+
+
+def canonical_uuid(c: Column) -> Column:
+    """A UUID in its canonical form: lower case with hyphens (the 32-digit form gets them).
+    Other values stay as they are, in lower case, for the rules to judge."""
+    low = F.lower(c)
+    return F.when(F.length(low) == 32, F.regexp_replace(
+        low, "^([0-9a-f]{8})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{12})$",
+        "$1-$2-$3-$4-$5")).otherwise(low)
+
+
+def with_canonical_ids(events: DataFrame) -> DataFrame:
+    return events.withColumns({c: canonical_uuid(F.col(c)) for c in ("content_id", "user_id")})
 
 
 def _is_uuid(c: Column) -> Column:
@@ -91,7 +105,9 @@ def parse_raw_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
     it is a plan barrier, so later filters cannot re-inline the parse per field) and
     converted with ``try_cast``: ``"12"`` is accepted as 12 while ``12.5`` or ``"x"``
     become a reason rather than a silent NULL. A field that is present but does not
-    convert is reported; a missing field or a malformed document gives NULL fields.
+    convert is reported; a missing field gives NULL, a document that is no JSON at all is
+    reported as ``malformed_json``. A payload must be a JSON object. Ids become canonical
+    UUIDs. The document itself stays in ``_raw`` for the quarantine.
     """
     from eventide.schemas import RAW_EVENT_JSON
 
@@ -103,15 +119,20 @@ def parse_raw_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
     id_ = F.expr("try_cast(_j_id AS BIGINT)")
     dur = F.expr("try_cast(_j_duration_ms AS INT)")
     ts = F.expr("try_to_timestamp(_j_event_ts)").cast("timestamp_ntz")
-    payload_ok = e("raw_payload").isNull() | F.expr("try_parse_json(_j_raw_payload)").isNotNull()
+    payload_ok = e("raw_payload").isNull() | (
+        F.ltrim(e("raw_payload")).startswith("{")
+        & F.expr("try_parse_json(_j_raw_payload)").isNotNull())
+    no_field = F.coalesce(*[e(n) for n in names]).isNull()
     parse_rules = [
+        (R_MALFORMED, no_field & F.expr("try_parse_json(_raw)").isNull()),
         (R_BAD_ID, e("id").isNotNull() & id_.isNull()),
         (R_BAD_TS, e("event_ts").isNotNull() & ts.isNull()),
         (R_BAD_DURATION, e("duration_ms").isNotNull() & dur.isNull()),
         (R_BAD_PAYLOAD, ~payload_ok),
     ]
     return parsed.select(
-        id_.alias("id"), e("content_id").alias("content_id"), e("user_id").alias("user_id"),
+        id_.alias("id"), canonical_uuid(e("content_id")).alias("content_id"),
+        canonical_uuid(e("user_id")).alias("user_id"),
         e("event_type").alias("event_type"), ts.alias("event_ts"), dur.alias("duration_ms"),
         e("device").alias("device"), e("raw_payload").alias("raw_payload"),
         reasons_column(parse_rules).alias("_parse_reasons"), F.col("_raw"))

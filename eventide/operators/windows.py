@@ -1,7 +1,6 @@
 """Event-time windows and inactivity sessions in batch (ST3, ST4/D9).
 
-Sliding windows use ``F.window`` inside a hash aggregation (each event expands into
-``size/slide`` windows, then partial aggregation).
+Sliding windows come from running sums over change points of a (content, pane, user) grain.
 
 Sessions (gap ``g``: a new session starts when the gap to the previous event of the same
 content exceeds ``g``) are computed without sorting all events of a content in one task,
@@ -35,9 +34,8 @@ def sliding_counts(enriched: DataFrame, size_minutes: int = 10, slide_minutes: i
                    key: str = "content_id", distinct: str = "exact") -> DataFrame:
     """ST3: events and distinct users per key and sliding event-time window.
 
-    ``exact``: ``F.window`` expands each event into size/slide windows before a partial
-    aggregation on (key, window, user); the shuffle grows with size/slide x distinct
-    (key, window, user). ``sketch``: one partial row per (key, slide-wide pane) with an HLL
+    ``exact``: see ``sliding_from_grain``; events are aggregated per (key, pane, user) first and
+    never multiplied. ``sketch``: one partial row per (key, slide-wide pane) with an HLL
     sketch of its users; panes are expanded into windows and sketches merged, so the
     shuffle grows with panes, not events (approximate distinct counts, exact totals).
     """
@@ -62,15 +60,64 @@ def sliding_counts(enriched: DataFrame, size_minutes: int = 10, slide_minutes: i
                         F.timestamp_micros(F.col("_start") + F.lit(size_minutes * 60_000_000))
                         .cast("timestamp_ntz").alias("window_end"),
                         "total_events", "unique_users", "score"))
-    w = F.window(F.col("event_ts").cast("timestamp"), f"{size_minutes} minutes",
-                 f"{slide_minutes} minutes")
-    return (enriched.groupBy(key, w.alias("w"))
-            .agg(F.count(F.lit(1)).alias("total_events"),
-                 F.count_distinct("user_id").alias("unique_users"),
-                 F.sum(fx.content_score()).cast("double").alias("score"))
-            .select(key, F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-                    "total_events", "unique_users", "score"))
+    return sliding_from_grain(pane_grain(enriched, slide_minutes, key), size_minutes,
+                              slide_minutes, key)
+
+
+def pane_grain(enriched: DataFrame, slide_minutes: int = 1, key: str = "content_id"
+               ) -> DataFrame:
+    """(key, pane, user_id, n, score): events and score of a user in each slide-wide pane
+    (``pane`` counts slides since the epoch). Works on streams too."""
+    slide = int(slide_minutes) * 60_000_000
+    us = _micros("event_ts")
+    pane = ((us - F.pmod(us, F.lit(slide))) / slide).cast("long")
+    return (enriched.groupBy(key, pane.alias("pane"), "user_id")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(fx.content_score()).alias("score")))
+
+
+def sliding_from_grain(grain: DataFrame, size_minutes: int = 10, slide_minutes: int = 1,
+                       key: str = "content_id") -> DataFrame:
+    """Exact sliding windows from the pane grain.
+
+    Window ``w`` holds the panes ``w .. w + k - 1``. A pane adds its totals to the windows
+    ``pane - k + 1 .. pane``: plus at the first, minus after the last. A user adds one to the
+    windows of a pane that the user's previous pane has not counted yet. Running sums over these
+    change points give all windows; between two points nothing changes. Per key there are at
+    most two points a pane, whatever the number of events.
+    """
+    if size_minutes % slide_minutes:
+        raise ValueError("the window size must be a multiple of the slide")
+    k = size_minutes // slide_minutes
+    before = F.lag("pane").over(Window.partitionBy(key, "user_id").orderBy("pane"))
+    first = F.col("pane") - (k - 1)
+    one = F.when(F.col("user_id").isNotNull(), 1).otherwise(0).cast("long")
+    none, zero = F.lit(0).cast("long"), F.lit(0).cast("decimal(18,5)")
+    s = F.col("score").cast("decimal(38,5)")
+
+    def point(at, n, score, users):
+        return F.struct(at.alias("at"), n.alias("n"), score.cast("decimal(38,5)").alias("s"),
+                        users.alias("u"))
+
+    points = (grain.withColumn("_new", F.greatest(first, F.coalesce(before + 1, first)))
+              .select(key, F.explode(F.array(
+                  point(first, F.col("n"), s, none), point(F.col("_new"), none, zero, one),
+                  point(F.col("pane") + 1, -F.col("n"), -s, -one))).alias("p"))
+              .groupBy(key, F.col("p.at").alias("at"))
+              .agg(F.sum("p.n").alias("n"), F.sum("p.s").alias("s"), F.sum("p.u").alias("u")))
+    order = Window.partitionBy(key).orderBy("at")
+    run = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steady = points.select(
+        key, "at", F.lead("at").over(order).alias("next"), F.sum("n").over(run).alias("n"),
+        F.sum("s").over(run).alias("s"), F.sum("u").over(run).alias("u")).where("n > 0")
+    slide = int(slide_minutes) * 60_000_000
+    start = F.col("w") * F.lit(slide)
+    return (steady.withColumn("w", F.explode(F.sequence(F.col("at"), F.col("next") - 1)))
+            .select(key, F.timestamp_micros(start).cast("timestamp_ntz").alias("window_start"),
+                    F.timestamp_micros(start + F.lit(k * slide)).cast("timestamp_ntz")
+                    .alias("window_end"),
+                    F.col("n").cast("long").alias("total_events"),
+                    F.col("u").cast("long").alias("unique_users"),
+                    F.col("s").cast("double").alias("score")))
 
 
 def sessions(enriched: DataFrame, gap_minutes: int = 15, key: str = "content_id",
@@ -84,20 +131,32 @@ def sessions(enriched: DataFrame, gap_minutes: int = 15, key: str = "content_id"
     scanned once. Prefer it when producing the events is expensive (large inputs,
     JSON extraction, enrichment joins).
     """
-    gap = int(gap_minutes) * 60 * 1_000_000
-    ev = enriched.select(key, "user_id", "engagement_seconds",
-                         _micros("event_ts").alias("_us"))
-    ev = ev.withColumn("_cell", F.expr(f"(_us - pmod(_us, {gap})) div {gap}"))
-
     # 1. the (key, cell, user) grain with partial aggregation before the shuffle, and the
     #    cell bounds folded from it
-    grain = (ev.groupBy(key, "_cell", "user_id")
-             .agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
-                  F.count(F.lit(1)).alias("_n"), F.sum("engagement_seconds").alias("_es")))
+    grain = session_grain(enriched, gap_minutes, key)
     if materialize:
         from eventide.session import checkpoint_dir
         checkpoint_dir(enriched.sparkSession)  # the shared folder named by the session
         grain = grain.checkpoint(eager=True)
+    return sessions_from_grain(grain, gap_minutes, key)
+
+
+def session_grain(enriched: DataFrame, gap_minutes: int = 15, key: str = "content_id"
+                  ) -> DataFrame:
+    """(key, _cell, user_id, _first, _last, _n, _es): a user's events in each gap-wide cell.
+    Works on streams too."""
+    gap = int(gap_minutes) * 60 * 1_000_000
+    us = _micros("event_ts")
+    return (enriched.groupBy(key, ((us - F.pmod(us, F.lit(gap))) / gap).cast("long")
+                             .alias("_cell"), "user_id")
+            .agg(F.min(us).alias("_first"), F.max(us).alias("_last"),
+                 F.count(F.lit(1)).alias("_n"), F.sum("engagement_seconds").alias("_es")))
+
+
+def sessions_from_grain(grain: DataFrame, gap_minutes: int = 15, key: str = "content_id"
+                        ) -> DataFrame:
+    """Sessions from the (key, cell, user) grain."""
+    gap = int(gap_minutes) * 60 * 1_000_000
     cells = (grain.groupBy(key, "_cell")
              .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last")))
 

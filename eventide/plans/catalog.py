@@ -21,7 +21,7 @@ from eventide.plans import params as P
 from eventide.session import session_key
 from eventide.sources import fixtures as fx
 
-_dim_small: dict[str, bool] = {}
+_dim_small: dict[tuple, bool] = {}
 _frames: dict[tuple, DataFrame] = {}
 
 
@@ -42,22 +42,27 @@ def _events(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
 
 def _content(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
     content = _memo(spark, sf_dir, "content", lambda: fx.load_content(spark, sf_dir))
-    if sf_dir not in _dim_small:
-        _dim_small[sf_dir] = fits_broadcast(content)
-    return content, _dim_small[sf_dir]
+    key = (session_key(spark), sf_dir)
+    if key not in _dim_small:
+        _dim_small[key] = fits_broadcast(content)
+    return content, _dim_small[key]
 
 
 def _enriched(spark: SparkSession, sf_dir: str, dense: bool = False, strict: bool = True
               ) -> DataFrame:
     content, small = _content(spark, sf_dir)
-    return _memo(spark, sf_dir, f"enriched-{dense}-{strict}", lambda: en.enrich(
-        _events(spark, sf_dir, dense), content, strict=strict, known_small=small)[0])
+    return _memo(spark, sf_dir, f"enriched-{dense}-{strict}", lambda: en.enrich_valid(
+        _events(spark, sf_dir, dense), content, strict=strict, known_small=small))
+
+
+def _defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _memo(spark, sf_dir, "defects", lambda: fx.with_defects(_events(spark, sf_dir)))
 
 
 def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     content, small = _content(spark, sf_dir)
     return _memo(spark, sf_dir, "tagged",
-                 lambda: en.tag(_events(spark, sf_dir), content, known_small=small))
+                 lambda: en.tag(_defects(spark, sf_dir), content, known_small=small))
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +75,7 @@ def q_enriched(spark, sf_dir):
 
 def q_quarantine(spark, sf_dir):
     content, small = _content(spark, sf_dir)
-    events = _events(spark, sf_dir)
+    events = _defects(spark, sf_dir)
     bad = en.enrich(events, content, known_small=small)[1]
     return bad.withColumn("reasons", validate.reasons_text())
 
@@ -171,7 +176,10 @@ def q_quality_report(spark, sf_dir):
 
 
 def q_anomaly_flags(spark, sf_dir):
-    return validate.anomaly_flags(_enriched(spark, sf_dir), ts_lit(P.AS_OF))
+    content, small = _content(spark, sf_dir)
+    enriched = en.enrich_valid(_events(spark, sf_dir), content, known_small=small,
+                               extra=("publish_ts",))
+    return validate.anomaly_flags(enriched, ts_lit(P.AS_OF))
 
 
 def q_warehouse_records(spark, sf_dir):
@@ -196,7 +204,7 @@ def q_backfill(spark, sf_dir):
     from eventide.streaming.backfill import backfill_frame
     content, small = _content(spark, sf_dir)
     return backfill_frame(_events(spark, sf_dir), content, P.BACKFILL_START,
-                          P.BACKFILL_END, known_small=small)
+                          P.BACKFILL_END, strict=False, known_small=small)
 
 
 def q_payload_fields(spark, sf_dir):
@@ -215,7 +223,48 @@ def q_raw_json_valid(spark, sf_dir):
 
 
 def q_dedup_events(spark, sf_dir):
-    return realtime.latest_per_key(_events(spark, sf_dir), "id", ["event_ts", "content_id"])
+    return realtime.latest_per_key(_defects(spark, sf_dir), "id", ["event_ts", "content_id"])
+
+
+def q_top_content_meta(spark, sf_dir):
+    """The ranking as it is served, with the latest metadata of each content."""
+    return realtime.top_content(_enriched(spark, sf_dir), P.TOP_K, with_meta=True)
+
+
+def q_daily_summary_ordered(spark, sf_dir):
+    return marts.ordered_daily(marts.daily_summary(_fact(spark, sf_dir)))
+
+
+def q_hourly_trends_ordered(spark, sf_dir):
+    return marts.ordered_hourly(marts.hourly_trends(_fact(spark, sf_dir), P.AS_OF,
+                                                    P.RECENT_DAYS))
+
+
+def q_content_valid(spark, sf_dir):
+    """V3: the catalogue with defects that the content rules must find."""
+    return validate.validate_content(fx.content_with_defects(_content(spark, sf_dir)[0]))[0]
+
+
+def q_content_rejected(spark, sf_dir):
+    bad = validate.validate_content(fx.content_with_defects(_content(spark, sf_dir)[0]))[1]
+    return bad.withColumn("reasons", validate.reasons_text())
+
+
+def q_backfill_ordered(spark, sf_dir):
+    """T4 + T7: a page of the range in replay order."""
+    from eventide.streaming.backfill import backfill_frame
+    content, small = _content(spark, sf_dir)
+    frame = backfill_frame(_events(spark, sf_dir), content, P.BACKFILL_START, P.BACKFILL_END,
+                           strict=False, known_small=small)
+    return marts.page(frame, ["event_ts", "id"], P.PAGE_SIZE, P.PAGE_NUMBER)
+
+
+def q_raw_json_rejected(spark, sf_dir):
+    """V1/V6: documents with defects, counted by the reasons for which they are rejected."""
+    docs = fx.documents_with_defects(proj.to_change_row(_events(spark, sf_dir)))
+    bad = validate.validate_raw(docs, "value")[1]
+    return (bad.groupBy(validate.reasons_text().alias("reasons"))
+            .agg(F.count(F.col("_raw")).alias("documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -19,12 +19,18 @@ CONTENT = """content AS (
          p_name AS title,
          CASE p_partkey % 3 WHEN 0 THEN 'video' WHEN 1 THEN 'podcast' ELSE 'newsletter' END AS content_type,
          CAST(CASE WHEN p_partkey % 3 = 2 THEN NULL WHEN p_partkey % 30 = 0 THEN 0
-                   ELSE p_size * 10 END AS INTEGER) AS length_seconds
-  FROM part WHERE p_partkey < 95)"""
+                   ELSE p_size * 10 END AS INTEGER) AS length_seconds,
+         make_timestamp(1704067200000000 + (p_partkey % 50) * 86400000000) AS publish_ts
+  FROM part)"""
 
-EVENTS = """engagement_events AS (
+EVENTS = """raw_events AS (
+  SELECT *, CAST(json_extract_string(props,'$.k') AS BIGINT) AS k FROM events),
+engagement_events AS (
   SELECT event_id AS id,
-         concat('00000000-0000-4000-8000-', lpad(json_extract_string(props,'$.k'),12,'0')) AS content_id,
+         concat('00000000-0000-4000-8000-', lpad(CAST(
+           CASE WHEN event_id % 19 = 0 THEN k + 900000000000
+                WHEN event_id % 3 = 0 THEN k % (SELECT count(*) FROM part)
+                ELSE (event_id * 7919 + k) % (SELECT count(*) FROM part) END AS VARCHAR),12,'0')) AS content_id,
          concat('00000000-0000-4000-9000-', lpad(CAST(user_id AS VARCHAR),12,'0')) AS user_id,
          CASE event_type WHEN 'view' THEN 'play' WHEN 'signup' THEN 'pause' WHEN 'purchase' THEN 'finish'
                          WHEN 'click' THEN 'click' ELSE 'error' END AS event_type,
@@ -33,10 +39,38 @@ EVENTS = """engagement_events AS (
               WHEN event_id % 89 = 0 THEN 0
               ELSE CAST(round(value*1000) AS INT) + CAST(event_id % 10 AS INT) END AS INTEGER) AS duration_ms,
          CASE WHEN event_id % 53 = 0 THEN NULL
-              ELSE CASE CAST(user_id % 6 AS INT) WHEN 0 THEN 'ios' WHEN 1 THEN 'android' WHEN 2 THEN 'web-chrome'
-                   WHEN 3 THEN 'web-safari' WHEN 4 THEN 'web-firefox' ELSE 'web-edge' END END AS device,
-         props AS raw_payload
-  FROM events)"""
+              ELSE CASE CAST(user_id % 6 AS INT) WHEN 0 THEN 'phone-a' WHEN 1 THEN 'phone-b' WHEN 2 THEN 'tablet'
+                   WHEN 3 THEN 'desktop' WHEN 4 THEN 'television' ELSE 'speaker' END END AS device,
+         CASE WHEN event_id % 2 = 0 THEN props ELSE
+           '{"k": ' || k || ', "session_id": "s-' || user_id || '", "ip_address": "10.0.0.' || (user_id % 250)
+           || '", "user_agent": "client/' || (event_id % 7) || '", "referrer": null, "screen_resolution": "'
+           || (event_id % 5 + 1) || '00x600"}' END AS raw_payload
+  FROM raw_events)"""
+
+DEFECTS = """defect_events AS (
+  SELECT * REPLACE (CASE WHEN id % 101 <> 0 THEN id END AS id,
+                    CASE WHEN id % 103 <> 0 THEN event_ts END AS event_ts) FROM engagement_events
+  UNION ALL
+  SELECT * REPLACE (event_ts + INTERVAL 1 SECOND AS event_ts) FROM engagement_events WHERE id % 41 = 0)"""
+
+# what a stream with defects and exact copies keeps: every original, and the copy of an
+# original that has no id or no time to be matched by
+STREAM_EVENTS = EVENTS.replace("engagement_events AS (", "sent_events AS (") + """,
+engagement_events AS (
+  SELECT * REPLACE (CASE WHEN id % 101 <> 0 THEN id END AS id,
+                    CASE WHEN id % 103 <> 0 THEN event_ts END AS event_ts) FROM sent_events
+  UNION ALL
+  SELECT * FROM sent_events WHERE id % 41 = 0 AND (id % 101 = 0 OR id % 103 = 0))"""
+
+CONTENT_DEFECTS = """numbered AS (SELECT *, CAST(substr(content_id, 25, 12) AS BIGINT) AS k FROM content),
+content_defects AS (
+  SELECT CASE WHEN k % 23 = 0 THEN 'x' || content_id ELSE content_id END AS content_id,
+         CASE WHEN k % 29 <> 0 THEN slug END AS slug, CASE WHEN k % 31 <> 0 THEN title END AS title,
+         CASE WHEN k % 37 = 0 THEN 'film' ELSE content_type END AS content_type, length_seconds, publish_ts,
+         concat_ws(',', CASE WHEN k % 23 = 0 THEN 'invalid_content_id' END,
+                   CASE WHEN k % 29 = 0 THEN 'missing_slug' END, CASE WHEN k % 31 = 0 THEN 'missing_title' END,
+                   CASE WHEN k % 37 = 0 THEN 'invalid_content_type' END) AS reasons
+  FROM numbered)"""
 
 DENSE_TS = ("make_timestamp(1704067200000000 + (epoch_us(event_ts) - 1704067200000000) // 100)")
 
@@ -157,7 +191,7 @@ def _trailing(col: str, as_of: str, amount: int, unit: str) -> str:
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["enriched"] = _with(*_std(), body="SELECT * FROM enriched")
-    q["quarantine"] = _with(CONTENT, EVENTS, _tagged(True), body="""
+    q["quarantine"] = _with(CONTENT, EVENTS, DEFECTS, _tagged(True, "defect_events"), body="""
 SELECT id, content_id, user_id, event_type, event_ts, duration_ms, device, raw_payload, reasons
 FROM tagged WHERE reasons <> ''""")
     q["enriched_view"] = _with(CONTENT, EVENTS, body="""
@@ -273,7 +307,7 @@ SELECT * FROM (
          CAST(row_number() OVER (ORDER BY score DESC, content_id DESC) AS INTEGER) AS rank,
          content_id, score, total_events, unique_users, total_engagement_seconds
   FROM top) WHERE rank <= {P.OVERVIEW_SHOW}""")
-    q["error_rate_alerts"] = _with(CONTENT, EVENTS, _tagged(True), body=f"""
+    q["error_rate_alerts"] = _with(CONTENT, EVENTS, DEFECTS, _tagged(True, "defect_events"), body=f"""
 SELECT window_start, window_start + INTERVAL {P.ALERT_MINUTES} MINUTE AS window_end,
        total_events, rejected_events, CAST(rejected_events AS DOUBLE) / total_events AS error_rate
 FROM (
@@ -282,13 +316,15 @@ FROM (
          CAST(sum(CASE WHEN reasons <> '' THEN 1 ELSE 0 END) AS BIGINT) AS rejected_events
   FROM tagged GROUP BY 1)
 WHERE CAST(rejected_events AS DOUBLE) / total_events > {P.ALERT_THRESHOLD}""")
-    q["quality_report"] = _with(CONTENT, EVENTS, _tagged(True), body=_quality_body())
+    q["quality_report"] = _with(CONTENT, EVENTS, DEFECTS, _tagged(True, "defect_events"),
+                                body=_quality_body())
     q["anomaly_flags"] = _with(*_std(), body=f"""
-SELECT *, coalesce(duration_ms < 0, false) AS negative_duration,
+SELECT e.*, c.publish_ts, coalesce(duration_ms < 0, false) AS negative_duration,
        coalesce(engagement_pct > 100, false) AS pct_over_100,
        coalesce(duration_ms = 0, false) AS zero_duration,
-       coalesce(event_ts > {_ts(P.AS_OF)}, false) AS future_event
-FROM enriched""")
+       coalesce(event_ts > {_ts(P.AS_OF)}, false) AS future_event,
+       coalesce(event_ts < c.publish_ts, false) AS before_publish
+FROM enriched e JOIN content c ON e.content_id = c.content_id""")
     q["warehouse_records"] = _with(*_std(), body=f"""
 SELECT id AS event_id, content_id, user_id, event_type, event_ts AS event_timestamp, duration_ms,
        CAST({_nz('engagement_seconds')} AS DOUBLE) AS engagement_seconds,
@@ -337,12 +373,52 @@ FROM engagement_events""")
     conds = " OR ".join(f"({c})" for _, c in _rules(True))
     q["raw_json_valid"] = _with(CONTENT, EVENTS, body=f"""
 SELECT * FROM engagement_events e WHERE NOT ({conds})""")
+    q["dedup_events"] = _with(CONTENT, EVENTS, DEFECTS, body="""
+SELECT * FROM defect_events
+QUALIFY id IS NULL OR row_number() OVER (
+  PARTITION BY id ORDER BY event_ts DESC NULLS LAST, content_id DESC) = 1""")
+    q["top_content_meta"] = _with(*_std(), body=f"""
+SELECT t.content_id, t.score, m.slug, m.title, m.content_type, t.total_events, t.unique_users,
+       t.total_engagement_seconds, m.last_updated
+FROM ({_top_content_body("enriched", P.TOP_K)}) t JOIN (
+  SELECT content_id, arg_max(slug, event_ts) AS slug, arg_max(title, event_ts) AS title,
+         arg_max(content_type, event_ts) AS content_type, max(event_ts) AS last_updated
+  FROM enriched GROUP BY content_id) m ON t.content_id = m.content_id""")
+    q["daily_summary_ordered"] = q["daily_summary"]
+    q["hourly_trends_ordered"] = q["hourly_trends"]
+    q["content_valid"] = _with(CONTENT, CONTENT_DEFECTS, body="""
+SELECT * EXCLUDE (reasons) FROM content_defects WHERE reasons = ''""")
+    q["content_rejected"] = _with(CONTENT, CONTENT_DEFECTS, body="""
+SELECT * FROM content_defects WHERE reasons <> ''""")
+    q["backfill_ordered"] = (f"{q['backfill']} ORDER BY event_ts, id "
+                             f"LIMIT {P.PAGE_SIZE} OFFSET {P.PAGE_SIZE * P.PAGE_NUMBER}")
+    codes = ", ".join(f"CASE WHEN {cond} THEN '{code}' END" for code, cond in _rules(True))
+    q["raw_json_rejected"] = _with(CONTENT, EVENTS, f"""judged AS (
+  SELECT id, nullif(concat_ws(',', {codes}), '') AS own FROM engagement_events e)""", body="""
+SELECT reasons, count(*) AS documents FROM (
+  SELECT CASE WHEN id % 43 = 0 THEN
+                'malformed_json,missing_id,invalid_content_id,invalid_user_id,invalid_event_type,invalid_event_ts'
+              WHEN id % 47 = 0 THEN concat_ws(',', 'invalid_raw_payload', own)
+              WHEN id % 53 = 0 THEN concat_ws(',', 'invalid_id,missing_id', own)
+              ELSE own END AS reasons FROM judged) WHERE reasons IS NOT NULL GROUP BY reasons""")
     from eventide.plans.stream_checks import ORACLE_TWIN
-    for name, twin in ORACLE_TWIN.items():
-        q[name] = q[twin]
-    q["dedup_events"] = _with(CONTENT, EVENTS, body="""
-SELECT * FROM engagement_events
-QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_ts DESC, content_id DESC) = 1""")
+    for name, (twin, defects) in ORACLE_TWIN.items():
+        q[name] = q[twin].replace(EVENTS, STREAM_EVENTS) if defects else q[twin]
+    q["stream_delivery_stats"] = _with(*_std(), body="""
+SELECT sent_count, error_count, sent_count + error_count AS total_attempts,
+       CAST(error_count AS DOUBLE) / greatest(sent_count + error_count, 1) AS error_rate
+FROM (SELECT CAST(sum(CASE WHEN id % 11 <> 0 AND id % 7 <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS sent_count,
+             CAST(sum(CASE WHEN id % 11 = 0 THEN 3 WHEN id % 7 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS error_count
+      FROM enriched)""")
+    q["stream_metrics"] = _with(CONTENT, STREAM_EVENTS, _tagged(True), body="""
+SELECT CAST(sum(CASE WHEN reasons = '' THEN 1 ELSE 0 END) AS BIGINT) AS processed,
+       CAST(sum(CASE WHEN reasons <> '' THEN 1 ELSE 0 END) AS BIGINT) AS errors,
+       CAST(sum(CASE WHEN reasons <> '' THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS error_rate
+FROM tagged""")
+    q["stream_fact"] = q["stream_fact"].replace(EVENTS, STREAM_EVENTS)
+    q["stream_quarantine"] = _with(CONTENT, STREAM_EVENTS, _tagged(True), body="""
+SELECT id, content_id, user_id, event_type, event_ts, duration_ms, device, raw_payload, reasons
+FROM tagged WHERE reasons <> ''""")
     # exact DECIMAL outputs are reported as DOUBLE (same single cast on both sides)
     for name in DECIMAL_OUTPUTS:
         q[name] = (f"SELECT * REPLACE (CAST(engagement_seconds AS DOUBLE) AS engagement_seconds, "
@@ -350,7 +426,8 @@ QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_ts DESC, content_id DE
     return q
 
 
-DECIMAL_OUTPUTS = ("enriched", "enriched_view", "anomaly_flags", "backfill", "stream_fact")
+DECIMAL_OUTPUTS = ("enriched", "enriched_view", "anomaly_flags", "backfill", "backfill_ordered",
+                   "stream_fact")
 
 
 def _quality_body() -> str:

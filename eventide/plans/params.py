@@ -23,5 +23,7 @@ RECENT_DAYS = 7
 FRESHNESS_MINUTES = 5
 ALERT_MINUTES = 5
 ALERT_THRESHOLD = 0.01
+PAGE_SIZE = 100
+PAGE_NUMBER = 2
 BACKFILL_START = "2024-01-10 00:00:00"
 BACKFILL_END = "2024-01-17 00:00:00"

@@ -9,19 +9,25 @@ fresh folder per run.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventide.operators import windows
 from eventide.operators.enrich import enrich
 from eventide.operators.validate import reasons_text
+from eventide.plans import params as P
 from eventide.session import checkpoint_dir, session_key
+from eventide.sinks.delivery import deliver, delivery_stats
 from eventide.sinks.serving import ServingStore
 from eventide.sinks.warehouse import read_fact
 from eventide.sources import fixtures as fx
 from eventide.streaming import stateful
-from eventide.streaming.pipeline import Sinks, file_events, prepare_stream, run_stream
+from eventide.streaming.backfill import backfill
+from eventide.streaming.pipeline import (Sinks, file_events, prepare_stream, process_batch,
+                                         processing_metrics, run_stream)
 
 PARTS = 2
 _runs: dict[tuple, str] = {}
@@ -31,19 +37,24 @@ def write_time_ordered(df: DataFrame, path: str, parts: int = PARTS, ts: str = "
                        files_per_part: int | None = None) -> int:
     """Write ``parts`` appends in event-time order, as a producer would deliver them.
 
-    Each append is a range filter pushed to the scan, written as ``files_per_part`` files
-    (default: the session's parallelism); the file stream source sees the appends in
-    modification-time order, so the watermark never drops an on-time event. Returns
-    ``files_per_part`` (use it as ``maxFilesPerTrigger`` for one slice per micro-batch).
+    Each append is a range of times, written as ``files_per_part`` files (default: the
+    session's parallelism); rows without a time come with the first. The file stream source
+    sees the appends in modification-time order, so the watermark never drops an on-time
+    event. Returns ``files_per_part`` (use it as ``maxFilesPerTrigger`` for one slice per
+    micro-batch).
     """
     k = files_per_part or df.sparkSession.sparkContext.defaultParallelism
     b = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-    lo = F.lit(b.lo).cast("timestamp_ntz")
-    span = F.unix_micros(F.lit(b.hi).cast("timestamp")) - F.unix_micros(lo.cast("timestamp")) + 1
-    part = F.floor((F.unix_micros(F.col(ts).cast("timestamp"))
-                    - F.unix_micros(lo.cast("timestamp"))) * parts / span)
+    step = (b.hi - b.lo) / parts
     for i in range(parts):
-        df.where(part == i).repartition(k).write.mode("append").parquet(path)
+        a = F.lit(b.lo + step * i).cast("timestamp_ntz")
+        e = F.lit(b.lo + step * (i + 1)).cast("timestamp_ntz")
+        later = F.col(ts) >= a if i else F.lit(True)
+        sooner = F.col(ts) < e if i < parts - 1 else F.lit(True)
+        part = later & sooner & F.col(ts).isNotNull()
+        if not i:
+            part = part | F.col(ts).isNull()
+        df.where(part).repartition(k).write.mode("append").parquet(path)
     return k
 
 
@@ -57,7 +68,8 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> str:
     if key in _runs:
         return _runs[key]
     root = _root(spark, "pipeline")
-    k = write_time_ordered(fx.load_events(spark, sf_dir), f"{root}/source")
+    sent = fx.with_defects(fx.load_events(spark, sf_dir), resent_after="0 SECOND")
+    k = write_time_ordered(sent, f"{root}/source")
     sinks = Sinks(warehouse=f"{root}/fact", quarantine=f"{root}/quarantine",
                   serving=ServingStore(spark, f"{root}/serving", history=1000),
                   metrics=f"{root}/metrics")
@@ -96,51 +108,109 @@ def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.withColumn("reasons", reasons_text()).drop("batch_id", "rejected_at")
 
 
-def _stateful_run(spark: SparkSession, sf_dir: str, label: str, build) -> DataFrame:
-    """Dense enriched events as a stream -> stateful operator -> complete output to parquet.
+def _grain_run(spark: SparkSession, sf_dir: str, label: str, build, keys: list[str]
+               ) -> DataFrame:
+    """Dense enriched events as a stream -> bounded grain -> its rows as last updated.
 
-    Complete mode flushes every open window/session for the comparison; a production run
-    uses append mode, where state is dropped once the watermark passes.
+    The stream keeps one constant-size state row per (content, pane or cell, user) until the
+    watermark passes and writes the rows that a micro-batch changed into that batch's own
+    folder; the newest row of a key counts. Windows and sessions are computed from the grain
+    when they are read.
     """
     key = (session_key(spark), sf_dir, label)
     if key not in _runs:
         root = _root(spark, label)
         k = write_time_ordered(fx.load_dense_events(spark, sf_dir), f"{root}/source")
-        content = fx.load_content(spark, sf_dir)
         events = file_events(spark, f"{root}/source", max_files_per_trigger=k)
-        enriched = enrich(events, content)[0]
-        out = f"{root}/out"
-
-        def write(df: DataFrame, batch_id: int) -> None:
-            df.write.mode("overwrite").parquet(out)
-
-        q = (build(prepare_stream(enriched, "1 hour", dedup=False)).writeStream
-             .outputMode("complete").foreachBatch(write)
-             .option("checkpointLocation", f"{root}/checkpoint")
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-        _runs[key] = out
-    return spark.read.parquet(_runs[key])
+        enriched = enrich(events, fx.load_content(spark, sf_dir))[0]
+        grain = build(prepare_stream(enriched, "1 hour", dedup=False))
+        stateful.run_grain(grain, f"{root}/out", f"{root}/checkpoint",
+                           trigger={"availableNow": True}).awaitTermination()
+        _runs[key] = f"{root}/out"
+    return stateful.read_grain(spark, _runs[key], keys)
 
 
 def q_stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stateful_run(spark, sf_dir, "sessions",
-                         lambda s: stateful.session_stats(s, "15 minutes"))
+    grain = _grain_run(spark, sf_dir, "sessions", lambda s: stateful.session_cells(s, 15),
+                       ["content_id", "_cell", "user_id"])
+    return windows.sessions_from_grain(grain, 15)
 
 
 def q_stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stateful_run(spark, sf_dir, "sliding",
-                         lambda s: stateful.sliding_window_counts(s, "10 minutes", "1 minute"))
+    grain = _grain_run(spark, sf_dir, "sliding", lambda s: stateful.user_panes(s, 1),
+                       ["content_id", "pane", "user_id"])
+    return windows.sliding_from_grain(grain, 10, 1)
+
+
+def q_stream_backfill_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST13: live batch, backfill, live batch, and a replay of each: every event counts once."""
+    key = (session_key(spark), sf_dir, "backfill")
+    if key not in _runs:
+        root = _root(spark, "backfill")
+        events, content = fx.load_events(spark, sf_dir), fx.load_content(spark, sf_dir)
+        sinks = Sinks(warehouse=f"{root}/fact", quarantine=f"{root}/quarantine",
+                      serving=ServingStore(spark, f"{root}/serving"))
+        cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+        old, new = events.where(F.col("event_ts") < cut), events.where(F.col("event_ts") >= cut)
+        seen = old.where("id % 2 = 0")  # half of the past was streamed, the rest is missing
+        live = [seen, new]
+        process_batch(live[0], 0, content, sinks, source="live")
+        for _ in range(2):
+            backfill(events, content, "2024-01-01 00:00:00", "2024-01-15 00:00:00", sinks, 7)
+        for _ in range(2):
+            process_batch(live[1], 1, content, sinks, source="live")
+        backfill(events, content, "2024-01-01 00:00:00", "2024-01-15 00:00:00", sinks, 7)
+        process_batch(live[0], 0, content, sinks, source="live")
+        _runs[key] = root
+    return ServingStore(spark, f"{_runs[key]}/serving").content_stats().drop("score")
+
+
+def q_stream_event_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST7 through the serving store."""
+    return _store(spark, sf_dir).cached_events(P.AS_OF, P.CACHE_HOURS)
+
+
+def q_stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the batches' metrics add up to."""
+    m = processing_metrics(spark, f"{pipeline_run(spark, sf_dir)}/metrics")
+    return m.select("processed", "errors", "error_rate")
+
+
+class CheckClient:
+    """Delivery client of the registered check: refuses some events, fails on others."""
+
+    def post(self, body: str, url: str | None = None) -> int:
+        event = json.loads(body)["event_id"]
+        if event % 11 == 0:
+            raise ConnectionError("no answer")
+        return 500 if event % 7 == 0 else 200
+
+
+def q_stream_delivery_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6/K8: what delivery of all enriched events adds up to."""
+    enriched = enrich(fx.load_events(spark, sf_dir), fx.load_content(spark, sf_dir))[0]
+    results = deliver(enriched, CheckClient, min_wait=0, max_wait=0)
+    return delivery_stats(results)
+
+
+def q_stream_top_content_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5 through the serving store."""
+    return _store(spark, sf_dir).top_content(P.TOP_K).select(
+        "content_id", "score", "slug", "title", "content_type", "total_events", "unique_users",
+        "total_engagement_seconds", "last_updated")
 
 
 STREAM_QUERIES = {name[2:]: fn for name, fn in sorted(globals().items())
                   if name.startswith("q_stream_") and callable(fn)}
-# the batch twin whose oracle SQL each stream query must match
+# the batch twin whose oracle SQL each stream query must match, and whether the stream carries
+# the defects of F7 (lost ids and times, exact copies)
 ORACLE_TWIN = {
-    "stream_top_content": "top_content",
-    "stream_content_stats": "content_stats",
-    "stream_recent_events": "recent_events",
-    "stream_quarantine": "quarantine",
-    "stream_sessions": "sessions",
-    "stream_sliding_counts": "sliding_counts",
+    "stream_top_content": ("top_content", True),
+    "stream_content_stats": ("content_stats", True),
+    "stream_recent_events": ("recent_events", True),
+    "stream_event_cache": ("event_cache", True),
+    "stream_top_content_meta": ("top_content_meta", True),
+    "stream_backfill_stats": ("content_stats", False),
+    "stream_sessions": ("sessions", False),
+    "stream_sliding_counts": ("sliding_counts", False),
 }

@@ -22,6 +22,7 @@ CONTENT = T.StructType([
     T.StructField("title", T.StringType(), False),
     T.StructField("content_type", T.StringType(), True),
     T.StructField("length_seconds", T.IntegerType(), True),
+    T.StructField("publish_ts", T.TimestampNTZType(), True),
 ])
 
 EVENT = T.StructType([
@@ -49,6 +50,27 @@ ENRICHED_COLUMNS = [
     "slug", "title", "content_type", "length_seconds", "engagement_seconds", "engagement_pct",
 ]
 
+# The fact table as it is stored (exact engagement values, partition columns last).
+FACT = T.StructType([
+    T.StructField("event_id", T.LongType(), True),
+    T.StructField("content_id", T.StringType(), True),
+    T.StructField("user_id", T.StringType(), True),
+    T.StructField("event_type", T.StringType(), True),
+    T.StructField("event_timestamp", T.TimestampNTZType(), True),
+    T.StructField("duration_ms", T.IntegerType(), True),
+    T.StructField("engagement_seconds", MONEY, True),
+    T.StructField("engagement_pct", MONEY, True),
+    T.StructField("device", T.StringType(), True),
+    T.StructField("content_slug", T.StringType(), True),
+    T.StructField("content_title", T.StringType(), True),
+    T.StructField("content_type", T.StringType(), True),
+    T.StructField("content_length_seconds", T.IntegerType(), True),
+    T.StructField("raw_payload", T.StringType(), True),
+    T.StructField("processed_timestamp", T.TimestampType(), True),
+    T.StructField("event_date", T.DateType(), True),
+    T.StructField("batch_id", T.LongType(), True),
+])
+
 WAREHOUSE = T.StructType([
     T.StructField("event_id", T.LongType(), False),
     T.StructField("content_id", T.StringType(), False),

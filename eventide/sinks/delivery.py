@@ -19,8 +19,6 @@ payload so the receiver can drop repeats.
 
 from __future__ import annotations
 
-import json
-import os
 import time
 import uuid
 from collections.abc import Callable, Iterator
@@ -30,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.operators.projections import to_payload_json
+from eventide.session import ship_code
 
 OK_STATUS = (200, 201, 202)
 RESULT_SCHEMA = "event_id long, delivered boolean, status int, failures int, error string"
@@ -55,25 +54,6 @@ class HttpClient:
             return int(e.code)
 
 
-class FileClient:
-    """Test client: appends each body as one line to a file per task; fixed status."""
-
-    def __init__(self, directory: str, status: int = 200, fail_ids: tuple = ()):
-        self.directory = directory
-        self.status = status
-        self.fail_ids = set(fail_ids)
-        self._path = os.path.join(directory, f"sent-{uuid.uuid4().hex}.jsonl")
-
-    def post(self, body: str, url: str | None = None) -> int:
-        doc = json.loads(body)
-        if doc.get("event_id") in self.fail_ids:
-            raise ConnectionError("simulated transport failure")
-        os.makedirs(self.directory, exist_ok=True)
-        with open(self._path, "a") as f:
-            f.write(body + "\n")
-        return self.status
-
-
 def _send_one(client, body: str, attempts: int, min_wait: float, max_wait: float):
     failures = 0
     for attempt in range(attempts):
@@ -126,6 +106,7 @@ def deliver(enriched: DataFrame, client_factory: Callable[[], object], attempts:
             min_wait: float = 4.0, max_wait: float = 10.0, chunk: int | None = None,
             batch_url: str | None = None) -> DataFrame:
     """K6/K7: send every enriched event; returns one result row per event (lazy)."""
+    ship_code(enriched.sparkSession)
     payloads = to_payload_json(enriched).select("event_id", "value")
     fn = _deliver_fn(client_factory, attempts, min_wait, max_wait, chunk, batch_url)
     return payloads.mapInPandas(fn, RESULT_SCHEMA)
@@ -141,7 +122,5 @@ def delivery_stats(results: DataFrame) -> DataFrame:
 
 
 def write_results(results: DataFrame, path: str, batch_id: int) -> None:
-    """Results of one batch under ``batch_id=N`` (replays replace their own rows)."""
-    (results.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+    """Results of one batch under ``batch_id=N`` (a replay replaces the folder)."""
+    results.write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")

@@ -27,3 +27,31 @@ def touch(spark: SparkSession, path: str) -> None:
     """Create an empty marker file (overwriting), the commit point of a version."""
     fs, p = _fs(spark, path)
     fs.create(p, True).close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file (driver side)."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file; it appears under its name only when it is complete."""
+    fs, p = _fs(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_{p.getName()}.tmp")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(part, p):
+        raise OSError(f"cannot write {path}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

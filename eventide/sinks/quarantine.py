@@ -1,6 +1,7 @@
 """Quarantine / dead-letter output (K10, V6): rejected rows with their reasons.
 
-Layout ``<path>/batch_id=N/``; a replayed batch replaces its own rows.
+Layout ``<path>/batch_id=N/``: a batch overwrites its own folder as a whole, also when it has
+no rejects, so a replay leaves nothing of an earlier attempt.
 """
 
 from __future__ import annotations
@@ -10,10 +11,8 @@ from pyspark.sql import functions as F
 
 
 def write_rejects(rejects: DataFrame, path: str, batch_id: int) -> None:
-    (rejects.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-     .withColumn("rejected_at", F.current_timestamp())
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+    (rejects.withColumn("rejected_at", F.current_timestamp())
+     .write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}"))
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:

@@ -1,114 +1,188 @@
-"""Keyed real-time serving store (K5, ST5, ST6, ST9, A1/A2/A14, T1/T3, J5).
-
-Replaces the source's in-memory key/value counters with versioned parquet snapshots that
-are merged once per micro-batch:
-
-``<path>/content_stats/v=N``  one row per content: counts, exact-decimal sums, latest
-                              metadata, distinct-user state (see below)
-``<path>/recent_events/v=N``  newest ``history`` events per content (bounded)
-``<path>/user_pairs/batch_id=N``  first sightings of (content_id, user_id), exact mode
-``<path>/_commits/b=K/N``     commit marker: version N is complete (K = N // 1000, so a
-                              lookup lists one or two small folders, not every batch)
-
-Batch N merges its partial aggregates into the newest committed version below N and
-writes version N, then commits. A replay of N reads the same base and overwrites the
-same outputs, so replays never double count (the source's increments did). Readers
-use the newest committed version.
-
-Distinct users: ``exact`` keeps the (content, user) pairs seen so far; a batch counts
-only pairs absent from earlier batches (the batch's pair set probes the history in a
-semi join; broadcast only behind a size check). ``sketch`` keeps a mergeable HLL sketch
-per content (``hll_sketch_agg`` / ``hll_union``): bounded state for very large audiences.
+"""Keyed real-time serving store (K5, ST5, ST6, ST7, ST8, ST9, A1/A2/A14, T1/T3, J5).
+
+State is Parquet in hash buckets of the content id, merged once per micro-batch:
+
+``<path>/stats/v=S/bucket=B``   one row per content: counts, exact-decimal sums, latest
+                                metadata, distinct-user state (see below)
+``<path>/recent/v=S/bucket=B``  newest ``history`` events per content (bounded)
+``<path>/pairs/v=S/bucket=B``   first sightings of (content_id, user_id), exact mode
+``<path>/events/v=S``           the per-event records of one commit (event cache)
+``<path>/_commits/S``           the commit: which version holds each bucket, and which
+                                batches of which source are in
+
+A commit has the next sequence number S, whatever the batch is called: stream batches,
+backfills and batches of a restarted stream are applied in the order they arrive. It reads and
+rewrites only the buckets whose contents the batch touches, and points to earlier versions for
+all others, so its cost follows the batch and not the history. A batch is known by (source,
+batch id): replaying the newest commit replaces it, replaying an older one changes nothing.
+Every ``COMPACT_AFTER`` pair files of a bucket are folded into one, and versions that the
+last ``keep`` commits do not use are removed, both as part of writing.
+
+Distinct users: ``exact`` keeps the (content, user) pairs seen so far; a batch counts only
+pairs absent from the buckets it touches (semi join; broadcast only behind a size check).
+``sketch`` keeps a mergeable HLL sketch per content (``hll_sketch_agg`` / ``hll_union``):
+bounded state for very large audiences.
 """
 
 from __future__ import annotations
 
+import copy
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventide.functions import engagement as fx
+from eventide.functions.time import trailing
 from eventide.operators import projections as proj
-from eventide.operators.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
+from eventide.operators.joins import DEFAULT_BROADCAST_BYTES, maybe_broadcast
 from eventide.sinks import fs
 
-COMMIT_BUCKET = 1000
+#: Hash buckets of the state; give a large catalogue more (a bucket is rewritten as a whole).
+BUCKETS = 16
+COMPACT_AFTER = 16
+#: Rows of (content, user) ids, 36 characters each, that fit the broadcast bound.
+PAIR_ROWS = DEFAULT_BROADCAST_BYTES // 128
 T_SUM = "decimal(38,2)"
 T_SCORE_SUM = "decimal(38,5)"
+_EMPTY = {"seq": 0, "prev": 0, "source": None, "batch": None, "done": {}, "stats": {}, "recent": {},
+          "pairs": {}, "events": []}
 
 
 class ServingStore:
     def __init__(self, spark: SparkSession, path: str, history: int = 1000,
-                 distinct: str = "exact"):
+                 distinct: str = "exact", buckets: int = BUCKETS, keep: int = 8,
+                 event_cache: bool = True):
         if distinct not in ("exact", "sketch"):
             raise ValueError("distinct must be 'exact' or 'sketch'")
         self.spark = spark
         self.path = path.rstrip("/")
         self.history = history
         self.distinct = distinct
+        self.buckets = buckets
+        self.keep = max(2, keep)  # the newest commit's predecessor must stay for its replay
+        self.event_cache = event_cache
 
-    # ---- versions -------------------------------------------------------------------
-    def _bucket(self, batch_id: int) -> str:
-        return f"{self.path}/_commits/b={int(batch_id) // COMMIT_BUCKET}"
-
-    def _buckets(self) -> list[int]:
-        names = fs.list_names(self.spark, f"{self.path}/_commits")
-        return sorted(int(n[2:]) for n in names if n.startswith("b=") and n[2:].isdigit())
-
-    def committed(self, lo: int | None = None, hi: int | None = None) -> list[int]:
-        """Committed versions in ``[lo, hi)`` (listing only the marker buckets in range)."""
-        out = []
-        for b in self._buckets():
-            if lo is not None and (b + 1) * COMMIT_BUCKET <= lo:
-                continue
-            if hi is not None and b * COMMIT_BUCKET >= hi:
-                continue
-            out += [int(n) for n in fs.list_names(self.spark, f"{self.path}/_commits/b={b}")
-                    if n.isdigit()]
-        return sorted(v for v in out if (lo is None or v >= lo) and (hi is None or v < hi))
-
-    def base_version(self, batch_id: int) -> int | None:
-        """Newest committed version below ``batch_id`` (searching buckets downwards)."""
-        for b in reversed([b for b in self._buckets() if b * COMMIT_BUCKET < batch_id]):
-            below = self.committed(b * COMMIT_BUCKET, batch_id)
-            if below:
-                return below[-1]
-        return None
+    # ---- commits --------------------------------------------------------------------
+    def committed(self) -> list[int]:
+        """Sequence numbers of the commits that are kept (at most ``keep`` and a few more)."""
+        return sorted(int(n) for n in fs.list_names(self.spark, f"{self.path}/_commits")
+                      if n.isdigit())
 
     def latest(self) -> int | None:
-        for b in reversed(self._buckets()):
-            c = self.committed(b * COMMIT_BUCKET, (b + 1) * COMMIT_BUCKET)
-            if c:
-                return c[-1]
-        return None
-
-    def _read(self, name: str, version: int | None) -> DataFrame | None:
-        if version is None:
-            return None
-        return self.spark.read.parquet(f"{self.path}/{name}/v={version}")
+        seqs = self.committed()
+        return seqs[-1] if seqs else None
+
+    def _manifest(self, seq: int | None) -> dict:
+        if not seq:
+            return copy.deepcopy(_EMPTY)
+        return json.loads(fs.read_text(self.spark, f"{self.path}/_commits/{seq}"))
+
+    def _read(self, name: str, manifest: dict, buckets: list[int] | None = None
+              ) -> DataFrame | None:
+        """The current files of ``name``, of all buckets or of the given ones."""
+        chosen = manifest[name]
+        paths = []
+        for b, seqs in sorted(chosen.items()):
+            if buckets is None or int(b) in buckets:
+                for s in seqs if isinstance(seqs, list) else [seqs]:
+                    paths.append(f"{self.path}/{name}/v={s}/bucket={b}")
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64("content_id"), F.lit(self.buckets)).cast("int")
+
+    def _write(self, df: DataFrame, name: str, seq: int) -> None:
+        (df.withColumn("bucket", self._bucket()).repartition("bucket")
+         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}/v={seq}"))
 
     # ---- write one batch ------------------------------------------------------------
-    def write_batch(self, enriched: DataFrame, batch_id: int, batch_rows: int | None = None
-                    ) -> None:
-        """Merge one batch into version ``batch_id`` and commit it.
-
-        ``batch_rows`` (when the caller counted the batch) bounds the batch's distinct
-        pairs, so the broadcast decision needs no extra count.
+    def write_batch(self, enriched: DataFrame, batch_id: int, batch_rows: int | None = None,
+                    source: str = "stream") -> None:
+        """Merge one batch and commit it.
+
+        ``source`` names where batch ids come from (a streaming query's id, or a backfill); ids
+        of one source must not be used twice for different batches. ``batch_rows`` (when the
+        caller counted the batch) bounds the batch's distinct pairs, so the broadcast decision
+        needs no extra count.
         """
         from eventide.streaming.pipeline import _run_concurrently
 
-        base = self.base_version(batch_id)
-        small = None if batch_rows is None else batch_rows <= DEFAULT_BROADCAST_ROWS
-
-        def stats() -> None:
-            (self._merge_stats(enriched, batch_id, base, small)
-             .write.mode("overwrite").parquet(f"{self.path}/content_stats/v={batch_id}"))
-
-        def recent() -> None:
-            (self._merge_recent(enriched, base)
-             .write.mode("overwrite").parquet(f"{self.path}/recent_events/v={batch_id}"))
-
-        _run_concurrently([stats, recent], self.spark)
-        fs.touch(self.spark, f"{self._bucket(batch_id)}/{batch_id}")
+        head = self._manifest(self.latest())
+        base = head
+        if batch_id in head["done"].get(source, []):
+            if (head["source"], head["batch"]) != (source, batch_id):
+                return  # in, and later commits build on it
+            base = self._manifest(head["prev"])  # replay of the newest: replace it
+        seq = head["seq"] + 1
+        touched = sorted(r["b"] for r in enriched.select(self._bucket().alias("b")).distinct()
+                         .collect())  # at most ``buckets`` numbers
+        new = copy.deepcopy(base)
+        new |= {"seq": seq, "prev": base["seq"], "source": source, "batch": int(batch_id)}
+        # a stream's ids only grow: its last few are enough; a backfill's are all kept
+        ids = [b for b in new["done"].get(source, []) if b != batch_id] + [int(batch_id)]
+        new["done"][source] = ids if source.startswith("backfill") else ids[-self.keep:]
+        if touched:
+            small = None if batch_rows is None else batch_rows <= PAIR_ROWS
+
+            def stats() -> None:
+                self._write(self._merge_stats(enriched, seq, base, new, touched, small),
+                            "stats", seq)
+
+            def recent() -> None:
+                self._write(self._merge_recent(enriched, base, touched), "recent", seq)
+
+            def events() -> None:
+                (proj.to_event_record(enriched).write.mode("overwrite")
+                 .parquet(f"{self.path}/events/v={seq}"))
+
+            _run_concurrently([stats, recent] + [events] * self.event_cache, self.spark)
+            for b in touched:
+                new["stats"][str(b)] = new["recent"][str(b)] = seq
+            if self.event_cache:
+                new["events"] = base["events"] + [seq]
+        fs.write_text(self.spark, f"{self.path}/_commits/{seq}", json.dumps(new))
+        self._retain(new)
+
+    def _retain(self, newest: dict) -> None:
+        """ST8: drop commits beyond the last ``keep``, and versions that no kept one uses."""
+        seqs = self.committed()
+        old, kept = seqs[:-self.keep], seqs[-self.keep:]
+        if not old:
+            return
+        manifests = [self._manifest(s) for s in kept] + [newest]
+        for name in ("stats", "recent", "pairs", "events"):
+            used: set[int] = set()
+            for m in manifests:
+                groups = m[name] if isinstance(m[name], list) else m[name].values()
+                for g in groups:
+                    used.update(g if isinstance(g, list) else [g])
+            for n in fs.list_names(self.spark, f"{self.path}/{name}"):
+                if n.startswith("v=") and int(n[2:]) not in used and int(n[2:]) < newest["seq"]:
+                    fs.delete(self.spark, f"{self.path}/{name}/{n}")
+        for s in old:
+            fs.delete(self.spark, f"{self.path}/_commits/{s}")
+
+    def expire_events(self, as_of, hours: int = 24) -> list[int]:
+        """ST8: drop the event records of commits that ended ``hours`` before ``as_of``; returns
+        the commits dropped. (Contents' histories expire when they are read, ``recent_events``.)"""
+        from eventide.functions.time import minus
+
+        head = self._manifest(self.latest())
+        if not head["events"]:
+            return []
+        paths = [f"{self.path}/events/v={s}" for s in head["events"]]
+        ended = (self.spark.read.parquet(*paths)
+                 .groupBy(F.regexp_extract(F.input_file_name(), "/v=([0-9]+)/", 1).cast("long")
+                          .alias("s")).agg(F.max("event_ts").alias("last"))
+                 .where(F.col("last") <= minus(as_of, hours, "HOUR")))
+        gone = sorted(r["s"] for r in ended.collect())  # one number per commit
+        if gone:
+            new = copy.deepcopy(head)
+            new |= {"seq": head["seq"] + 1, "events": [s for s in head["events"] if s not in gone]}
+            fs.write_text(self.spark, f"{self.path}/_commits/{new['seq']}", json.dumps(new))
+            self._retain(new)
+        return gone
 
     def _batch_stats(self, enriched: DataFrame) -> DataFrame:
         es = fx.nullif_zero("engagement_seconds")
@@ -128,78 +202,44 @@ class ServingStore:
         return (enriched.groupBy("content_id").agg(*aggs)
                 .select("content_id", "_m.slug", "_m.title", "_m.content_type", *measures))
 
-    def _new_users(self, enriched: DataFrame, batch_id: int, small: bool | None = None
-                   ) -> DataFrame:
-        """Exact mode: write the batch's first-seen (content, user) pairs to its own history
-        folder and return them as ``(content_id, new_users=1)`` rows."""
+    def _new_users(self, enriched: DataFrame, seq: int, base: dict, new: dict,
+                   touched: list[int], small: bool | None) -> DataFrame:
+        """Exact mode: write the batch's first-seen (content, user) pairs of the touched buckets
+        and return them as ``(content_id, unique_users=1)`` rows. A bucket with COMPACT_AFTER
+        files gets its whole history rewritten into one."""
         pairs = enriched.select("content_id", "user_id").distinct()
-        hist_path = f"{self.path}/user_pairs"
-        hist = self._pair_history(batch_id) if self.distinct == "exact" else None
+        hist = self._read("pairs", base, touched)
+        fresh = pairs
         if hist is not None:
+            hist = hist.select("content_id", "user_id")
             seen = hist.join(maybe_broadcast(pairs, known_small=small), ["content_id", "user_id"],
                              "left_semi")
             fresh = pairs.join(seen, ["content_id", "user_id"], "left_anti")
-        else:
-            fresh = pairs
-        # the batch's own partition folder, replaced as a whole on replay
-        own = f"{hist_path}/batch_id={int(batch_id)}"
-        fresh.write.mode("overwrite").parquet(own)
-        written = self.spark.read.schema("content_id string, user_id string").parquet(own)
+        full = [b for b in touched if len(base["pairs"].get(str(b), [])) >= COMPACT_AFTER]
+        out = fresh.withColumn("fresh", F.lit(True))
+        if full:
+            past = self._read("pairs", base, full).select("content_id", "user_id")
+            out = out.unionByName(past.withColumn("fresh", F.lit(False)))
+        self._write(out, "pairs", seq)
+        have = {int(n[7:]) for n in fs.list_names(self.spark, f"{self.path}/pairs/v={seq}")
+                if n.startswith("bucket=")}
+        for b in have:
+            past = [] if b in full else base["pairs"].get(str(b), [])
+            new["pairs"][str(b)] = past + [seq]
+        written = self.spark.read.schema("content_id string, user_id string, fresh boolean"
+                                         ).parquet(f"{self.path}/pairs/v={seq}")
         # one row per first-seen pair; the merge aggregation sums them per content
-        return written.select("content_id", F.lit(1).cast("long").alias("new_users"))
-
-    def _pair_history(self, batch_id: int) -> DataFrame | None:
-        """Pairs first seen before ``batch_id``: the newest compacted snapshot below it plus
-        the folders of the committed batches after that snapshot (named explicitly, so no
-        partition discovery walks every batch folder ever written)."""
-        hist_path = f"{self.path}/user_pairs"
-        snaps = [v for v in self._snapshots() if v < batch_id]
-        upto = snaps[-1] if snaps else None
-        batches = self.committed(None if upto is None else upto + 1, batch_id)
-        schema = "content_id string, user_id string"
-        parts = []
-        if upto is not None:
-            parts.append(self.spark.read.schema(schema).parquet(
-                f"{self.path}/user_pairs_snapshot/upto={upto}"))
-        if batches:
-            parts.append(self.spark.read.schema(schema).parquet(
-                *[f"{hist_path}/batch_id={b}" for b in batches]))
-        if not parts:
-            return None
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-    def _snapshots(self) -> list[int]:
-        marks = fs.list_names(self.spark, f"{self.path}/user_pairs_snapshot/_commits")
-        return sorted(int(n) for n in marks if n.isdigit())
-
-    def compact_pairs(self, upto: int | None = None) -> int | None:
-        """Consolidate the pair history of batches ``<= upto`` (default: newest committed)
-        into one snapshot, so later batches read one folder instead of one per batch.
-
-        The per-batch folders are left in place (a retention policy may remove them); the
-        snapshot is committed with a marker only after it is complete, so a failed
-        compaction changes nothing.
-        """
-        upto = self.latest() if upto is None else upto
-        if upto is None or self.distinct != "exact":
-            return None
-        hist = self._pair_history(upto + 1)
-        if hist is None:
-            return None
-        (hist.distinct().hint("rebalance", "content_id").write.mode("overwrite")
-         .parquet(f"{self.path}/user_pairs_snapshot/upto={upto}"))
-        fs.touch(self.spark, f"{self.path}/user_pairs_snapshot/_commits/{upto}")
-        return upto
-
-    def _merge_stats(self, enriched: DataFrame, batch_id: int, base: int | None,
-                     small: bool | None = None) -> DataFrame:
+        return written.where("fresh").select("content_id",
+                                             F.lit(1).cast("long").alias("unique_users"))
+
+    def _merge_stats(self, enriched: DataFrame, seq: int, base: dict, new: dict,
+                     touched: list[int], small: bool | None) -> DataFrame:
         """Merge by re-aggregation: previous rows, the batch's partial rows and the batch's
         new-user counts are stacked and folded per content in one aggregation (no joins)."""
         parts = [self._batch_stats(enriched)]
         if self.distinct == "exact":
-            parts.append(self._new_users(enriched, batch_id, small)
-                         .withColumnRenamed("new_users", "unique_users"))
-        prev = self._read("content_stats", base)
+            parts.append(self._new_users(enriched, seq, base, new, touched, small))
+        prev = self._read("stats", base, touched)
         if prev is not None:
             parts.insert(0, prev)
         stacked = parts[0]
@@ -222,32 +262,36 @@ class ServingStore:
                 .select("content_id", "_m.slug", "_m.title", "_m.content_type", "total_events",
                         "score", "es_sum", "pct_sum", "pct_count", "last_updated", users))
 
-    def _merge_recent(self, enriched: DataFrame, base: int | None) -> DataFrame:
+    def _merge_recent(self, enriched: DataFrame, base: dict, touched: list[int]) -> DataFrame:
         w = Window.partitionBy("content_id").orderBy(F.desc("event_ts"), F.desc("event_id"))
-        # the batch side first keeps its own newest ``history`` rows per content (events
-        # de-duplicated on (content, event) with a hash aggregation, then a row_number
-        # limit that Spark applies partially before the shuffle), so a content holding a
-        # large share of a big batch never sends all its rows to one task
-        cur = (proj.to_recent_event(enriched).dropDuplicates(["content_id", "event_id"])
+        # the batch side first keeps its own newest ``history`` rows per content (Spark applies
+        # the limit partially before the shuffle), so a content with a large share of a big
+        # batch never sends all its rows to one task
+        cur = (self._once(proj.to_recent_event(enriched))
                .withColumn("_rn", F.row_number().over(w))
                .where(F.col("_rn") <= self.history).drop("_rn"))
-        prev = self._read("recent_events", base)
-        allr = cur if prev is None else prev.unionByName(cur)
-        # newest first per content; an event id re-sent in a later batch sits next to its
-        # earlier copy in this order, so one shuffle on content_id de-duplicates and ranks
-        # at most 2 x history rows per content
-        allr = (allr.withColumn("_prev", F.lag("event_id").over(w))
-                .where(F.coalesce(F.col("_prev") != F.col("event_id"), F.lit(True))).drop("_prev"))
+        prev = self._read("recent", base, touched)
+        allr = cur if prev is None else self._once(prev.unionByName(cur))
         return (allr.withColumn("_rn", F.row_number().over(w))
                 .where(F.col("_rn") <= self.history).drop("_rn"))
 
+    @staticmethod
+    def _once(records: DataFrame) -> DataFrame:
+        """One row per (content, event): the latest of an event that was sent again, whatever
+        its times (a combining aggregation)."""
+        others = [c for c in records.columns if c not in ("content_id", "event_id")]
+        newest = F.max_by(F.struct(*others), F.struct("event_ts", F.hash(*others))).alias("_r")
+        return (records.groupBy("content_id", "event_id").agg(newest)
+                .select("content_id", "event_id", *[F.col(f"_r.{c}").alias(c) for c in others])
+                .select(*records.columns))
+
     # ---- read side ------------------------------------------------------------------
     def content_stats(self, version: int | None = None) -> DataFrame:
         """A1 + A14 + P10 serving rows of the newest (or a given) committed version."""
         v = self.latest() if version is None else version
-        if v is None:
-            raise FileNotFoundError(f"no committed version under {self.path}")
-        s = self._read("content_stats", v)
+        s = self._read("stats", self._manifest(v)) if v else None
+        if s is None:
+            raise FileNotFoundError(f"no committed rows under {self.path}")
         users = (F.col("unique_users") if self.distinct == "exact"
                  else F.hll_sketch_estimate("users_sketch"))
         return s.select(
@@ -270,7 +314,9 @@ class ServingStore:
         content's last event) only contents active within the TTL keep a history.
         """
         v = self.latest() if version is None else version
-        r = self._read("recent_events", v)
+        r = self._read("recent", self._manifest(v))
+        if r is None:
+            raise FileNotFoundError(f"no committed rows under {self.path}")
         w = Window.partitionBy("content_id").orderBy(F.desc("event_ts"), F.desc("event_id"))
         r = r.withColumn("position", F.row_number().over(w))
         if as_of is not None and ttl_minutes is not None:
@@ -280,3 +326,15 @@ class ServingStore:
                  .where(F.col("_last") > cutoff).drop("_last"))
         return r.where(F.col("position") <= n).drop("event_ts")
 
+    def cached_events(self, as_of, hours: int = 24) -> DataFrame:
+        """P8/ST7: per-event records of the ``hours`` before ``as_of``, one per event id."""
+        head = self._manifest(self.latest())
+        if not head["events"]:
+            raise FileNotFoundError(f"no event records under {self.path}")
+        r = self.spark.read.parquet(*[f"{self.path}/events/v={s}" for s in head["events"]])
+        live = r.where(trailing("event_ts", as_of, hours, "HOUR"))
+        others = [c for c in live.columns if c != "event_id"]
+        newest = F.max_by(F.struct(*others), F.struct("event_ts", F.hash(*others))).alias("_r")
+        return (live.groupBy("event_id").agg(newest)
+                .select("event_id", *[F.col(f"_r.{c}").alias(c) for c in others])
+                .drop("event_ts"))

@@ -5,8 +5,9 @@ files by (content_type, event_type, content_id) like the source's clustering, so
 row-group statistics skip data for those keys.
 
 Idempotence: a batch only ever writes its own ``batch_id=N`` partitions, with dynamic
-partition overwrite. Replaying batch N (after a failure, or a backfill run again with
-the same id) replaces exactly what N wrote before; other batches and dates are
+partition overwrite, and notes their dates under ``<path>/_dates/N`` before it writes.
+Replaying batch N (after a failure, or a backfill run again with the same id) replaces its
+partitions and removes those of dates that it no longer has; other batches and dates are
 untouched. Readers filter on ``event_date`` for partition pruning; ``read_fact(...,
 dedup=True)`` additionally keeps one row per ``event_id`` should the same event have
 arrived in two different batches.
@@ -18,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventide.operators.projections import to_fact
+from eventide.schemas import FACT
+from eventide.sinks import fs
 
 CLUSTER_BY = ("content_type", "event_type", "content_id")
 
@@ -28,6 +31,14 @@ def write_fact(enriched: DataFrame, path: str, batch_id: int,
     fact = (to_fact(enriched)
             .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
             .withColumn("processed_timestamp", F.current_timestamp()))
+    spark = enriched.sparkSession
+    own = int(batch_id)
+    notes = f"{path}/_dates/{own}"
+    before = set(fs.list_names(spark, notes))
+    # calendar days of the batch: a handful of values
+    now = {str(r["event_date"]) for r in fact.select("event_date").distinct().collect()}
+    for day in now - before:
+        fs.touch(spark, f"{notes}/{day}")
     # REBALANCE on the partition column: few files per date, while AQE splits a hot date
     # over several tasks instead of sending a whole day to one writer
     (fact.hint("rebalance", "event_date")
@@ -37,11 +48,14 @@ def write_fact(enriched: DataFrame, path: str, batch_id: int,
      .option("maxRecordsPerFile", records_per_file)
      .partitionBy("event_date", "batch_id")
      .parquet(path))
+    for day in before - now:
+        fs.delete(spark, f"{path}/event_date={day}/batch_id={own}")
+        fs.delete(spark, f"{notes}/{day}")
 
 
 def read_fact(spark: SparkSession, path: str, dedup: bool = False) -> DataFrame:
     """The fact table; ``dedup`` keeps the latest write per ``event_id``."""
-    fact = spark.read.option("basePath", path).parquet(path)
+    fact = spark.read.schema(FACT).option("basePath", path).parquet(path)
     if not dedup:
         return fact
     w = Window.partitionBy("event_id").orderBy(F.desc("batch_id"))

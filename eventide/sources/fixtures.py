@@ -13,52 +13,57 @@ from pyspark.sql import functions as F
 # Fixed values of the fixture mapping (FIXTURES.md F1/F2).
 CONTENT_ID_PREFIX = "00000000-0000-4000-8000-"
 USER_ID_PREFIX = "00000000-0000-4000-9000-"
-CONTENT_KEY_LIMIT = 95
+UNKNOWN_KEY = 900_000_000_000  # far above any part key: content that is not in the catalogue
+# Start of the fixture's time; the dense variant (F4) compresses time 100x from here.
+DENSE_BASE_MICROS = 1704067200000000
 EVENT_TYPE_MAP = {"view": "play", "signup": "pause", "purchase": "finish", "click": "click"}
-DEVICES = ("ios", "android", "web-chrome", "web-safari", "web-firefox", "web-edge")
+DEVICES = ("phone-a", "phone-b", "tablet", "desktop", "television", "speaker")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has task slots.
-
-    A single small file (one parquet row group) is read by one task, so all row-wise work
-    (JSON field extraction, validation, decimal arithmetic) would run on one core. Large
-    inputs have many splits and are returned unchanged: no shuffle is added at scale.
-    Filters and column pruning still reach the scan below the repartition.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 def _padded_uuid(prefix: str, key: Column) -> Column:
     return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 12, "0"))
 
 
 def content_from_part(part: DataFrame) -> DataFrame:
-    """content dimension derived from ``part`` (keys 0..94)."""
+    """content dimension derived from all rows of ``part``."""
     k = F.col("p_partkey")
     ctype = (F.when(k % 3 == 0, "video").when(k % 3 == 1, "podcast").otherwise("newsletter"))
     length = (F.when(k % 3 == 2, F.lit(None).cast("int"))
               .when(k % 30 == 0, F.lit(0))
               .otherwise(F.col("p_size") * 10))
-    return (part.where(k < CONTENT_KEY_LIMIT)
-            .select(_padded_uuid(CONTENT_ID_PREFIX, k).alias("content_id"),
-                    F.concat(F.replace(F.lower("p_name"), F.lit(" "), F.lit("-")), F.lit("-"),
-                             k.cast("string")).alias("slug"),
-                    F.col("p_name").alias("title"),
-                    ctype.alias("content_type"),
-                    length.cast("int").alias("length_seconds")))
-
-
-def events_from_raw(events: DataFrame) -> DataFrame:
-    """engagement events derived from the driver ``events`` table."""
+    publish = F.timestamp_micros(F.lit(DENSE_BASE_MICROS) + (k % 50) * F.lit(86_400_000_000))
+    return part.select(_padded_uuid(CONTENT_ID_PREFIX, k).alias("content_id"),
+                       F.concat(F.replace(F.lower("p_name"), F.lit(" "), F.lit("-")), F.lit("-"),
+                                k.cast("string")).alias("slug"),
+                       F.col("p_name").alias("title"),
+                       ctype.alias("content_type"),
+                       length.cast("int").alias("length_seconds"),
+                       publish.cast("timestamp_ntz").alias("publish_ts"))
+
+
+def events_from_raw(events: DataFrame, n_content: int) -> DataFrame:
+    """engagement events derived from the driver ``events`` table.
+
+    ``n_content`` (rows of ``part``) spreads two thirds of the events over the whole
+    catalogue; the others stay on its first hundred entries (hot content). Every 19th event
+    names content that the catalogue lacks. Every second payload carries the client fields.
+    """
     eid = F.col("event_id")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    key = (F.when(eid % 19 == 0, k + F.lit(UNKNOWN_KEY))
+           .when(eid % 3 == 0, k % F.lit(n_content))
+           .otherwise((eid * F.lit(7919) + k) % F.lit(n_content)))
+    user = F.col("user_id").cast("string")
+    payload = F.when(eid % 2 == 0, F.col("props")).otherwise(F.concat(
+        F.lit('{"k": '), k.cast("string"), F.lit(', "session_id": "s-'), user,
+        F.lit('", "ip_address": "10.0.0.'), (F.col("user_id") % 250).cast("string"),
+        F.lit('", "user_agent": "client/'), (eid % 7).cast("string"),
+        F.lit('", "referrer": null, "screen_resolution": "'), (eid % 5 + 1).cast("string"),
+        F.lit('00x600"}')))
     etype = F.col("event_type")
     mapped = F.lit("error")
     for src, dst in reversed(list(EVENT_TYPE_MAP.items())):
@@ -72,26 +77,59 @@ def events_from_raw(events: DataFrame) -> DataFrame:
     device = F.when(eid % 53 == 0, F.lit(None).cast("string")).otherwise(dev)
     return events.select(
         eid.alias("id"),
-        _padded_uuid(CONTENT_ID_PREFIX, F.get_json_object("props", "$.k")).alias("content_id"),
+        _padded_uuid(CONTENT_ID_PREFIX, key).alias("content_id"),
         _padded_uuid(USER_ID_PREFIX, F.col("user_id")).alias("user_id"),
         mapped.alias("event_type"),
         F.col("ts").alias("event_ts"),
         duration.cast("int").alias("duration_ms"),
         device.alias("device"),
-        F.col("props").alias("raw_payload"),
+        payload.alias("raw_payload"),
     )
 
 
+def with_defects(events: DataFrame, resent_after: str = "1 SECOND") -> DataFrame:
+    """the defects that a bus delivers: events without id, without time, and events sent
+    again (a copy ``resent_after`` later, or an exact copy for ``0 SECOND``)."""
+    again = events.where("id % 41 = 0").withColumn(
+        "event_ts", F.expr(f"event_ts + INTERVAL {resent_after}"))
+    lost = events.withColumn("event_ts", F.when(F.col("id") % 103 != 0, F.col("event_ts")))
+    lost = lost.withColumn("id", F.when(F.col("id") % 101 != 0, F.col("id")))
+    return lost.unionByName(again)
+
+
+def content_with_defects(content: DataFrame) -> DataFrame:
+    """F8: catalogue rows without slug or title, of an unknown type, or with a broken id."""
+    k = F.substring("content_id", 25, 12).cast("bigint")
+    return content.select(
+        F.when(k % 23 == 0, F.concat(F.lit("x"), "content_id")).otherwise(F.col("content_id"))
+        .alias("content_id"),
+        F.when(k % 29 != 0, F.col("slug")).alias("slug"),
+        F.when(k % 31 != 0, F.col("title")).alias("title"),
+        F.when(k % 37 == 0, "film").otherwise(F.col("content_type")).alias("content_type"),
+        "length_seconds", "publish_ts")
+
+
+def documents_with_defects(docs: DataFrame) -> DataFrame:
+    """JSON documents of events (column ``value``) of which some are cut short, carry a
+    scalar payload, a fractional id, or ids without hyphens in upper case (which are valid)."""
+    n = F.get_json_object("value", "$.id").cast("bigint")
+    v = F.col("value")
+    plain = F.regexp_replace(v, "00000000-0000-4000-9000-", "00000000000040009000")
+    return docs.select(
+        F.when(n % 43 == 0, F.substring(v, 1, 20))
+        .when(n % 47 == 0, F.concat(F.lit('{"raw_payload": 5, '), F.regexp_replace(
+            F.expr("substring(value, 2)"), '"raw_payload":', '"old_payload":')))
+        .when(n % 53 == 0, F.regexp_replace(v, '^\\{"id":([0-9]+)', '{"id":$1.5'))
+        .when(n % 59 == 0, plain).otherwise(v).alias("value"))
+
+
 def load_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_from_part(table(spark, sf_dir, "part"))
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_from_raw(spread_small_input(table(spark, sf_dir, "events")))
-
-
-# Time compression used for window and session tests (FIXTURES.md F4): 100x denser.
-DENSE_BASE_MICROS = 1704067200000000
+    n_content = table(spark, sf_dir, "part").count()  # from the file footers
+    return events_from_raw(table(spark, sf_dir, "events"), n_content)
 
 
 def densify(events: DataFrame, ts_col: str = "event_ts") -> DataFrame:

@@ -11,6 +11,7 @@ counting. Backfill calls the same ``process_batch`` on a batch DataFrame.
 
 from __future__ import annotations
 
+import json
 import logging
 import time
 from collections.abc import Callable
@@ -23,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventide.operators import enrich as en
 from eventide.operators.joins import fits_broadcast
-from eventide.operators.validate import REASONS
+from eventide.operators.validate import REASONS, with_canonical_ids
 from eventide.schemas import ENRICHED_COLUMNS, EVENT
 from eventide.session import checkpoint_dir
 
@@ -73,12 +74,18 @@ def _run_concurrently(tasks: list[Callable[[], None]], session: SparkSession | N
 
 
 def process_batch(batch: DataFrame, batch_id: int, content, sinks: Sinks, strict: bool = True,
-                  known_small: bool | None = None) -> dict:
-    """Validate, enrich and fan out one batch; returns its metrics (also written)."""
+                  known_small: bool | None = None, source: str | None = None) -> dict:
+    """Validate, enrich and fan out one batch; returns its metrics (also written).
+
+    ``source`` names where the batch id comes from; by default the id of the streaming query
+    that runs the batch, so that a stream started with a fresh checkpoint is another source.
+    """
     t0 = time.time()
     spark = batch.sparkSession
+    source = source or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
     if dict(batch.dtypes).get("event_ts") == "timestamp":
         batch = batch.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+    batch = with_canonical_ids(batch)
     tagged = en.tag(batch, _content(content), strict=strict, known_small=known_small)
     if "_parse_reasons" in batch.columns:  # raw JSON input: parse errors count too
         tagged = tagged.withColumn(REASONS, F.array_distinct(F.concat("_parse_reasons", REASONS)))
@@ -92,20 +99,22 @@ def process_batch(batch: DataFrame, batch_id: int, content, sinks: Sinks, strict
                    "processed_rows": n - rejected, "duration_sec": 0.0, "prepare_sec": 0.0,
                    "quarantine_sec": 0.0, "warehouse_sec": 0.0, "serving_sec": 0.0,
                    "delivery_sec": 0.0}
-        if n == 0:  # nothing arrived: leave every sink as it is
-            return metrics
+        # every sink is written even when it gets no row: a replayed batch replaces all that an
+        # earlier attempt wrote
         enriched = tagged.where(F.size(REASONS) == 0).select(*ENRICHED_COLUMNS)
-        rejects = tagged.where(F.size(REASONS) > 0).select(*EVENT.fieldNames(), REASONS)
+        # the document as it arrived, so that a rejected one can be repaired
+        raw = [F.col("_raw").alias("raw_document")] if "_raw" in tagged.columns else []
+        rejects = tagged.where(F.size(REASONS) > 0).select(*EVENT.fieldNames(), REASONS, *raw)
         tasks: dict[str, Callable[[], None]] = {}
-        if sinks.quarantine and rejected:
+        if sinks.quarantine:
             from eventide.sinks.quarantine import write_rejects
             tasks["quarantine"] = lambda: write_rejects(rejects, sinks.quarantine, batch_id)
-        if sinks.warehouse and n > rejected:
+        if sinks.warehouse:
             from eventide.sinks.warehouse import write_fact
             tasks["warehouse"] = lambda: write_fact(enriched, sinks.warehouse, batch_id)
-        if sinks.serving is not None and n > rejected:
-            tasks["serving"] = lambda: sinks.serving.write_batch(enriched, batch_id,
-                                                                 batch_rows=n - rejected)
+        if sinks.serving is not None:
+            tasks["serving"] = lambda: sinks.serving.write_batch(
+                enriched, batch_id, batch_rows=n - rejected, source=source)
         if sinks.delivery_client is not None and n > rejected:
             from eventide.sinks.delivery import deliver, write_results
 
@@ -152,7 +161,13 @@ def prepare_stream(stream: DataFrame, watermark: str = "10 minutes", dedup: bool
     """
     s = stream.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
     s = s.withWatermark("event_ts", watermark)
-    return s.dropDuplicatesWithinWatermark(["id"]) if dedup else s
+    if not dedup:
+        return s
+    # an event without id or time cannot be matched with a copy: it gets a key of its own,
+    # so that all such events reach the rules and the quarantine
+    known = F.col("id").isNotNull() & F.col("event_ts").isNotNull()
+    key = F.when(known, F.col("id").cast("string")).otherwise(F.expr("uuid()"))
+    return s.withColumn("_key", key).dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
 def run_stream(spark: SparkSession, stream: DataFrame, content, sinks: Sinks,
@@ -162,11 +177,10 @@ def run_stream(spark: SparkSession, stream: DataFrame, content, sinks: Sinks,
     """Start the pipeline; ``trigger`` e.g. ``{"processingTime": "1 second"}`` (default)
     or ``{"availableNow": True}`` for catch-up/backfill runs."""
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/{query_name or 'engagement-pipeline'}"
-    # a fixed catalogue is checked once (and, being provably small, kept in memory for the
-    # per-batch broadcast); one re-read per batch (callable) is checked per batch
+    # one rule for catalogues of any size: a DataFrame is read again by every batch from the
+    # files it was made of; a callable makes a new DataFrame for every batch, so it sees new
+    # files. Only the size check of a fixed DataFrame is not repeated.
     small = None if callable(content) else fits_broadcast(content)
-    if small:
-        content = content.persist()
 
     def fn(df: DataFrame, batch_id: int) -> None:
         process_batch(df, batch_id, content, sinks, strict=strict, known_small=small)
@@ -201,7 +215,7 @@ def raw_json_events(spark: SparkSession, path: str, max_files_per_trigger: int |
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return parse_raw_events(r.load(path), "value").drop("_raw")
+    return parse_raw_events(r.load(path), "value")
 
 
 def processing_metrics(spark: SparkSession, path: str, last: int = 1000) -> DataFrame:
@@ -216,11 +230,31 @@ def processing_metrics(spark: SparkSession, path: str, last: int = 1000) -> Data
         F.avg("duration_sec").alias("avg_batch_seconds"))
 
 
+def source_backlog(progress) -> int | None:
+    """What the sources hold beyond the processed offsets: records for sources that report
+    numeric offsets per topic and partition, else the backlog that a file source reports (files
+    not yet read). None if no source tells."""
+    total, told = 0, False
+    for s in progress.sources:
+        extra = dict(s.metrics or {})
+        if "numFilesOutstanding" in extra:
+            total, told = total + int(extra["numFilesOutstanding"]), True
+            continue
+        try:
+            end, latest = json.loads(s.endOffset), json.loads(s.latestOffset)
+            total += sum(int(n) - int(end.get(t, {}).get(p, 0))
+                         for t, parts in latest.items() for p, n in parts.items())
+            told = True
+        except (TypeError, ValueError, AttributeError):
+            continue
+    return total if told else None
+
+
 def progress_metrics(query: StreamingQuery, latency_limit_ms: int = 5000,
                      backlog_limit: int = 1000) -> dict:
     """A16/A17 from the last ``StreamingQueryProgress``: latency, rates, observed counts and
-    threshold flags (batch latency above ``latency_limit_ms``; more than ``backlog_limit``
-    rows read in one trigger means the query is catching up on a backlog)."""
+    threshold flags: batch latency above ``latency_limit_ms``, and more than ``backlog_limit``
+    records (or files) waiting in the sources."""
     p = query.lastProgress
     if not p:
         return {}
@@ -238,5 +272,6 @@ def progress_metrics(query: StreamingQuery, latency_limit_ms: int = 5000,
         "max_event_ts": observed["max_event_ts"] if observed else None,
     }
     out["latency_alert"] = latency > latency_limit_ms
-    out["backlog_alert"] = p.numInputRows > backlog_limit
+    out["backlog"] = source_backlog(p)
+    out["backlog_alert"] = (out["backlog"] or 0) > backlog_limit
     return out

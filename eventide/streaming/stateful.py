@@ -48,6 +48,49 @@ def session_stats(stream: DataFrame, gap: str = "15 minutes", distinct: str = "e
                     "total_events", "unique_users", "total_engagement_seconds"))
 
 
+def user_panes(stream: DataFrame, slide_minutes: int = 1) -> DataFrame:
+    """ST3 state: the pane grain of ``operators.windows`` as a streaming aggregation. A state
+    row is a few numbers, a hot content is spread over its users."""
+    return _timed(stream, slide_minutes, "pane", lambda us: [
+        F.count(F.lit(1)).alias("n"), F.sum(fx.content_score()).alias("score")])
+
+
+def session_cells(stream: DataFrame, gap_minutes: int = 15) -> DataFrame:
+    """ST4 state: the session grain of ``operators.windows`` as a streaming aggregation."""
+    return _timed(stream, gap_minutes, "_cell", lambda us: [
+        F.min(us).alias("_first"), F.max(us).alias("_last"), F.count(F.lit(1)).alias("_n"),
+        F.sum("engagement_seconds").alias("_es")])
+
+
+def _timed(stream: DataFrame, minutes: int, name: str, measures) -> DataFrame:
+    """Tumbling windows as cells counted since the epoch, so that the watermark drops state."""
+    us = F.unix_micros(F.col("event_ts").cast("timestamp"))
+    cell = (F.unix_micros("_w.start") / (int(minutes) * 60_000_000)).cast("long")
+    rows = stream.groupBy("content_id", F.window("event_ts", f"{int(minutes)} minutes").alias("_w"),
+                          "user_id").agg(*measures(us))
+    others = [c for c in rows.columns if c not in ("content_id", "_w", "user_id")]
+    return rows.select("content_id", cell.alias(name), "user_id", *others)
+
+
+def run_grain(grain: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Write the rows that each micro-batch changed (update mode) to ``<path>/batch_id=N``; a
+    replayed batch overwrites its folder."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+
+    return (grain.writeStream.outputMode("update").foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "1 minute"})).start())
+
+
+def read_grain(spark, path: str, keys: list[str]) -> DataFrame:
+    """The grain as last updated: of each key the row of its newest batch."""
+    rows = spark.read.parquet(path)
+    others = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    return (rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch_id").alias("_r"))
+            .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]))
+
+
 def live_scores(stream: DataFrame) -> DataFrame:
     """ST9 input: cumulative exact score per content (update or complete mode)."""
     return (stream.groupBy("content_id")

@@ -1,10 +1,17 @@
+import datetime as dt
 import os
 import sys
 
 import pytest
+from pyspark import cloudpickle
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.join(ROOT, "tests"))
+
+import clients  # noqa: E402
+
+cloudpickle.register_pickle_by_value(clients)  # workers do not have the tests on their path
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
@@ -21,16 +28,10 @@ def spark():
 
 @pytest.fixture(scope="session")
 def content_seed(spark):
-    """The eight seed catalogue rows of the source application (lengths as published)."""
+    """A small catalogue: every content type, with and without a length."""
     from eventide.schemas import CONTENT
-    rows = [
-        ("11111111-1111-4111-8111-000000000001", "podcast-ai-trends-2025", "AI Trends", "podcast", 3600),
-        ("11111111-1111-4111-8111-000000000002", "newsletter-ds-weekly", "DS Weekly", "newsletter", None),
-        ("11111111-1111-4111-8111-000000000003", "video-python-streaming", "Streaming", "video", 2400),
-        ("11111111-1111-4111-8111-000000000004", "podcast-tech-leadership", "Leadership", "podcast", 2700),
-        ("11111111-1111-4111-8111-000000000005", "video-kafka-tutorial", "Kafka", "video", 5400),
-        ("11111111-1111-4111-8111-000000000006", "newsletter-ml-weekly", "ML Weekly", "newsletter", None),
-        ("11111111-1111-4111-8111-000000000007", "podcast-startup-stories", "Startups", "podcast", 3300),
-        ("11111111-1111-4111-8111-000000000008", "video-docker-kubernetes", "Docker", "video", 7200),
-    ]
+    kinds = [("video", 2400), ("newsletter", None), ("podcast", 1800), ("video", 90)]
+    day = dt.datetime(2024, 1, 1)
+    rows = [(f"11111111-1111-4111-8111-{i:012d}", f"{kind}-{i}", f"Item {i}", kind, length, day)
+            for i, (kind, length) in enumerate(kinds, 1)]
     return spark.createDataFrame(rows, CONTENT)

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from eventide.functions import engagement as fx
 from eventide.schemas import EVENT
 
-CID = "11111111-1111-4111-8111-000000000003"  # video, 2400 s
+CID = "11111111-1111-4111-8111-000000000001"  # video, 2400 s
 USER = "22222222-2222-4222-8222-000000000001"
 
 
@@ -49,8 +49,8 @@ def test_golden_cases(spark, content_seed):
             _event(2, "finish", 50000, "11111111-1111-4111-8111-000000000009"),
             _event(3, "play", 0)]
     extra = spark.createDataFrame(
-        [("11111111-1111-4111-8111-000000000009", "short", "Short", "video", 10),
-         ("11111111-1111-4111-8111-000000000010", "zero", "Zero", "video", 0)],
+        [("11111111-1111-4111-8111-000000000009", "short", "Short", "video", 10, None),
+         ("11111111-1111-4111-8111-000000000010", "zero", "Zero", "video", 0, None)],
         content_seed.schema)
     content = content_seed.unionByName(extra)
     rows.append(_event(4, "play", 5000, "11111111-1111-4111-8111-000000000010"))

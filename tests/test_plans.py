@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from eventide.plans import catalog
 from eventide.operators import marts
 from eventide.sinks.warehouse import read_fact, write_fact
 
@@ -13,13 +14,29 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_python_in_registered_plans(spark, name):
     plan = _plan(entry.queries()[name](spark, SF))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_invalid_rows_are_filtered_before_the_join(spark):
+    plan = _plan(entry.queries()["top_content"](spark, SF))
+    assert "BroadcastHashJoin [content_id" in plan and "LeftOuter" not in plan
+    assert "size(" not in plan
+
+
+def test_sliding_windows_do_not_multiply_events(spark):
+    plan = _plan(entry.queries()["sliding_counts"](spark, SF))
+    assert "Expand" not in plan
+
+
+def test_whole_catalogue_is_read(spark):
+    for name in ("enriched", "content_stats", "stats_card"):
+        assert "LessThan(p_partkey" not in _plan(entry.queries()[name](spark, SF))
+
+
 def test_dimension_is_broadcast(spark):
     plan = _plan(entry.queries()["enriched"](spark, SF))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
@@ -27,8 +44,8 @@ def test_dimension_is_broadcast(spark):
 
 def test_scan_is_pruned_and_filter_pushed(spark):
     plan = _plan(entry.queries()["window_stats"](spark, SF))
-    # only the three columns the query needs are read, the time filter reaches the scan
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,props:string>" in plan
+    # only the columns the query needs are read, the time filter reaches the scan
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,props:string>" in plan
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan
 
 

@@ -194,7 +194,9 @@ def test_sessions_brute_force_random(spark):
 
 
 def test_delivery_with_recording_client(spark, data, tmp_path):
-    from eventide.sinks.delivery import FileClient, deliver, delivery_stats
+    from clients import FileClient
+
+    from eventide.sinks.delivery import deliver, delivery_stats
     _, _, enriched, _ = data
     out = str(tmp_path / "sent")
     ids = [r.id for r in enriched.select("id").limit(3).collect()]
@@ -214,7 +216,9 @@ def test_delivery_with_recording_client(spark, data, tmp_path):
 
 
 def test_delivery_non_2xx_not_retried(spark, data, tmp_path):
-    from eventide.sinks.delivery import FileClient, deliver, delivery_stats
+    from clients import FileClient
+
+    from eventide.sinks.delivery import deliver, delivery_stats
     _, _, enriched, _ = data
     small = enriched.limit(5)
     res = deliver(small, lambda: FileClient(str(tmp_path / "s"), status=500), min_wait=0, max_wait=0)
@@ -288,20 +292,15 @@ def test_serving_history_ttl(spark, data, streamed):
     assert _rows(got) == _rows(exp)
 
 
-def test_pair_compaction_keeps_counts(spark, data, tmp_path):
+def test_pair_compaction_keeps_counts(spark, data, tmp_path, monkeypatch):
+    from eventide.sinks import serving
+    monkeypatch.setattr(serving, "COMPACT_AFTER", 2)
     content, events, enriched, _ = data
-    store = ServingStore(spark, str(tmp_path / "serving"))
-    cuts = ["2024-01-08", "2024-01-16", "2024-01-24"]
-    bounds = [None] + cuts + [None]
-    for i in range(4):
-        part = events
-        if bounds[i]:
-            part = part.where(F.col("event_ts") >= F.lit(bounds[i]))
-        if bounds[i + 1]:
-            part = part.where(F.col("event_ts") < F.lit(bounds[i + 1]))
-        process_batch(part, i, content, Sinks(serving=store))
-        if i == 1:
-            assert store.compact_pairs() == 1
+    store = ServingStore(spark, str(tmp_path / "serving"), buckets=4)
+    for i in range(5):
+        process_batch(events.where(F.col("id") % 5 == i), i, content, Sinks(serving=store))
+    held = store._manifest(store.latest())["pairs"]
+    assert held and all(len(v) <= 3 for v in held.values())
     cols = ["content_id", "total_events", "unique_users"]
     assert _rows(store.content_stats(), cols) == _rows(realtime.content_stats(enriched), cols)
 
@@ -344,8 +343,8 @@ def test_failed_batch_is_replayed_without_double_counting(spark, data, tmp_path)
     class FailOnce:
         failed = False
 
-        def write_batch(self, df, batch_id, batch_rows=None):
-            store.write_batch(df, batch_id, batch_rows)
+        def write_batch(self, df, batch_id, batch_rows=None, source="stream"):
+            store.write_batch(df, batch_id, batch_rows, source)
             if not FailOnce.failed:
                 FailOnce.failed = True
                 raise RuntimeError("simulated failure after the serving write")
@@ -365,15 +364,106 @@ def test_failed_batch_is_replayed_without_double_counting(spark, data, tmp_path)
     assert _rows(store.content_stats(), cols) == _rows(realtime.content_stats(enriched), cols)
 
 
-def test_commit_marker_buckets(spark, tmp_path):
-    from eventide.sinks import fs
-    store = ServingStore(spark, str(tmp_path / "serving"))
-    assert store.latest() is None and store.base_version(5) is None
-    for v in (3, 999, 1000, 2500):
-        fs.touch(spark, f"{store._bucket(v)}/{v}")
-    assert store.committed() == [3, 999, 1000, 2500]
-    assert store.latest() == 2500
-    assert store.base_version(2500) == 1000
-    assert store.base_version(1000) == 999
-    assert store.base_version(4) == 3 and store.base_version(3) is None
-    assert store.committed(999, 2500) == [999, 1000]
+def _small(spark, n, first=0, ts="2024-01-01 10:00:00"):
+    """A few enriched events of one content."""
+    return spark.range(first, first + n).select(
+        "id", F.lit("c1").alias("content_id"), F.concat(F.lit("u"), F.col("id")).alias("user_id"),
+        F.lit("play").alias("event_type"), F.lit(ts).cast("timestamp_ntz").alias("event_ts"),
+        F.lit(1000).alias("duration_ms"), F.lit(None).cast("string").alias("device"),
+        F.lit(None).cast("string").alias("raw_payload"), F.lit("s").alias("slug"),
+        F.lit("t").alias("title"), F.lit("video").alias("content_type"),
+        F.lit(100).alias("length_seconds"),
+        F.lit("1.00").cast("decimal(18,2)").alias("engagement_seconds"),
+        F.lit("1.00").cast("decimal(18,2)").alias("engagement_pct"))
+
+
+def test_commits_apply_in_order_of_arrival(spark, tmp_path):
+    """Batch ids of a backfill or of a restarted stream do not hide other batches."""
+    store = ServingStore(spark, str(tmp_path / "s"))
+    total = lambda: store.content_stats().first().total_events
+    store.write_batch(_small(spark, 2), 0, source="live")
+    store.write_batch(_small(spark, 3, 10), 1_000_000, source="backfill")
+    store.write_batch(_small(spark, 4, 20), 1, source="live")
+    assert total() == 9
+    store.write_batch(_small(spark, 4, 20), 1, source="live")  # replay of the newest
+    store.write_batch(_small(spark, 3, 10), 1_000_000, source="backfill")  # and of an older one
+    assert total() == 9
+    store.write_batch(_small(spark, 5, 30), 0, source="fresh checkpoint")
+    assert total() == 14
+    store.write_batch(_small(spark, 1, 30), 0, source="fresh checkpoint")  # replay with less
+    assert total() == 10
+
+
+def test_cost_of_a_batch_does_not_grow(spark, tmp_path, monkeypatch):
+    """Files that a batch leaves behind and commits that are kept stay the same."""
+    from eventide.sinks import serving
+    monkeypatch.setattr(serving, "COMPACT_AFTER", 4)
+    store = ServingStore(spark, str(tmp_path / "s"), buckets=2, keep=3, history=5,
+                         event_cache=False)
+    seen = []
+    for i in range(24):
+        store.write_batch(_small(spark, 2, 2 * i), i)
+        files = sum(len(f) for _, _, f in os.walk(tmp_path / "s"))
+        seen.append((files, len(store.committed())))
+    assert max(f for f, _ in seen[12:]) <= max(f for f, _ in seen[6:12])
+    assert max(c for _, c in seen) <= 4
+    assert store.content_stats().first().unique_users == 48
+
+
+def test_resent_event_is_once_in_history(spark, tmp_path):
+    store = ServingStore(spark, str(tmp_path / "s"))
+    store.write_batch(_small(spark, 3), 0)
+    store.write_batch(_small(spark, 1, ts="2024-01-01 11:00:00"), 1)  # event 0 again, later
+    got = store.recent_events(10).collect()
+    assert sorted(r.event_id for r in got) == [0, 1, 2]
+    assert [r.event_id for r in got if r.position == 1] == [0]
+    assert sorted(r.event_id for r in store.cached_events("2024-01-01 12:00:00", 3).collect()) == [
+        0, 1, 2]
+
+
+def test_expired_event_records_are_dropped(spark, tmp_path):
+    store = ServingStore(spark, str(tmp_path / "s"), keep=2)
+    store.write_batch(_small(spark, 3), 0)
+    store.write_batch(_small(spark, 2, 5, ts="2024-01-03 10:00:00"), 1)
+    assert store.expire_events("2024-01-03 12:00:00", 24) == [1]
+    got = store.cached_events("2024-01-03 12:00:00", 24).collect()
+    assert sorted(r.event_id for r in got) == [5, 6]
+    assert store.content_stats().first().total_events == 5  # counters stay
+
+
+def test_replay_leaves_nothing_of_an_earlier_attempt(spark, data, tmp_path):
+    content, events, _, _ = data
+    root = str(tmp_path)
+    sinks = Sinks(warehouse=f"{root}/fact", quarantine=f"{root}/q")
+    first = events.where((F.col("event_ts") < F.lit("2024-01-04")) | (F.col("id") % 19 == 0))
+    process_batch(first, 0, content, sinks)
+    fewer = events.where((F.col("event_ts") < F.lit("2024-01-03")) & (F.col("id") % 19 != 0))
+    process_batch(fewer, 0, content, sinks)
+    good, bad = enrich(fewer, content)
+    fact = read_fact(spark, f"{root}/fact")
+    assert _rows(fact.select("event_id")) == _rows(good.select("id"), ["id"])
+    assert spark.read.parquet(f"{root}/q").count() == bad.count()
+    process_batch(events.limit(0), 0, content, sinks)
+    assert read_fact(spark, f"{root}/fact").count() == 0
+    assert spark.read.parquet(f"{root}/q").count() == 0
+
+
+def test_events_without_id_all_reach_the_quarantine(spark, data, tmp_path):
+    content, events, _, _ = data
+    root = str(tmp_path)
+    three = events.limit(3).withColumn("id", F.lit(None).cast("long"))
+    three.unionByName(three.limit(1).withColumn("event_ts", F.lit(None).cast("timestamp_ntz"))
+                      ).coalesce(1).write.parquet(f"{root}/src")
+    sinks = Sinks(quarantine=f"{root}/q")
+    run_stream(spark, file_events(spark, f"{root}/src"), content, sinks, checkpoint=f"{root}/ck",
+               trigger={"availableNow": True}, watermark="1 day", dedup=True).awaitTermination()
+    assert spark.read.parquet(f"{root}/q").count() == 4
+
+
+def test_alerts_count_events_without_time(spark, data):
+    from eventide.operators import marts
+    from eventide.operators.enrich import tag
+    content, events, _, _ = data
+    lost = events.limit(3).withColumn("event_ts", F.lit(None).cast("timestamp_ntz"))
+    got = marts.error_rate_alerts(tag(lost, content)).collect()
+    assert [(r.window_start, r.total_events, r.rejected_events) for r in got] == [(None, 3, 3)]
