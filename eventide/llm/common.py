@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.session import checkpoint_dir
+from eventide.session import checkpoint_dir, ship_code
 
 #: Bits of the presence bitmap: 2^25 bits in rows of 4 KB are at most 4 MB, whatever the
 #: number of keys, so broadcasting it is safe at any input size.
@@ -18,24 +15,6 @@ PRESENCE_BITS = 1 << 25
 _ROW_BITS = 32768  # bits of one bitmap row of Spark's bitmap functions
 
 
-_shipped: set[str] = set()
-
-
-def ship_code(spark: SparkSession) -> None:
-    """Let Python workers import this package: Spark sends them its source (once for each
-    application), so executors need no copy of the repository."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    path = f"{tempfile.mkdtemp(prefix='eventide-src-')}/{root.name}-src.zip"
-    with zipfile.ZipFile(path, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f"{root.name}/{f.relative_to(root)}")
-    sc.addPyFile(path)
-    _shipped.add(sc.applicationId)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
