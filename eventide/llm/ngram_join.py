@@ -11,9 +11,13 @@ whole sequence is the one shingle). Two texts link when 100 * |intersection| >=
 3. What is left is put in the global order: shingles by (number of classes that have them,
    hash). Partners must share a shingle among the first n - ceil(0.85 n) + 1 of each.
 4. Every shingle in such a prefix has a list of classes. Instead of all pairs of a list, each
-   class is compared with the list's most central class (highest mean shingle frequency).
-   Classes that link to it form components; pairs inside one component need no comparing. For
-   the rest, classes outside a list's largest component meet all classes of other components.
+   class is compared with the list's hub, its most central class (highest mean shingle
+   frequency). Classes that link to it form components; pairs inside one component need no
+   comparing. The overlaps with the hub bound all others: two classes share at most the smaller
+   of their overlaps with the hub, plus the smaller of their numbers of shared shingles outside
+   it. Only classes of different components that this bound lets link are compared: those
+   outside a group's largest component with all others of the group (a group is a list's
+   classes of two sizes).
 5. Overlaps are counted by vertical partitioning: the global order is cut into fragments at
    fixed quantiles, each pair's partial overlap is counted per fragment, and summed per pair.
 
@@ -230,9 +234,9 @@ def _segments(sets: DataFrame, fragments: int) -> tuple[DataFrame, DataFrame]:
         F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("order"))
     need = F.expr(f"({PERCENT} * n + 99) div 100")
     prefix = (by_class.withColumn("p", (F.col("m") - need + 1).cast("int")).where("p > 0")
-              .select("cid", "n", (F.col("w") / F.col("n")).alias("central"),
+              .select("cid", "n", "m", (F.col("w") / F.col("n")).alias("central"),
                       F.explode(F.slice("order", F.lit(1), F.col("p"))).alias("e"))
-              .select(F.col("e.tok").alias("tok"), "cid", "n", "central"))
+              .select(F.col("e.tok").alias("tok"), "cid", "n", "m", "central"))
     segments = (common.withColumn("frag", frag).groupBy("cid", "frag")
                 .agg(F.collect_list("tok").alias("seg")))
     return materialize(prefix, "prefix"), materialize(segments, "segments")
@@ -252,12 +256,13 @@ def partial_overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     return partial.groupBy("a", "na", "b", "nb").agg(F.sum("part").alias("inter"))
 
 
-def _linked(pairs: DataFrame, segments: DataFrame, name: str) -> DataFrame:
-    fits = (F.lit(100) * F.least("na", "nb") >= F.lit(PERCENT) * F.greatest("na", "nb"))
-    over = partial_overlaps(pairs.where(fits), segments)
-    ok = F.lit(100) * F.col("inter") >= F.lit(PERCENT) * (
-        F.col("na") + F.col("nb") - F.col("inter"))
-    return materialize(over.where(ok).select("a", "b", "inter"), name)
+def _fits(na, nb):
+    return F.lit(100) * F.least(na, nb) >= F.lit(PERCENT) * F.greatest(na, nb)
+
+
+def _enough(overlap, na, nb):
+    """100 * overlap >= PERCENT * union, for sets of na and nb with this overlap."""
+    return F.lit(100 + PERCENT) * overlap >= F.lit(PERCENT) * (na + nb)
 
 
 def class_links(prefix: DataFrame, segments: DataFrame) -> DataFrame:
@@ -265,26 +270,49 @@ def class_links(prefix: DataFrame, segments: DataFrame) -> DataFrame:
     hubs = (prefix.groupBy("tok").agg(F.max_by(F.struct("cid", "n"), F.struct("central", "cid"))
                                       .alias("hub"), F.count("*").alias("members"))
             .where("members > 1").select("tok", "hub.cid", "hub.n").toDF("tok", "a", "na"))
-    star = (prefix.join(hubs, "tok").where("a <> cid")
+    hubs = materialize(hubs, "hubs")
+    members = prefix.join(hubs, "tok")
+    star = (members.where("a <> cid").where(_fits("na", "n"))
             .select("a", "na", F.col("cid").alias("b"), F.col("n").alias("nb")).distinct())
-    links = _linked(star, segments, "star-links")
-    comp = connected_components(links)
-    # what a list still has to compare: classes of different components
-    lists = (prefix.join(comp.withColumnRenamed("node", "cid"), "cid", "left")
-             .select("tok", "cid", "n", F.coalesce("comp", "cid").alias("comp")))
-    parts = lists.groupBy("tok", "comp").agg(F.count("*").alias("size"))
-    major = (parts.groupBy("tok").agg(F.max_by("comp", F.struct("size", "comp")).alias("major"),
-                                      F.count("*").alias("comps")).where("comps > 1"))
-    open_ = materialize(lists.join(major.select("tok", "major"), "tok"), "open-lists")
+    star = materialize(partial_overlaps(star, segments), "star")
+    links = star.where(_enough(F.col("inter"), F.col("na"), F.col("nb")))
+    comp = connected_components(links).withColumnRenamed("node", "cid")
+
+    # what a list still has to compare: classes of different components. A class shares at most
+    # ``o`` shingles with another inside the hub and ``e`` outside it.
+    own = members.join(star.select("a", F.col("b").alias("cid"), "inter"), ["a", "cid"], "left")
+    hub = F.col("cid") == F.col("a")
+    own = own.join(comp, "cid", "left").select(
+        "tok", "cid", "n", F.coalesce("comp", "cid").alias("comp"),
+        F.when(hub, F.col("n")).otherwise(F.coalesce("inter", "n")).alias("o"),
+        F.when(hub, 0).otherwise(F.coalesce(F.col("m") - F.col("inter"), "m")).alias("e"))
+    sizes = (own.groupBy("tok").agg(F.collect_set("n").alias("sizes"),
+                                    F.min("comp").alias("c1"), F.max("comp").alias("c2"))
+             .where("c1 <> c2").select("tok", "sizes"))
+    # a group of a list: classes of two sizes, without those that the bound rules out for them
+    most = F.col("o") + F.col("e")
+    able = F.filter("sizes", lambda s: _fits("n", s) & _enough(most, F.col("n"), s))
+    groups = (own.join(sizes, "tok").withColumn("size", F.explode(able))
+              .select("tok", F.least("n", "size").alias("s1"), F.greatest("n", "size").alias("s2"),
+                      "cid", "n", "comp", "o", "e"))
+    groups = materialize(groups, "groups")
+    key = ["tok", "s1", "s2"]
+    parts = groups.groupBy(*key, "comp").agg(F.count("*").alias("size"))
+    major = (parts.groupBy(*key).agg(F.max_by("comp", F.struct("size", "comp")).alias("major"),
+                                     F.count("*").alias("comps")).where("comps > 1"))
+    open_ = materialize(groups.join(major.drop("comps"), key), "open-groups")
     minor = open_.where("comp <> major").select(
-        "tok", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    fits = (F.lit(100) * F.least("n", "nb") >= F.lit(PERCENT) * F.greatest("n", "nb"))
-    rest = (open_.join(minor, "tok")
-            .where((F.col("comp") != F.col("cb")) & fits
-                   & ((F.col("comp") == F.col("major")) | (F.col("cid") < F.col("b"))))
-            .select(F.col("cid").alias("a"), F.col("n").alias("na"), "b", "nb").distinct())
-    more = _linked(rest, segments, "rest-links")
-    return links.select("a", "b").unionByName(more.select("a", "b"))
+        *key, *[F.col(c).alias(f"{c}2") for c in ("cid", "n", "comp", "o", "e")])
+    bound = F.least("o", "o2") + F.least("e", "e2")
+    rest = (open_.join(minor, key)
+            .where((F.col("comp") != F.col("comp2")) & _enough(bound, F.col("n"), F.col("n2"))
+                   & (F.least("n", "n2") == F.col("s1")) & (F.greatest("n", "n2") == F.col("s2"))
+                   & ((F.col("comp") == F.col("major")) | (F.col("cid") < F.col("cid2"))))
+            .select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("cid2").alias("b"),
+                    F.col("n2").alias("nb")).distinct())
+    more = partial_overlaps(rest, segments).where(
+        _enough(F.col("inter"), F.col("na"), F.col("nb")))
+    return materialize(links.select("a", "b").unionByName(more.select("a", "b")), "class-links")
 
 
 def near_duplicates(docs: DataFrame, fragments: int = FRAGMENTS) -> DataFrame:
