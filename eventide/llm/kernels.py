@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of a chunk; documents are never cut.
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 #: Documents of a chunk, so that a document's number fits in the 13 high bits of a key.
 MAX_DOCS = 1 << 13
 TOKEN_BITS = 51  # bits of a token hash beside the document number
