@@ -48,6 +48,8 @@ FRAGMENTS = 8
 SAMPLE = 4
 #: Rows of a replicated side per hub row: a hub with many pairs is read by several tasks.
 HUB_SALTS = 16
+#: Prefix shingles by which a pair's list is chosen.
+HEAD = 24
 _LAST = (1 << 63) - 1
 _U = np.uint64
 _TOKEN = _U((1 << K.TOKEN_BITS) - 1)
@@ -99,7 +101,7 @@ def scan(docs: DataFrame, parts: int, one_in: int) -> DataFrame:
              for c, t in zip(names, kinds)], names=names)
 
     def run(batches):
-        for batch in batches:
+        for batch in K.blocks(batches, 1):
             ids = batch.column(0)
             cids, sizes, toks, refs = [], [], [], []
             with np.errstate(over="ignore"):
@@ -152,8 +154,9 @@ def scan(docs: DataFrame, parts: int, one_in: int) -> DataFrame:
     return docs.mapInArrow(run, _SCAN)
 
 
-def _hits(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of one hash range: how many shingles of each class another class has too."""
+def _hits(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """Of one hash range of shingles: how many of each class another class has too, in one row
+    for each of ``parts`` hash ranges of classes."""
     toks, cids = [], []
     for t, r, c in zip(pdf["tokens"], pdf["refs"], pdf["cids"]):
         tok = K.unpack_sorted(t)
@@ -175,7 +178,20 @@ def _hits(pdf: pd.DataFrame) -> pd.DataFrame:
     shared = (classes > 1) | some_many
     hit = cid[new_pair & single & shared[group]]
     u, n = np.unique(hit, return_counts=True)
-    return pd.DataFrame({"cid": u.view(np.int64), "hits": n})
+    bounds = np.searchsorted(u >> _U(65 - parts.bit_length()), np.arange(parts + 1, dtype=_U))
+    full = [p for p in range(parts) if bounds[p + 1] > bounds[p]]
+    cut = [slice(bounds[p], bounds[p + 1]) for p in full]
+    return pd.DataFrame({"part": full, "cids": [K.pack_sorted(u[c]) for c in cut],
+                         "hits": [n[c].astype(np.uint32).tobytes() for c in cut]})
+
+
+def _sum_hits(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of one hash range of classes: the hits from all ranges of shingles."""
+    u, back = np.unique(np.concatenate([K.unpack_sorted(c) for c in pdf["cids"]]),
+                        return_inverse=True)
+    n = np.concatenate([np.frombuffer(h, np.uint32) for h in pdf["hits"]])
+    return pd.DataFrame({"cid": u.view(np.int64),
+                         "hits": np.bincount(back, n, minlength=len(u)).astype(np.int64)})
 
 
 def may_link(docs: DataFrame, one_in: int, name: str) -> tuple[DataFrame, DataFrame]:
@@ -184,8 +200,9 @@ def may_link(docs: DataFrame, one_in: int, name: str) -> tuple[DataFrame, DataFr
     scanned = materialize(scan(docs, parts, one_in), name)
     rows = scanned.where("part IS NULL").select("doc_id", "cid", "n", "sampled", "shared")
     hits = (scanned.where("part IS NOT NULL").select("part", "tokens", "refs", "cids")
-            .groupBy("part").applyInPandas(_hits, "cid long, hits long")
-            .groupBy("cid").agg(F.sum("hits").alias("hits")))
+            .groupBy("part").applyInPandas(lambda pdf: _hits(pdf, max(16, parts // 8)),
+                                           "part int, cids binary, hits binary")
+            .groupBy("part").applyInPandas(_sum_hits, "cid long, hits long"))
     classes = rows.where("n > 0").groupBy("cid").agg(
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sampled").alias("sampled"),
         F.max("shared").alias("shared"))
@@ -218,8 +235,9 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 
 def _segments(sets: DataFrame, fragments: int) -> tuple[DataFrame, DataFrame]:
-    """(prefixes, segments): (tok, cid, n, central) of the prefix shingles, and (cid, frag,
-    seg) with a class's shingles in each fragment of the global order."""
+    """(prefixes, segments): (tok, cid, n, m, central, pos) for each prefix shingle and its place
+    in the order, and (cid, frag, seg) with a class's shingles in each fragment of the global
+    order."""
     toks = sets.select("cid", "n", F.explode("toks").alias("tok"))
     df = toks.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1")
     common = materialize(toks.join(df, "tok"), "common")
@@ -235,8 +253,8 @@ def _segments(sets: DataFrame, fragments: int) -> tuple[DataFrame, DataFrame]:
     need = F.expr(f"({PERCENT} * n + 99) div 100")
     prefix = (by_class.withColumn("p", (F.col("m") - need + 1).cast("int")).where("p > 0")
               .select("cid", "n", "m", (F.col("w") / F.col("n")).alias("central"),
-                      F.explode(F.slice("order", F.lit(1), F.col("p"))).alias("e"))
-              .select(F.col("e.tok").alias("tok"), "cid", "n", "m", "central"))
+                      F.posexplode(F.slice("order", F.lit(1), F.greatest("p", F.lit(0)))))
+              .select(F.col("col.tok").alias("tok"), "cid", "n", "m", "central", "pos"))
     segments = (common.withColumn("frag", frag).groupBy("cid", "frag")
                 .agg(F.collect_list("tok").alias("seg")))
     return materialize(prefix, "prefix"), materialize(segments, "segments")
@@ -300,14 +318,22 @@ def class_links(prefix: DataFrame, segments: DataFrame) -> DataFrame:
     parts = groups.groupBy(*key, "comp").agg(F.count("*").alias("size"))
     major = (parts.groupBy(*key).agg(F.max_by("comp", F.struct("size", "comp")).alias("major"),
                                      F.count("*").alias("comps")).where("comps > 1"))
-    open_ = materialize(groups.join(major.drop("comps"), key), "open-groups")
+    open_ = groups.join(major.drop("comps"), key)
+    # a class's first prefix shingles: a pair that has one of them in common is compared in the
+    # list of the first such only (other pairs may turn up in several lists)
+    heads = (prefix.where(F.col("pos") < HEAD).groupBy("cid")
+             .agg(F.sort_array(F.collect_list(F.struct("pos", "tok"))).alias("h"))
+             .select("cid", F.transform("h", lambda e: e["tok"]).alias("head")))
+    open_ = materialize(open_.join(heads, "cid"), "open-groups")
     minor = open_.where("comp <> major").select(
-        *key, *[F.col(c).alias(f"{c}2") for c in ("cid", "n", "comp", "o", "e")])
+        *key, *[F.col(c).alias(f"{c}2") for c in ("cid", "n", "comp", "o", "e", "head")])
     bound = F.least("o", "o2") + F.least("e", "e2")
     rest = (open_.join(minor, key)
             .where((F.col("comp") != F.col("comp2")) & _enough(bound, F.col("n"), F.col("n2"))
                    & (F.least("n", "n2") == F.col("s1")) & (F.greatest("n", "n2") == F.col("s2"))
-                   & ((F.col("comp") == F.col("major")) | (F.col("cid") < F.col("cid2"))))
+                   & ((F.col("comp") == F.col("major")) | (F.col("cid") < F.col("cid2")))
+                   & F.coalesce(F.get(F.array_intersect("head", "head2"), F.lit(0))
+                                == F.col("tok"), F.lit(True)))
             .select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("cid2").alias("b"),
                     F.col("n2").alias("nb")).distinct())
     more = partial_overlaps(rest, segments).where(
