@@ -33,6 +33,8 @@ _DEFAULTS = {
     # Partial (map-side) window group limit before the shuffle for top-N-per-key.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Arrow batches of documents: a few MB instead of tens, in the JVM's buffers and in Python.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
