@@ -43,8 +43,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return norm.withColumn("key", F.xxhash64("norm"))
 
 
-def directory(keys: DataFrame, capacity: int, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Directory of the index: (cell, bucket, depth), one row per non-empty cell.
+def directory(keys: DataFrame, capacity: int, max_depth: int = MAX_DEPTH
+              ) -> tuple[DataFrame, Column]:
+    """Directory of the index, (cell, bucket, depth) with one row per non-empty cell, and the
+    cell of a key.
 
     ``keys`` has one row per distinct key. A bucket is a prefix of the key; a prefix with
     more than ``capacity`` keys is split by its next bit, which doubles the directory when
@@ -63,21 +65,18 @@ def directory(keys: DataFrame, capacity: int, max_depth: int = MAX_DEPTH) -> Dat
              .where((F.col("n") <= capacity) | (F.col("depth") == bits)))
     fits = levels.select("cell", "depth", prefix.alias("bucket")).join(
         sized.select("depth", "bucket"), ["depth", "bucket"])
-    return (fits.groupBy("cell")
-            .agg(F.min(F.struct("depth", "bucket")).alias("leaf"))
-            .select("cell", F.col("leaf.bucket").alias("bucket"),
-                    F.col("leaf.depth").alias("depth"), F.lit(bits).alias("bits")))
+    cells = (fits.groupBy("cell").agg(F.min(F.struct("depth", "bucket")).alias("leaf"))
+             .select("cell", "leaf.bucket", "leaf.depth"))
+    return cells, cell
 
 
 def build_index(keyed: DataFrame, capacity: int = 4096) -> DataFrame:
     """Index entries (bucket, depth, key, n) on shared files, in bucket and key order."""
     counts = keyed.groupBy("key").agg(F.count("*").alias("n"))
     counts = materialize(counts, "keys")
-    cells = materialize(directory(counts, capacity), "directory")
-    entries = counts.join(
-        F.broadcast(cells),
-        F.when(F.col("bits") == 0, F.lit(0).cast("long"))
-        .otherwise(F.expr("shiftrightunsigned(key, 64 - bits)")) == F.col("cell"))
+    cells, cell = directory(counts, capacity)
+    cells = materialize(cells, "directory")
+    entries = counts.withColumn("cell", cell).join(F.broadcast(cells), "cell")
     owned = (entries.select("bucket", "depth", "key", "n")
              .repartitionByRange("bucket", "depth", "key")
              .sortWithinPartitions("bucket", "depth", "key"))
