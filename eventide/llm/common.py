@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.session import checkpoint_dir, ship_code
+from eventide.session import apply_defaults, checkpoint_dir, ship_code
 
 #: Bits of the presence bitmap: 2^25 bits in rows of 4 KB are at most 4 MB, whatever the
 #: number of keys, so broadcasting it is safe at any input size.
@@ -15,6 +15,12 @@ PRESENCE_BITS = 1 << 25
 _ROW_BITS = 32768  # bits of one bitmap row of Spark's bitmap functions
 
 
+def prepare(spark: SparkSession) -> None:
+    """What every operator needs of its session: defaults for unset keys, code on workers."""
+    apply_defaults(spark)
+    ship_code(spark)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -25,7 +31,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: later stages reread files that survive the loss of an executor.
     """
     spark = df.sparkSession
-    ship_code(spark)
+    prepare(spark)
     path = f"{checkpoint_dir(spark)}/eventide-llm-{uuid.uuid4().hex}/{name}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -33,7 +39,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def texts(docs: DataFrame) -> DataFrame:
     """(doc_id, text) only, null text read as empty: names of other columns cannot clash."""
-    ship_code(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
 

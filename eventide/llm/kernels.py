@@ -7,18 +7,25 @@ about CHUNK bytes, so memory does not grow with the batch (a longer document is
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of a chunk; documents are never cut.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 #: Documents of a chunk, so that a document's number fits in the 13 high bits of a key.
 MAX_DOCS = 1 << 13
 TOKEN_BITS = 51  # bits of a token hash beside the document number
 
 _U = np.uint64
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.malloc_trim  # noqa: B018 - absent in other C libraries
+except (OSError, AttributeError):
+    _libc = None
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 FOLD = np.arange(256, dtype=np.uint8)
@@ -60,6 +67,53 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+#: Text bytes that are aggregated together before they are sent on.
+BLOCK = 8 << 20
+
+
+def trim() -> None:
+    """Give freed memory back to the system: workers are kept for later tasks, and what they hold
+    counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
+def blocks(batches: Iterator[pa.RecordBatch], column: int, block: int | None = None
+           ) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in batches of about ``block`` (BLOCK) bytes in a text column (a
+    longer text is one of its own)."""
+    block = block or BLOCK
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        length = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        total = np.cumsum(length.to_numpy(zero_copy_only=False), dtype=np.int64)
+        a = 0
+        while a < batch.num_rows:
+            done = int(total[a - 1]) if a else 0
+            b = max(int(np.searchsorted(total, done + block - size, "right")), a)
+            if b == a and not held:
+                b = a + 1
+            if b > a:
+                held.append(batch.slice(a, b - a))
+                size += int(total[b - 1]) - done
+            a = b
+            if a < batch.num_rows:
+                yield _joined(held)
+                held, size = [], 0
+                trim()
+    if held:
+        yield _joined(held)
+    trim()
+
+
+def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    if len(held) == 1:
+        return held[0]
+    return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first document, last document + 1, bytes, document offsets) of each chunk."""
     if isinstance(texts, pa.ChunkedArray):
