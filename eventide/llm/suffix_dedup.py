@@ -21,9 +21,9 @@ Neighbouring strings with the same anchor position form a piece of 100 to 168 by
 4. Spans of all tasks are merged per document and cut out.
 
 An anchor with very many different pieces in a batch or in all (the edge of a passage that
-a third of all documents quote) is hot: its pieces are cut into single 100-byte strings that
-are dealt by their own hash, and equal ones of a batch are settled before they are sent. So no
-task gets more than one copy of a string per batch.
+a third of all documents quote) is hot: its pieces are cut into single 100-byte strings, which
+are dealt by their own hash and settled by digests like equal pieces, those of a batch before
+they are sent. So no task gets more than one copy of a string per batch.
 
 Defined cases: null text is the empty text. Texts under 100 bytes lose nothing. Rows without
 doc_id are as one document that comes last. Repeated rows of one id and text are the same
@@ -52,7 +52,9 @@ GRAM = 32
 HOT_BATCH = 64
 HOT_ALL = 4096
 #: Suffixes sorted together in a task (groups of one anchor are not parted).
-SUFFIXES = 200_000
+SUFFIXES = 80_000
+#: Text bytes whose pieces are settled together before they are sent on.
+SCAN_BLOCK = 4 << 20
 _PLACE = 26  # low bits of an anchor code: its place in the chunk
 _SEGMENT = 1 << (_PLACE - 1)  # longer texts are looked at in overlapping segments
 _LAST = (1 << 63) - 1
@@ -104,7 +106,8 @@ def pieces(buf: np.ndarray, off: np.ndarray, least: int = LEAST, gram: int = GRA
     nxt = np.searchsorted(stops, s1, "right")
     s2 = np.where(nxt < len(stops), stops[np.minimum(nxt, len(stops) - 1)], n_starts) - 1
     doc = np.searchsorted(off, s1, "right") - 1
-    anchor = g[at[s1]]
+    # minima are small: mixed again, they spread evenly over the hash ranges
+    anchor = K.mix64(g[at[s1]] + _U(0x9E3779B97F4A7C15))
     end = s2 + least
     # a second polynomial for the digest, so that it is independent of the anchor's
     np.cumsum(_CODE2[buf] * pw[:len(buf)], out=acc[1:], dtype=_U)
@@ -180,7 +183,7 @@ def scan(docs: DataFrame, parts: int, least: int = LEAST) -> DataFrame:
     shift = _U(64 - parts.bit_length() + 1)
 
     def run(batches):
-        for batch in batches:
+        for batch in K.blocks(batches, 1, SCAN_BLOCK):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             found = [[], [], [], [], []]
             with np.errstate(over="ignore"):
@@ -267,15 +270,17 @@ def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
         for kind, pick in ((WHOLE, mixed), (STRINGS, hot)):
             out += [(d, kind, b) for d, b in
                     _by_doc(doc[pick], start[pick], end[pick], anchor[pick].view(np.int64))]
+    K.trim()
     return pd.DataFrame(out, columns=["doc", "kind", "spans"])
 
 
-_FETCHED = "part int, doc long, spans binary, text binary"
+_FETCHED = "part int, kind int, doc long, spans binary, text binary"
 
 
 def fetch(docs: DataFrame, wanted: DataFrame, parts: int, least: int = LEAST) -> DataFrame:
-    """Bytes of the pieces in ``wanted`` (doc, kind, spans), by hash range; and spans that a
-    batch settles itself (part null)."""
+    """By hash range: the bytes of the pieces in ``wanted`` (doc, kind, spans) of kind WHOLE, and
+    hashes of all strings of the pieces of kind STRINGS; and what a batch settles itself (kind
+    COVER). The join never broadcasts, so its cost grows evenly with the input."""
     shift = _U(64 - parts.bit_length() + 1)
     per_doc = wanted.groupBy("doc").agg(
         F.collect_list(F.when(F.col("kind") == WHOLE, F.col("spans"))).alias("whole"),
@@ -284,65 +289,66 @@ def fetch(docs: DataFrame, wanted: DataFrame, parts: int, least: int = LEAST) ->
     bodies = keep_maybe_present(
         docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key")), "key",
         presence_bitmap(keys, "key"))
-    rows = bodies.join(per_doc, F.col("doc_id") == F.col("doc")).select(
+    rows = bodies.join(per_doc.hint("merge"), F.col("doc_id") == F.col("doc")).select(
         "doc_id", F.encode("text", "utf-8").alias("body"), "whole", "strings")
-    schema = pa.schema([("part", pa.int32()), ("doc", pa.int64()), ("spans", pa.binary()),
-                        ("text", pa.binary())])
-
-    def cut(body: np.ndarray, whole: list, strings: list):
-        """start, end, group key of the pieces of one text."""
-        got = []
-        if whole:
-            w = np.frombuffer(b"".join(whole), np.int64).reshape(-1, 3)
-            w = w[w[:, 1] <= len(body)]
-            got.append((w[:, 0], w[:, 1], w[:, 2].view(_U)))
-        if strings:
-            h = np.frombuffer(b"".join(strings), np.int64).reshape(-1, 3)
-            h = h[h[:, 1] <= len(body)]
-            n = h[:, 1] - h[:, 0] - least + 1
-            s = np.repeat(h[:, 0] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            got.append((s, s + least, K.span_hashes(body, s, s + least)))
-        return tuple(np.concatenate(c) for c in zip(*got))
+    schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("doc", pa.int64()),
+                        ("spans", pa.binary()), ("text", pa.binary())])
+
+    def columns(blobs, size):
+        """start, end, anchor of packed spans that lie within the text."""
+        v = np.frombuffer(b"".join(blobs), np.int64).reshape(-1, 3)
+        return v[v[:, 1] <= size]
 
     def run(batches):
         for batch in batches:
-            d, s, e, key, parts_of, bodies = [], [], [], [], [], []
-            at = 0
-            with np.errstate(over="ignore"):
-                for doc, body, whole, strings in zip(*(c.to_pylist() for c in batch.columns)):
-                    b = np.frombuffer(body, np.uint8)
-                    start, end, k = cut(b, whole, strings)
-                    d.append(np.full(len(start), doc, np.int64))
-                    s.append(start)
-                    e.append(end)
-                    key.append(k)
-                    parts_of.append(np.full(len(start), at, np.int64))
-                    bodies.append(b)
-                    at += len(b)
-            if not d:
+            if not batch.num_rows:
                 continue
-            d, s, e, key, base = (np.concatenate(c) for c in (d, s, e, key, parts_of))
-            body = np.concatenate(bodies)
-            # equal single strings of the batch (keys of pieces differ by anchor): the first goes on
-            with np.errstate(over="ignore"):
-                ident = K.span_hashes(body, base + s, base + e)
-            order, new, later = _later((key, ident), d, s)
             rows = []
-            for doc, spans in _by_doc(d[order][later], s[order][later], e[order][later]):
-                rows.append((None, doc, spans, None))
-            pick = order[new]
-            d, s, e, key, base = (c[pick] for c in (d, s, e, key, base))
-            bounds = np.searchsorted(key >> shift, np.arange(parts + 1, dtype=_U))
-            for p in range(parts):
-                r = slice(bounds[p], bounds[p + 1])
-                if bounds[p + 1] > bounds[p]:
-                    n = e[r] - s[r]
-                    first = np.cumsum(n) - n
-                    idx = np.repeat(base[r] + s[r] - first, n) + np.arange(int(n.sum()))
-                    rows.append((p, None, _spans(d[r], s[r], e[r], key[r].view(np.int64)),
-                                 body[idx].tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            whole, hashed, bodies, at = [], [], [], 0
+            for doc, body, spans, strings in zip(*(c.to_pylist() for c in batch.columns)):
+                b = np.frombuffer(body, np.uint8)
+                v = columns(spans, len(b))
+                if len(v):
+                    whole.append(np.c_[np.full(len(v), doc), v, np.full(len(v), at)])
+                    bodies.append(b)
+                    at += len(b)
+                v = columns(strings, len(b))
+                if len(v):
+                    n = v[:, 1] - v[:, 0] - least + 1
+                    s = np.repeat(v[:, 0] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                    with np.errstate(over="ignore"):
+                        h = K.span_hashes(b, s, s + least)
+                        again = K.span_hashes(b ^ np.uint8(255), s, s + least)
+                    hashed.append((np.full(len(s), doc), s, h, again))
+            if hashed:
+                # equal strings of the batch: only the first goes on
+                doc, s, key, ident = (np.concatenate(c) for c in zip(*hashed))
+                order, new, later = _later((key, ident), doc, s)
+                rows += [(d % parts, COVER, d, x, None) for d, x in
+                         _by_doc(doc[order][later], s[order][later], s[order][later] + least)]
+                doc, s, key, ident = (c[order[new]] for c in (doc, s, key, ident))
+                bounds = np.searchsorted(key >> shift, np.arange(parts + 1, dtype=_U))
+                for p in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
+                    r = slice(bounds[p], bounds[p + 1])
+                    rows.append((p, STRINGS, 0, b"".join((
+                        _planes(doc[r], np.int64), _planes(s[r], np.int64),
+                        _planes(ident[r], np.uint64))), K.pack_sorted(key[r])))
+            if whole:
+                v, body = np.concatenate(whole), np.concatenate(bodies)
+                key = np.ascontiguousarray(v[:, 3]).view(_U)
+                order = np.argsort(key, kind="stable")
+                v, key = v[order], key[order]
+                bounds = np.searchsorted(key >> shift, np.arange(parts + 1, dtype=_U))
+                for p in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
+                    r = v[bounds[p]:bounds[p + 1]]
+                    n = r[:, 2] - r[:, 1]
+                    idx = np.repeat(r[:, 4] + r[:, 1] - (np.cumsum(n) - n), n) + np.arange(
+                        int(n.sum()))
+                    rows.append((p, WHOLE, 0, _spans(*r[:, :4].T), body[idx].tobytes()))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            K.trim()
 
     return rows.mapInArrow(run, _FETCHED)
 
@@ -374,9 +380,7 @@ def repeat_spans(text: np.ndarray, doc: np.ndarray, start: np.ndarray, length: n
         padded = np.zeros((len(pick), 2 * width - least + 1), np.uint8)
         cols = np.arange(width)
         inside = cols[None, :] < n[:, None]
-        padded[:, :width][inside] = text[np.repeat(first[pick], n) + np.concatenate(
-            [np.arange(k) for k in n])] if len(pick) < 64 else text[
-                (first[pick][:, None] + cols[None, :])[inside]]
+        padded[:, :width][inside] = text[(first[pick][:, None] + cols[None, :])[inside]]
         per = n - least + 1
         row = np.repeat(np.arange(len(pick)), per)
         at = np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per)
@@ -408,11 +412,33 @@ def repeat_spans(text: np.ndarray, doc: np.ndarray, start: np.ndarray, length: n
 
 
 def _suffix_task(pdf: pd.DataFrame) -> pd.DataFrame:
-    spans = np.frombuffer(b"".join(pdf["spans"]), np.int64).reshape(-1, 4)
-    text = np.frombuffer(b"".join(pdf["text"]), np.uint8)
-    out = repeat_spans(text, spans[:, 0], spans[:, 1], spans[:, 2] - spans[:, 1],
-                       np.ascontiguousarray(spans[:, 3]).view(_U))
-    return pd.DataFrame([(d, COVER, s) for d, s in out], columns=["doc", "kind", "spans"])
+    """Of one hash range: covered spans of the whole pieces (by their suffix array) and of the
+    single strings (equal ones but the first), and what batches settled."""
+    out = [(int(d), COVER, s) for d, s in pdf.loc[pdf["kind"] == COVER, ["doc", "spans"]]
+           .itertuples(index=False)]
+    whole = pdf[pdf["kind"] == WHOLE]
+    if len(whole):
+        spans = np.frombuffer(b"".join(whole["spans"]), np.int64).reshape(-1, 4)
+        text = np.frombuffer(b"".join(whole["text"]), np.uint8)
+        out += [(d, COVER, s) for d, s in repeat_spans(
+            text, spans[:, 0], spans[:, 1], spans[:, 2] - spans[:, 1],
+            np.ascontiguousarray(spans[:, 3]).view(_U))]
+    single = pdf[pdf["kind"] == STRINGS]
+    if len(single):
+        cols = [[], [], [], []]
+        for packed, keys in zip(single["spans"], single["text"]):
+            key = K.unpack_sorted(keys)
+            n = 8 * len(key)
+            for col, v in zip(cols, (_unplanes(packed[:n], np.int64),
+                                     _unplanes(packed[n:2 * n], np.int64), key,
+                                     _unplanes(packed[2 * n:], np.uint64))):
+                col.append(v)
+        doc, s, key, ident = (np.concatenate(c) for c in cols)
+        order, _, later = _later((key, ident), doc, s)
+        doc, s = doc[order][later], s[order][later]
+        out += [(d, COVER, x) for d, x in _by_doc(doc, s, s + LEAST)]
+    K.trim()
+    return pd.DataFrame(out, columns=["doc", "kind", "spans"])
 
 
 def merged(blobs: list[bytes], size: int) -> np.ndarray:
@@ -438,11 +464,9 @@ def covered_spans(docs: DataFrame) -> DataFrame:
     parts = _parts(docs.sparkSession)
     settled = materialize(scan(docs, parts).groupBy("part").applyInPandas(_settle, _SETTLED),
                           "settled")
-    fetched = materialize(fetch(docs, settled.where(F.col("kind") != COVER), parts), "fetched")
-    found = (fetched.where("part IS NOT NULL").groupBy("part")
+    found = (fetch(docs, settled.where(F.col("kind") != COVER), parts).groupBy("part")
              .applyInPandas(_suffix_task, _SETTLED))
     return (settled.where(F.col("kind") == COVER).select("doc", "spans")
-            .unionByName(fetched.where("part IS NULL").select("doc", "spans"))
             .unionByName(found.select("doc", "spans")))
 
 
@@ -466,7 +490,7 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
         F.when(F.lit(with_kept), F.encode("text", "utf-8")).alias("kept"))
     per_doc = spans.groupBy("doc").agg(F.collect_list("spans").alias("spans"))
     rows = keep_maybe_present(probe, "key", touched).join(
-        per_doc, F.col("ord") == F.col("doc"), "left").select(
+        per_doc.hint("merge"), F.col("ord") == F.col("doc"), "left").select(
             "doc_id", F.encode("text", "utf-8").alias("body"), "spans")
     kind = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                       ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
