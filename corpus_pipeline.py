@@ -11,6 +11,8 @@ from eventide.llm import exact_dedup, ngram_join, packing, poisson_mix, rules_fo
 from eventide.llm.common import materialize, read_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Near duplicates of the pipeline (op9 has its own rule): five-word shingles, Jaccard 0.8.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
@@ -30,7 +32,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = ngram_join.near_duplicates(docs)
+    found = ngram_join.near_duplicates(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
     return _without(docs, found.where("NOT (doc_id <=> component_id)"))
 
 

@@ -1,7 +1,8 @@
 """N-gram Jaccard join by vertical partitioning, and its near-duplicate components.
 
-A text is the set of its distinct four-word shingles (A-Z lower-cased; with fewer words the
-whole sequence is the one shingle). Two texts link when 100 * |intersection| >= 85 * |union|.
+A text is the set of its distinct shingles of ``words`` words (A-Z lower-cased; with fewer words
+the whole sequence is the one shingle). Two texts link when 100 * |intersection| >= ``percent`` *
+|union|. op9's contract is four words and 85 (the defaults); the steps below are told with its 85.
 
 1. Texts with the same word sequence are one class; only classes are compared.
 2. A class with n shingles can miss at most n - ceil(0.85 n) of them in a partner. A hashed
@@ -86,7 +87,7 @@ _SCAN = ("part int, doc_id long, cid long, n long, sampled long, shared long, to
          "refs binary, cids binary")
 
 
-def scan(docs: DataFrame, parts: int, one_in: int) -> DataFrame:
+def scan(docs: DataFrame, parts: int, one_in: int, words: int = WORDS) -> DataFrame:
     """One row per text (part null): doc_id, class, set size, sampled shingles, and how many of
     these another class of the same batch has. One row per batch and hash range: the batch's
     distinct sampled shingles, each with its class, or with none if several have it."""
@@ -106,7 +107,7 @@ def scan(docs: DataFrame, parts: int, one_in: int) -> DataFrame:
             cids, sizes, toks, refs = [], [], [], []
             with np.errstate(over="ignore"):
                 for a, _, buf, off in K.chunks(batch.column(1)):
-                    seq, n, keys = chunk_shingles(buf, off)
+                    seq, n, keys = chunk_shingles(buf, off, words)
                     tok = keys & _TOKEN
                     pick = (tok & _U(one_in - 1)) == 0
                     cids.append(seq)
@@ -194,10 +195,16 @@ def _sum_hits(pdf: pd.DataFrame) -> pd.DataFrame:
                          "hits": np.bincount(back, n, minlength=len(u)).astype(np.int64)})
 
 
-def may_link(docs: DataFrame, one_in: int, name: str) -> tuple[DataFrame, DataFrame]:
+def _need(percent: int):
+    """ceil(percent / 100 * n): the least overlap of a set of ``n`` with a partner."""
+    return F.expr(f"({percent} * n + 99) div 100")
+
+
+def may_link(docs: DataFrame, one_in: int, name: str, words: int = WORDS, percent: int = PERCENT
+             ) -> tuple[DataFrame, DataFrame]:
     """(texts, classes): all rows of the scan, and (cid, rep) of the classes that may link."""
     parts = _parts(docs.sparkSession)
-    scanned = materialize(scan(docs, parts, one_in), name)
+    scanned = materialize(scan(docs, parts, one_in, words), name)
     rows = scanned.where("part IS NULL").select("doc_id", "cid", "n", "sampled", "shared")
     hits = (scanned.where("part IS NOT NULL").select("part", "tokens", "refs", "cids")
             .groupBy("part").applyInPandas(lambda pdf: _hits(pdf, max(16, parts // 8)),
@@ -207,7 +214,7 @@ def may_link(docs: DataFrame, one_in: int, name: str) -> tuple[DataFrame, DataFr
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sampled").alias("sampled"),
         F.max("shared").alias("shared"))
     found = F.coalesce("hits", F.lit(0)) + F.col("shared")
-    missing = F.col("n") - F.expr(f"({PERCENT} * n + 99) div 100")
+    missing = F.col("n") - _need(percent)
     left = classes.join(hits, "cid", "left").where(F.col("sampled") - found <= missing)
     return rows, left.select("cid", "rep")
 
@@ -219,13 +226,13 @@ def _reps(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return keep_maybe_present(probe, "key", presence_bitmap(keys, "key")).select("doc_id", "text")
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(cid, n, toks): every text's sorted distinct shingles."""
     def run(batches):
         for batch in batches:
             with np.errstate(over="ignore"):
                 for _, _, buf, off in K.chunks(batch.column(1)):
-                    seq, n, keys = chunk_shingles(buf, off)
+                    seq, n, keys = chunk_shingles(buf, off, words)
                     tok = pa.array((keys & _TOKEN).view(np.int64))
                     offs = pa.array(np.r_[0, np.cumsum(n)].astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
@@ -234,7 +241,8 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "cid long, n long, toks array<long>")
 
 
-def _segments(sets: DataFrame, fragments: int) -> tuple[DataFrame, DataFrame]:
+def _segments(sets: DataFrame, fragments: int, percent: int = PERCENT
+              ) -> tuple[DataFrame, DataFrame]:
     """(prefixes, segments): (tok, cid, n, m, central, pos) for each prefix shingle and its place
     in the order, and (cid, frag, seg) with a class's shingles in each fragment of the global
     order."""
@@ -250,7 +258,7 @@ def _segments(sets: DataFrame, fragments: int) -> tuple[DataFrame, DataFrame]:
     by_class = common.groupBy("cid", "n").agg(
         F.count("*").alias("m"), F.sum("df").alias("w"),
         F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("order"))
-    need = F.expr(f"({PERCENT} * n + 99) div 100")
+    need = _need(percent)
     prefix = (by_class.withColumn("p", (F.col("m") - need + 1).cast("int")).where("p > 0")
               .select("cid", "n", "m", (F.col("w") / F.col("n")).alias("central"),
                       F.posexplode(F.slice("order", F.lit(1), F.greatest("p", F.lit(0)))))
@@ -274,26 +282,26 @@ def partial_overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     return partial.groupBy("a", "na", "b", "nb").agg(F.sum("part").alias("inter"))
 
 
-def _fits(na, nb):
-    return F.lit(100) * F.least(na, nb) >= F.lit(PERCENT) * F.greatest(na, nb)
+def _fits(na, nb, percent):
+    return F.lit(100) * F.least(na, nb) >= F.lit(percent) * F.greatest(na, nb)
 
 
-def _enough(overlap, na, nb):
-    """100 * overlap >= PERCENT * union, for sets of na and nb with this overlap."""
-    return F.lit(100 + PERCENT) * overlap >= F.lit(PERCENT) * (na + nb)
+def _enough(overlap, na, nb, percent):
+    """100 * overlap >= percent * union, for sets of na and nb with this overlap."""
+    return F.lit(100 + percent) * overlap >= F.lit(percent) * (na + nb)
 
 
-def class_links(prefix: DataFrame, segments: DataFrame) -> DataFrame:
+def class_links(prefix: DataFrame, segments: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b): links between classes that connect what is connected by all links."""
     hubs = (prefix.groupBy("tok").agg(F.max_by(F.struct("cid", "n"), F.struct("central", "cid"))
                                       .alias("hub"), F.count("*").alias("members"))
             .where("members > 1").select("tok", "hub.cid", "hub.n").toDF("tok", "a", "na"))
     hubs = materialize(hubs, "hubs")
     members = prefix.join(hubs, "tok")
-    star = (members.where("a <> cid").where(_fits("na", "n"))
+    star = (members.where("a <> cid").where(_fits("na", "n", percent))
             .select("a", "na", F.col("cid").alias("b"), F.col("n").alias("nb")).distinct())
     star = materialize(partial_overlaps(star, segments), "star")
-    links = star.where(_enough(F.col("inter"), F.col("na"), F.col("nb")))
+    links = star.where(_enough(F.col("inter"), F.col("na"), F.col("nb"), percent))
     comp = connected_components(links).withColumnRenamed("node", "cid")
 
     # what a list still has to compare: classes of different components. A class shares at most
@@ -309,7 +317,8 @@ def class_links(prefix: DataFrame, segments: DataFrame) -> DataFrame:
              .where("c1 <> c2").select("tok", "sizes"))
     # a group of a list: classes of two sizes, without those that the bound rules out for them
     most = F.col("o") + F.col("e")
-    able = F.filter("sizes", lambda s: _fits("n", s) & _enough(most, F.col("n"), s))
+    able = F.filter("sizes", lambda s: _fits("n", s, percent)
+                    & _enough(most, F.col("n"), s, percent))
     groups = (own.join(sizes, "tok").withColumn("size", F.explode(able))
               .select("tok", F.least("n", "size").alias("s1"), F.greatest("n", "size").alias("s2"),
                       "cid", "n", "comp", "o", "e"))
@@ -329,7 +338,8 @@ def class_links(prefix: DataFrame, segments: DataFrame) -> DataFrame:
         *key, *[F.col(c).alias(f"{c}2") for c in ("cid", "n", "comp", "o", "e", "head")])
     bound = F.least("o", "o2") + F.least("e", "e2")
     rest = (open_.join(minor, key)
-            .where((F.col("comp") != F.col("comp2")) & _enough(bound, F.col("n"), F.col("n2"))
+            .where((F.col("comp") != F.col("comp2"))
+                   & _enough(bound, F.col("n"), F.col("n2"), percent)
                    & (F.least("n", "n2") == F.col("s1")) & (F.greatest("n", "n2") == F.col("s2"))
                    & ((F.col("comp") == F.col("major")) | (F.col("cid") < F.col("cid2")))
                    & F.coalesce(F.get(F.array_intersect("head", "head2"), F.lit(0))
@@ -337,20 +347,22 @@ def class_links(prefix: DataFrame, segments: DataFrame) -> DataFrame:
             .select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("cid2").alias("b"),
                     F.col("n2").alias("nb")).distinct())
     more = partial_overlaps(rest, segments).where(
-        _enough(F.col("inter"), F.col("na"), F.col("nb")))
+        _enough(F.col("inter"), F.col("na"), F.col("nb"), percent))
     return materialize(links.select("a", "b").unionByName(more.select("a", "b")), "class-links")
 
 
-def near_duplicates(docs: DataFrame, fragments: int = FRAGMENTS) -> DataFrame:
+def near_duplicates(docs: DataFrame, fragments: int = FRAGMENTS, words: int = WORDS,
+                    percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id: one row per input row."""
     docs = texts(docs)
-    rows, first = may_link(docs, SAMPLE, "sampled")
+    rows, first = may_link(docs, SAMPLE, "sampled", words, percent)
     first = materialize(first, "first-classes")
-    _, second = may_link(_reps(docs, first), 1, "shingled")
+    _, second = may_link(_reps(docs, first), 1, "shingled", words, percent)
     second = materialize(second.join(first.select("cid"), "cid"), "second-classes")
-    sets = _sets(_reps(docs, second)).join(second.select("cid"), "cid").dropDuplicates(["cid"])
-    prefix, segments = _segments(materialize(sets, "sets"), fragments)
-    comp = connected_components(class_links(prefix, segments)).select(
+    sets = (_sets(_reps(docs, second), words).join(second.select("cid"), "cid")
+            .dropDuplicates(["cid"]))
+    prefix, segments = _segments(materialize(sets, "sets"), fragments, percent)
+    comp = connected_components(class_links(prefix, segments, percent)).select(
         F.col("node").alias("cid"), F.col("comp"))
     meta = rows.select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "doc_id", "cid", "n")
     own = F.when(F.col("n") > 0, F.coalesce("comp", "cid"))

@@ -52,7 +52,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
