@@ -15,6 +15,8 @@ Tokenisation caches the ids of words (runs between spaces and newlines; the pre-
 never joins across white space) per Python worker, at most CACHE words at a time. A new word
 that is Latin letters and closing punctuation is what the tokeniser's rules make of it, two
 pieces in lower case, so only its vocabulary model is asked; any other goes through all of it.
+Ids are those of the tokeniser's default call without added special tokens, so a special
+token's string in a text is that token's one id.
 
 Defined cases: null text is the empty text, one piece that is the end id alone. Rows without
 doc_id are packed too. Repeated rows are packed as often as they occur. An empty table gives
@@ -70,7 +72,6 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tok.model
         self.letters = _byte_letters()
         self.ids: dict[str, bytes] = {"": b""}

@@ -4,6 +4,7 @@ import random
 
 import brute
 import corpus_pipeline as P
+from eventide.llm import packing
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -55,3 +56,18 @@ def test_pipeline_links_by_five_words_and_80_percent(spark):
     assert want != _first_of_components(rows, 4, 85)
     got = P.near_duplicates(spark, _frame(spark, rows), SF).collect()
     assert sorted(r.doc_id for r in got) == want
+
+
+def test_special_strings_are_one_id(spark):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(packing.tokenizer_path())
+    texts = ["hello <|endoftext|> world", "<|startoftext|>", "a<|endoftext|>b", "é<|startoftext|>É.",
+             "end.<|endoftext|>, (<|startoftext|>)!", "<|endoftext|><|startoftext|>7x",
+             "one\n<|startoftext|>\ttwo\u00a0<|endoftext|>\r\nthree", "<|ENDOFTEXT|> <|endoftext |>",
+             "don<|endoftext|>'t <<|endoftext|>>"]
+    rows = list(enumerate(texts))
+    out = packing.tokenised_pieces(_frame(spark, rows), with_ids=True).collect()
+    got = {r.doc_id: [int.from_bytes(r.ids[i:i + 4], "little") for i in range(0, len(r.ids), 4)]
+           for r in out}
+    assert got == {i: tok.encode(t, add_special_tokens=False).ids + [packing.END] for i, t in rows}
+    assert got[0] == [3306, 49407, 1002, packing.END]
