@@ -5,26 +5,18 @@ returns a DataFrame, which is written as Parquet and reread as the next one's ``
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventide.llm import exact_dedup, ngram_join, packing, poisson_mix, rules_forest
-from eventide.llm.common import materialize, read_table
+from eventide.llm.common import materialize, read_table, without
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Near duplicates of the pipeline (op9 has its own rule): five-word shingles, Jaccard 0.8.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not in ``dropped``, with the columns of documents."""
-    gone = dropped.select(F.col("doc_id").alias("__doc_id")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__doc_id")), "left_anti").select(
-        *COLUMNS)
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = rules_forest.judge(docs, read_table(spark, sf_dir, "labels"))
-    return _without(docs, judged.where("NOT kept"))
+    judged = rules_forest.judge(docs, read_table(spark, sf_dir, "labels"), with_key=True)
+    return without(docs, judged.where("NOT kept")).select(*COLUMNS)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +24,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = ngram_join.near_duplicates(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
-    return _without(docs, found.where("NOT (doc_id <=> component_id)"))
+    found = ngram_join.near_duplicates(docs, words=NEAR_WORDS, percent=NEAR_PERCENT,
+                                       with_key=True)
+    return without(docs, found.where("NOT (doc_id <=> component_id)")).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

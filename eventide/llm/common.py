@@ -44,6 +44,23 @@ def texts(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+#: With doc_id it tells rows apart that share an id, or that have none.
+ROW_KEY = "row_key"
+
+
+def row_key(text: Column) -> Column:
+    """128-bit hash of a row's text (null as empty)."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose (doc_id, text) is not in ``dropped`` (doc_id, row_key)."""
+    gone = dropped.select(F.col("doc_id").alias("__doc_id"),
+                          F.col(ROW_KEY).alias("__row_key")).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__doc_id"))
+                     & (row_key(F.col("text")) == F.col("__row_key")), "left_anti")
+
+
 def fold_ascii(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.llm import kernels as K
+from eventide.llm.common import ROW_KEY, row_key
 
 SYMBOLS = b"#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines",
@@ -91,21 +92,24 @@ def chunk_stats(buf: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def document_stats(docs: DataFrame) -> DataFrame:
-    """doc_id and COUNTS of every row; null text counts as empty."""
+def document_stats(docs: DataFrame, with_key: bool = False) -> DataFrame:
+    """doc_id and COUNTS of every row (and its row_key if asked for); null text counts as empty."""
+    key = [(ROW_KEY, pa.binary())] * with_key
 
     def run(batches):
-        schema = pa.schema([("doc_id", pa.int64())] + [(c, pa.int64()) for c in COUNTS])
+        schema = pa.schema([("doc_id", pa.int64())] + [(c, pa.int64()) for c in COUNTS] + key)
         for batch in batches:
             for a, b, buf, off in K.chunks(batch.column(1)):
                 with np.errstate(over="ignore"):
                     stats = chunk_stats(buf, off)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a)]
-                    + [pa.array(stats[c].astype(np.int64)) for c in COUNTS], schema=schema)
+                    + [pa.array(stats[c].astype(np.int64)) for c in COUNTS]
+                    + [batch.column(2).slice(a, b - a) for _ in key], schema=schema)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, _SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                       *[row_key(F.col("text")).alias(ROW_KEY)] * with_key)
+    return rows.mapInArrow(run, _SCHEMA + f", {ROW_KEY} binary" * with_key)
 
 
 def features(counts: np.ndarray) -> np.ndarray:

@@ -106,10 +106,13 @@ def exact_groups(docs: DataFrame, capacity: int = 4096) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, capacity: int = 4096) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns. Rows are told apart by doc_id and
+    text, so a row that goes takes no other text of its id, or without one, along."""
     groups = exact_groups(docs, capacity)
-    drop = groups.where(~F.col("kept")).select(F.col("doc_id").alias("__doc_id")).distinct()
-    return docs.join(drop, F.col("doc_id").eqNullSafe(F.col("__doc_id")), "left_anti")
+    drop = groups.where(~F.col("kept")).select(
+        F.col("doc_id").alias("__doc_id"), F.col("text_sha256").alias("__sha256")).distinct()
+    return docs.join(drop, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (
+        F.sha2(normalised(F.col("text")), 256) == F.col("__sha256")), "left_anti")
 
 
 ORACLE_SQL = """

@@ -12,8 +12,10 @@ meet their original in a join, whose skewed partitions Spark splits.
 
 Defined cases: null text is the empty text (one empty line, no window); documents of fewer
 than three lines have no window and lose nothing. Rows with a null doc_id come after all
-others and count as one document for the order. Repeated rows of one doc_id and text are the
-same document: none is a later occurrence of the other. An empty table gives an empty result.
+others. Rows with one doc_id, or none, but different texts are documents of their own (equal
+windows are in the order of line numbers, then of the texts' hashes). Repeated rows of one doc_id
+and text are the same document: none is a later occurrence of the other. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import keep_maybe_present, materialize, presence_bitmap, texts
+from eventide.llm.common import ROW_KEY, keep_maybe_present, materialize, presence_bitmap, texts
 
 WINDOW = 3
 _LAST = (1 << 63) - 1
@@ -29,30 +31,32 @@ _LAST = (1 << 63) - 1
 
 def _lines(docs: DataFrame) -> DataFrame:
     base = texts(docs)
-    return base.select("doc_id", F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "text")
+    return base.select("doc_id", F.coalesce("doc_id", F.lit(_LAST)).alias("ord"),
+                       F.xxhash64("text").alias(ROW_KEY), "text")
 
 
 def windows(docs: DataFrame, width: int = WINDOW) -> DataFrame:
-    """(ord, line, key): every window with its first line's number."""
+    """(ord, row_key, line, key): every window with its first line's number."""
     arr = F.split("text", "\n")
     lines = _lines(docs).withColumn("lines", arr).where(F.size("lines") >= width)
     starts = F.sequence(F.lit(1), F.size("lines") - (width - 1))
     keys = F.transform(starts, lambda i: F.struct(
         (i - 1).alias("line"),
         F.unhex(F.md5(F.array_join(F.slice("lines", i, width), "\n"))).alias("key")))
-    return lines.select("ord", F.explode(keys).alias("w")).select("ord", "w.line", "w.key")
+    return lines.select("ord", ROW_KEY, F.explode(keys).alias("w")).select(
+        "ord", ROW_KEY, "w.line", "w.key")
 
 
 def covered_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
-    """(ord, covered): sorted numbers of the lines that later occurrences cover."""
+    """(ord, row_key, covered): sorted numbers of the lines that later occurrences cover."""
     found = materialize(windows(docs, width), "windows")
     first = (found.groupBy("key")
-             .agg(F.min(F.struct("ord", "line")).alias("first"), F.count("*").alias("n"))
+             .agg(F.min(F.struct("ord", "line", ROW_KEY)).alias("first"), F.count("*").alias("n"))
              .where("n > 1").select("key", "first"))
-    later = found.join(first, "key").where(F.struct("ord", "line") != F.col("first"))
+    later = found.join(first, "key").where(F.struct("ord", "line", ROW_KEY) != F.col("first"))
     spans = F.explode(F.sequence(F.col("line"), F.col("line") + (width - 1)))
-    return (later.select("ord", spans.alias("line"))
-            .groupBy("ord").agg(F.sort_array(F.collect_set("line")).alias("covered")))
+    return (later.select("ord", ROW_KEY, spans.alias("line"))
+            .groupBy("ord", ROW_KEY).agg(F.sort_array(F.collect_set("line")).alias("covered")))
 
 
 def line_dedup(docs: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -62,15 +66,15 @@ def line_dedup(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     are not shuffled.
     """
     covered = materialize(covered_lines(docs, width), "covered").withColumn(
-        "key", F.xxhash64("ord"))
+        "key", F.xxhash64("ord", ROW_KEY))
     hit = presence_bitmap(covered, "key")
-    base = _lines(docs).withColumn("key", F.xxhash64("ord"))
+    base = _lines(docs).withColumn("key", F.xxhash64("ord", ROW_KEY))
     lines = F.split("text", "\n")
     n_lines = F.size(lines).cast("long")
     clean = keep_maybe_present(base, "key", hit, absent=True).select(
         "doc_id", n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_removed"), "text")
     touched = (keep_maybe_present(base, "key", hit)
-               .join(covered.drop("key"), "ord", "left")
+               .join(covered.drop("key"), ["ord", ROW_KEY], "left")
                .withColumn("covered", F.coalesce("covered", F.array().cast("array<int>")))
                .withColumn("lines", lines))
     left = F.array_join(F.filter("lines", lambda x, i: ~F.array_contains("covered", i)), "\n")

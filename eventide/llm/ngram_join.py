@@ -39,7 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.llm import kernels as K
-from eventide.llm.common import keep_maybe_present, materialize, presence_bitmap, texts
+from eventide.llm.common import (ROW_KEY, keep_maybe_present, materialize, presence_bitmap,
+                                 row_key, texts)
 from eventide.llm.components import connected_components
 
 WORDS = 4
@@ -88,13 +89,15 @@ _SCAN = ("part int, doc_id long, cid long, n long, sampled long, shared long, to
 
 
 def scan(docs: DataFrame, parts: int, one_in: int, words: int = WORDS) -> DataFrame:
-    """One row per text (part null): doc_id, class, set size, sampled shingles, and how many of
-    these another class of the same batch has. One row per batch and hash range: the batch's
+    """One row per text (part null): doc_id (and row_key if ``docs`` has it), class, set size,
+    sampled shingles, and how many of these another class of the same batch has. One row per batch and hash range: the batch's
     distinct sampled shingles, each with its class, or with none if several have it."""
     shift = _U(K.TOKEN_BITS - parts.bit_length() + 1)
+    keyed = ROW_KEY in docs.columns
+    described = _SCAN + f", {ROW_KEY} binary" * keyed
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(),
-             pa.binary(), pa.binary()]
-    names = [c.split()[0] for c in _SCAN.split(", ")]
+             pa.binary(), pa.binary()] + [pa.binary()] * keyed
+    names = [c.split()[0] for c in described.split(", ")]
 
     def rows(size, **cols):
         return pa.RecordBatch.from_arrays(
@@ -104,6 +107,7 @@ def scan(docs: DataFrame, parts: int, one_in: int, words: int = WORDS) -> DataFr
     def run(batches):
         for batch in K.blocks(batches, 1):
             ids = batch.column(0)
+            own_keys = {ROW_KEY: batch.column(2)} if keyed else {}
             cids, sizes, toks, refs = [], [], [], []
             with np.errstate(over="ignore"):
                 for a, _, buf, off in K.chunks(batch.column(1)):
@@ -133,7 +137,7 @@ def scan(docs: DataFrame, parts: int, one_in: int, words: int = WORDS) -> DataFr
             many = np.repeat(count > 1, count)
             shared = np.bincount(ref[many], minlength=len(uniq))
             yield rows(len(cid), doc_id=ids, cid=cid.view(np.int64), n=n, sampled=sampled,
-                       shared=shared[back])
+                       shared=shared[back], **own_keys)
             tok, ref = tok[at], np.where(count > 1, -1, ref[at])
             bounds = np.searchsorted(tok >> shift, np.arange(parts + 1, dtype=_U))
             full = [p for p in range(parts) if bounds[p + 1] > bounds[p]]
@@ -152,7 +156,7 @@ def scan(docs: DataFrame, parts: int, one_in: int, words: int = WORDS) -> DataFr
                 # classes are sorted, so their numbers ascend with them
                 yield rows(len(full), part=full, tokens=blobs[0], refs=blobs[1], cids=blobs[2])
 
-    return docs.mapInArrow(run, _SCAN)
+    return docs.mapInArrow(run, described)
 
 
 def _hits(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
@@ -205,7 +209,8 @@ def may_link(docs: DataFrame, one_in: int, name: str, words: int = WORDS, percen
     """(texts, classes): all rows of the scan, and (cid, rep) of the classes that may link."""
     parts = _parts(docs.sparkSession)
     scanned = materialize(scan(docs, parts, one_in, words), name)
-    rows = scanned.where("part IS NULL").select("doc_id", "cid", "n", "sampled", "shared")
+    rows = scanned.where("part IS NULL").select(
+        "doc_id", "cid", "n", "sampled", "shared", *[c for c in docs.columns if c == ROW_KEY])
     hits = (scanned.where("part IS NOT NULL").select("part", "tokens", "refs", "cids")
             .groupBy("part").applyInPandas(lambda pdf: _hits(pdf, max(16, parts // 8)),
                                            "part int, cids binary, hits binary")
@@ -352,10 +357,14 @@ def class_links(prefix: DataFrame, segments: DataFrame, percent: int = PERCENT)
 
 
 def near_duplicates(docs: DataFrame, fragments: int = FRAGMENTS, words: int = WORDS,
-                    percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id: one row per input row."""
+                    percent: int = PERCENT, with_key: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, class_id (and row_key if asked for): one row per input
+    row."""
     docs = texts(docs)
-    rows, first = may_link(docs, SAMPLE, "sampled", words, percent)
+    keys = [ROW_KEY] * with_key
+    rows, first = may_link(
+        docs.select("*", *[row_key(F.col("text")).alias(k) for k in keys]), SAMPLE, "sampled",
+        words, percent)
     first = materialize(first, "first-classes")
     _, second = may_link(_reps(docs, first), 1, "shingled", words, percent)
     second = materialize(second.join(first.select("cid"), "cid"), "second-classes")
@@ -364,11 +373,12 @@ def near_duplicates(docs: DataFrame, fragments: int = FRAGMENTS, words: int = WO
     prefix, segments = _segments(materialize(sets, "sets"), fragments, percent)
     comp = connected_components(class_links(prefix, segments, percent)).select(
         F.col("node").alias("cid"), F.col("comp"))
-    meta = rows.select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "doc_id", "cid", "n")
+    meta = rows.select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "doc_id", "cid", "n",
+                       *keys)
     own = F.when(F.col("n") > 0, F.coalesce("comp", "cid"))
     meta = materialize(meta.join(comp, "cid", "left").withColumn("comp", own), "meta")
     least = meta.where("n > 0").groupBy("comp").agg(F.min("ord").alias("least"))
     out = meta.join(least, "comp", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.nullif(F.coalesce("least", "ord"), F.lit(_LAST)).alias("component_id"),
-                      F.col("cid").alias("class_id"))
+                      F.col("cid").alias("class_id"), *keys)

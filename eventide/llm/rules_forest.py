@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import materialize
+from eventide.llm.common import ROW_KEY, materialize
 from eventide.llm.doc_stats import COUNTS, FEATURES, document_stats, features
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -172,9 +172,10 @@ def calibrate(scored: DataFrame, labels: DataFrame, keep_weight: float = KEEP_WE
 
 
 def judge(docs: DataFrame, labels: DataFrame, min_words: int = 50, max_repeat: int = 50,
-          keep_weight: float = KEEP_WEIGHT) -> DataFrame:
-    """doc_id, BASE counts, base_failed, kept, anomaly, threshold: one row per input row."""
-    stats = materialize(document_stats(docs), "stats")
+          keep_weight: float = KEEP_WEIGHT, with_key: bool = False) -> DataFrame:
+    """doc_id, BASE counts, base_failed, kept, anomaly, threshold (and row_key if asked for):
+    one row per input row."""
+    stats = materialize(document_stats(docs, with_key), "stats")
     nodes, sample = fit_forest(stats, labels)
     scored = materialize(score_rows(stats, nodes, sample), "scores")
     failed = (F.col("n_words") < min_words) | (
@@ -182,4 +183,4 @@ def judge(docs: DataFrame, labels: DataFrame, min_words: int = 50, max_repeat: i
     cut = calibrate(scored.where(~failed), labels, keep_weight)
     return scored.select("doc_id", *BASE, failed.alias("base_failed"),
                          (~failed & (F.col("anomaly") < F.lit(cut))).alias("kept"),
-                         "anomaly", F.lit(cut).alias("threshold"))
+                         "anomaly", F.lit(cut).alias("threshold"), *[ROW_KEY] * with_key)

@@ -4,7 +4,7 @@ import random
 
 import brute
 import corpus_pipeline as P
-from eventide.llm import packing
+from eventide.llm import exact_dedup, line_windows, packing
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -71,3 +71,38 @@ def test_special_strings_are_one_id(spark):
            for r in out}
     assert got == {i: tok.encode(t, add_special_tokens=False).ids + [packing.END] for i, t in rows}
     assert got[0] == [3306, 49407, 1002, packing.END]
+
+
+def test_rows_without_own_id_are_judged_alone(spark):
+    """A row that goes takes no other row with its id, or without one, along."""
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(_words(rng, 100)) for _ in range(4))
+    poor = "the same " * 100
+    rows = [(None, poor), (None, a), (1, poor), (1, b), (2, a), (3, c), (None, c + " end"), (4, d),
+            (4, c + " tail"), (None, " ".join(_words(rng, 90)))]
+    df = _frame(spark, rows)
+
+    def kept(out):
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    def but(*gone):
+        return sorted((r for k, r in enumerate(rows) if k not in gone), key=str)
+
+    assert kept(P.quality_rules(spark, df, SF)) == but(0, 2)
+    # the poor text stays with its least id, the copy without id goes
+    assert kept(P.exact(spark, df, SF)) == but(0, 1)
+    assert kept(P.near_duplicates(spark, df, SF)) == but(0, 1, 6, 8)
+    small = _frame(spark, [(None, "abc"), (None, ""), (3, "abc")])
+    assert kept(exact_dedup.exact_dedup(small)) == [(3, "abc"), (None, "")]
+
+
+def test_lines_are_cut_from_their_own_text(spark):
+    rows = [(1, "a\nb\nc"), (None, "a\nb\nc\nd"), (None, "p\nq\nr\ns"), (2, "x\na\nb\nc"),
+            (2, "k\nl\nm\nn"), (None, "p\nq\nr\nt"), (1, "a\nb\nc")]
+    got = sorted((str(r.doc_id), r.n_removed, r.text)
+                 for r in line_windows.line_dedup(_frame(spark, rows)).collect())
+    pair = [g for g in got if g[2] in ("s", "t", "p\nq\nr\ns", "p\nq\nr\nt")]
+    assert sorted(g[1] for g in pair) == [0, 3]  # one of two equal windows stays
+    assert [g for g in got if g not in pair] == [
+        ("1", 0, "a\nb\nc"), ("1", 0, "a\nb\nc"), ("2", 0, "k\nl\nm\nn"), ("2", 3, "x"),
+        ("None", 3, "d")]
