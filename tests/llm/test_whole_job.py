@@ -4,7 +4,7 @@ import random
 
 import brute
 import corpus_pipeline as P
-from eventide.llm import exact_dedup, line_windows, packing
+from eventide.llm import exact_dedup, line_windows, packing, secret_scan
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -106,3 +106,24 @@ def test_lines_are_cut_from_their_own_text(spark):
     assert [g for g in got if g not in pair] == [
         ("1", 0, "a\nb\nc"), ("1", 0, "a\nb\nc"), ("2", 0, "k\nl\nm\nn"), ("2", 3, "x"),
         ("None", 3, "d")]
+
+
+def test_secrets_of_every_alphabet(spark):
+    """Keys without digits, and of digits only, are found; words and regular strings are not."""
+    rng = random.Random(13)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = (lower, lower.upper(), lower + lower.upper(), digits,
+                 lower + lower.upper() + digits + "+/")
+    rows = [(1000 * i + k, "key " + "".join(rng.choices(chars, k=rng.choice((24, 32, 48)))))
+            for i, chars in enumerate(alphabets) for k in range(200)]
+    rows += [(4200 + k, "key " + "".join(rng.choices(alphabets[2] + "+/", k=20)))
+             for k in range(100)]
+    plain = ["internationalization", "pneumonoultramicroscopicsilicovolcanoconiosis", "xyz" * 12,
+             "-" * 40, "x" * 30, "1000000000000000000000000", "AAAABBBBCCCCDDDDEEEEFFFF"]
+    rows += [(9000 + 10 * k + i, f"word {w} end") for i, w in enumerate(plain) for k in range(100)]
+    out = secret_scan.scan_secrets(_frame(spark, rows)).collect()
+    hit = {r.doc_id for r in out if r.random or r.hex}
+    for i in range(len(alphabets)):
+        own = [d for d, _ in rows if 1000 * i <= d < 1000 * i + 1000 and d < 9000]
+        assert len(hit & set(own)) >= 0.97 * len(own), (alphabets[i], len(hit & set(own)), len(own))
+    assert not [t for d, t in rows if d >= 9000 and d in hit]
