@@ -4,7 +4,7 @@ import random
 
 import brute
 import corpus_pipeline as P
-from eventide.llm import exact_dedup, line_windows, packing, secret_scan
+from eventide.llm import ctw, exact_dedup, line_windows, packing, secret_scan
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -127,3 +127,32 @@ def test_secrets_of_every_alphabet(spark):
         own = [d for d, _ in rows if 1000 * i <= d < 1000 * i + 1000 and d < 9000]
         assert len(hit & set(own)) >= 0.97 * len(own), (alphabets[i], len(hit & set(own)), len(own))
     assert not [t for d, t in rows if d >= 9000 and d in hit]
+
+
+def test_tree_tasks_get_counts_by_node(spark):
+    """What a task weights is bounded by nodes x bytes and gives the tree of all byte strings."""
+    import numpy as np
+    rng = random.Random(6)
+    rows = [(i, " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(60)))
+            for i in range(40)]
+    grams = ctw.count_training(ctw._docs(_frame(spark, rows)), spark.sparkContext.broadcast(
+        np.zeros(0, np.uint64))).where("kind = 0").select("key", "n").toPandas()
+    gram = grams.sort_values("key")
+    ctx = gram["key"].to_numpy(np.int64).view(np.uint64) >> np.uint64(8)
+    kept = [np.zeros(0, np.uint64)] * (ctw.DEPTH + 1)
+    for d, most in ((2, 20), (3, 12), (4, 3)):
+        c, n = np.unique(ctx & np.uint64((1 << 8 * d) - 1), return_counts=True)
+        fits = c[np.isin(c & np.uint64((1 << 8 * (d - 1)) - 1), kept[d - 1])] if d > 2 else c
+        kept[d] = np.sort(fits[np.argsort(-n[np.isin(c, fits)], kind="stable")][:most])
+    got = ctw.node_counts(spark.createDataFrame(grams), spark.sparkContext.broadcast(kept)
+                          ).toPandas().sort_values("key")
+    lasts = len(np.unique(ctx & np.uint64(255)))
+    assert len(got) <= (sum(map(len, kept)) + lasts) * 10 < len(gram) / 5
+    for last, part in got.groupby("last"):
+        mine = (ctx & np.uint64(255)) == last
+        a = ctw.Subtree(gram["key"].to_numpy(np.int64).view(np.uint64)[mine],
+                        gram["n"].to_numpy(float)[mine], kept)
+        b = ctw.Subtree(part["key"].to_numpy(np.int64).view(np.uint64),
+                        part["n"].to_numpy(float), kept)
+        for x in ("parent", "edge", "counts", "pw", "leaf"):
+            assert np.array_equal(getattr(a, x), getattr(b, x)), x
