@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventide.llm import (ctw, exact_dedup, line_windows, ngram_join, packing, poisson_mix, qda,
                           rules_forest, secret_scan, suffix_dedup)
-from eventide.llm.common import read_table
+from eventide.llm.common import materialize, read_table
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,8 +41,10 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mix = poisson_mix.poisson_mix(read_table(spark, sf_dir, "documents"))
-    return mix.select("doc_id", "source", "copy", "shuffle_key")
+    # written whole, so that the shuffle moves the documents and not only their ids
+    mix = materialize(poisson_mix.poisson_mix(read_table(spark, sf_dir, "documents")), "mix")
+    return mix.select("doc_id", "source", "copy", "shuffle_key").orderBy(
+        "shuffle_key", "doc_id", "copy")
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

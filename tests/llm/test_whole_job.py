@@ -4,7 +4,7 @@ import random
 
 import brute
 import corpus_pipeline as P
-from eventide.llm import ctw, exact_dedup, line_windows, packing, secret_scan
+from eventide.llm import ctw, exact_dedup, line_windows, packing, queries, secret_scan
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -156,3 +156,17 @@ def test_tree_tasks_get_counts_by_node(spark):
                         part["n"].to_numpy(float), kept)
         for x in ("parent", "edge", "counts", "pw", "leaf"):
             assert np.array_equal(getattr(a, x), getattr(b, x)), x
+
+
+def test_mix_query_moves_whole_documents(spark, monkeypatch):
+    written = []
+    real = queries.materialize
+    monkeypatch.setattr(queries, "materialize", lambda df, name: written.append(
+        real(df, name)) or written[-1])
+    out = queries.op7_poisson_mix(spark, SF).collect()
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert set(docs.columns) <= set(written[0].columns)
+    text = {r.doc_id: r.text for r in docs.collect()}
+    assert [r.shuffle_key for r in out] == sorted(r.shuffle_key for r in out)
+    assert sorted((r.doc_id, r.copy) for r in out) == sorted(
+        (r.doc_id, r.copy) for r in written[0].collect() if r.text == text[r.doc_id])
