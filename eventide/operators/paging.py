@@ -43,6 +43,9 @@ class OrderedTable:
     def _table(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
+    def _columns(self, name: str) -> list[Column]:
+        return [F.col(f"`{c}`") for c in self.schema.fieldNames() if c not in (_PLACE, name)]
+
     def rows(self, name: str = POSITION) -> DataFrame:
         """All rows with their 0-based global position (an input column of that name is
         replaced). The running totals are joined as a broadcast of one row a partition."""
@@ -52,7 +55,7 @@ class OrderedTable:
             "__part", F.shiftright(_PLACE, _PLACE_BITS).cast("int"))
         table = table.join(F.broadcast(starts), "__part")
         inside = F.col(_PLACE).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-        keep = [c for c in self.schema.fieldNames() if c not in (_PLACE, name)]
+        keep = self._columns(name)
         return table.select(*keep, (F.col("__start") + inside).alias(name))
 
     def slice(self, start: int, end: int, name: str = POSITION) -> DataFrame:
@@ -60,7 +63,7 @@ class OrderedTable:
         partition: only the row groups of the partitions concerned are read. Rows come with
         their position, in no order."""
         start, end = max(0, int(start)), min(int(end), self.total)
-        keep = [c for c in self.schema.fieldNames() if c not in (_PLACE, name)]
+        keep = self._columns(name)
         ranges, number = F.lit(False), F.lit(None).cast("long")
         if start < end:
             firsts = [s for _, s in self.parts]
