@@ -249,3 +249,22 @@ def first_of_runs(sorted_values: np.ndarray) -> np.ndarray:
     if len(new) > 1:
         new[1:] = sorted_values[1:] != sorted_values[:-1]
     return new
+
+
+def mask_spans(inside: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and number per document of the maximal runs of marked bytes."""
+    if not len(inside):
+        z = np.zeros(0, np.int64)
+        return z, z, np.zeros(len(off) - 1, np.int64)
+    cuts = off[(off > 0) & (off < len(inside))]
+    left = np.empty_like(inside)
+    left[0] = True
+    np.logical_not(inside[:-1], out=left[1:])
+    left[cuts] = True
+    right = np.empty_like(inside)
+    right[-1] = True
+    np.logical_not(inside[1:], out=right[:-1])
+    right[cuts - 1] = True
+    starts = np.flatnonzero(inside & left)
+    ends = np.flatnonzero(inside & right) + 1
+    return starts, ends, np.diff(np.searchsorted(starts, off))

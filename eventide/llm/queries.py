@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.llm import (ctw, exact_dedup, hilbert_shards, line_windows, ngram_join, packing,
-                          poisson_mix, qda, rules_forest, secret_scan, suffix_dedup)
+                          poisson_mix, qda, ranked_search, rules_forest, secret_scan,
+                          suffix_dedup)
 from eventide.llm.common import materialize, read_table
 
 
@@ -61,6 +62,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(read_table(spark, sf_dir, "documents"),
+                                       read_table(spark, sf_dir, "benchmark"))
+
+
 def op12_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.shard_digest(
         hilbert_shards.shard_documents(read_table(spark, sf_dir, "documents")))
@@ -69,10 +75,11 @@ def op12_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_quality_rules, op3_quality_classifier, op4_secret_scan,
     op5_best_fit_packing, op6_lm_scoring, op7_poisson_mix, op8_line_dedup,
-    op9_ngram_jaccard_join, op10_exact_dedup, op12_hilbert_shards)}
+    op9_ngram_jaccard_join, op10_exact_dedup, op11_ranked_search, op12_hilbert_shards)}
 
 ORACLES: dict[str, str] = {
     "op7_poisson_mix": poisson_mix.ORACLE_SQL,
     "op8_line_dedup": line_windows.ORACLE_SQL,
     "op10_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op11_ranked_search": ranked_search.ORACLE_SQL,
 }
