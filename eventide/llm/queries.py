@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventide.llm import (ctw, exact_dedup, hilbert_shards, line_windows, ngram_join, packing,
                           poisson_mix, qda, ranked_search, rules_forest, secret_scan,
-                          suffix_dedup)
+                          spelling_variants, suffix_dedup)
 from eventide.llm.common import materialize, read_table
 
 
@@ -72,10 +72,15 @@ def op12_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         hilbert_shards.shard_documents(read_table(spark, sf_dir, "documents")))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_quality_rules, op3_quality_classifier, op4_secret_scan,
     op5_best_fit_packing, op6_lm_scoring, op7_poisson_mix, op8_line_dedup,
-    op9_ngram_jaccard_join, op10_exact_dedup, op11_ranked_search, op12_hilbert_shards)}
+    op9_ngram_jaccard_join, op10_exact_dedup, op11_ranked_search, op12_hilbert_shards,
+    op13_spelling_variants)}
 
 ORACLES: dict[str, str] = {
     "op7_poisson_mix": poisson_mix.ORACLE_SQL,
