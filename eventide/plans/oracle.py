@@ -415,6 +415,7 @@ SELECT CAST(sum(CASE WHEN reasons = '' THEN 1 ELSE 0 END) AS BIGINT) AS processe
        CAST(sum(CASE WHEN reasons <> '' THEN 1 ELSE 0 END) AS BIGINT) AS errors,
        CAST(sum(CASE WHEN reasons <> '' THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS error_rate
 FROM tagged""")
+    q["stream_restart_fact"] = q["stream_fact"]
     q["stream_fact"] = q["stream_fact"].replace(EVENTS, STREAM_EVENTS)
     q["stream_quarantine"] = _with(CONTENT, STREAM_EVENTS, _tagged(True), body="""
 SELECT id, content_id, user_id, event_type, event_ts, duration_ms, device, raw_payload, reasons
@@ -427,7 +428,7 @@ FROM tagged WHERE reasons <> ''""")
 
 
 DECIMAL_OUTPUTS = ("enriched", "enriched_view", "anomaly_flags", "backfill", "backfill_ordered",
-                   "stream_fact")
+                   "stream_fact", "stream_restart_fact")
 
 
 def _quality_body() -> str:

@@ -21,6 +21,7 @@ from eventide.operators.validate import reasons_text
 from eventide.plans import params as P
 from eventide.session import checkpoint_dir, session_key
 from eventide.sinks.delivery import deliver, delivery_stats
+from eventide.sinks.quarantine import read_rejects
 from eventide.sinks.serving import ServingStore
 from eventide.sinks.warehouse import read_fact
 from eventide.sources import fixtures as fx
@@ -30,6 +31,7 @@ from eventide.streaming.pipeline import (Sinks, file_events, prepare_stream, pro
                                          processing_metrics, run_stream)
 
 PARTS = 2
+WRITTEN = ("source", "batch_id", "processed_timestamp")  # what the sinks add to a row
 _runs: dict[tuple, str] = {}
 
 
@@ -99,13 +101,43 @@ def q_stream_recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_fact(spark, f"{pipeline_run(spark, sf_dir)}/fact").drop("batch_id",
-                                                                       "processed_timestamp")
+    return read_fact(spark, f"{pipeline_run(spark, sf_dir)}/fact").drop(*WRITTEN)
+
+
+def q_stream_restart_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1/ST2: two sources with equal batch numbers, one stopped and started again from its
+    checkpoint, the other started after it with its own; then a replay of a batch of each.
+    Every event is in the fact table once."""
+    key = (session_key(spark), sf_dir, "restart")
+    if key not in _runs:
+        root = _root(spark, "restart")
+        events, content = fx.load_events(spark, sf_dir), fx.load_content(spark, sf_dir)
+        sinks = Sinks(warehouse=f"{root}/fact", quarantine=f"{root}/quarantine")
+        thirds = [events.where(F.pmod("id", F.lit(3)) == i) for i in range(3)]
+
+        def run(folder: str) -> None:
+            run_stream(spark, file_events(spark, f"{root}/{folder}"), content, sinks,
+                       checkpoint=f"{root}/checkpoint-{folder}", trigger={"availableNow": True}
+                       ).awaitTermination()
+
+        thirds[0].write.parquet(f"{root}/first")
+        run("first")
+        thirds[1].write.parquet(f"{root}/second")
+        run("second")                                             # batch 0 of another source
+        thirds[2].write.mode("append").parquet(f"{root}/first")
+        run("first")                                              # restart: batch 1
+        for part in ("first", "second"):                          # replays of batch 0 and 1
+            source = json.loads(spark.read.text(f"{root}/checkpoint-{part}/metadata").first()[0])
+            rows = thirds[2] if part == "first" else thirds[1]
+            process_batch(rows, 1 if part == "first" else 0, content, sinks,
+                          source=source["id"])
+        _runs[key] = root
+    return read_fact(spark, f"{_runs[key]}/fact").drop(*WRITTEN)
 
 
 def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = spark.read.parquet(f"{pipeline_run(spark, sf_dir)}/quarantine")
-    return q.withColumn("reasons", reasons_text()).drop("batch_id", "rejected_at")
+    q = read_rejects(spark, f"{pipeline_run(spark, sf_dir)}/quarantine")
+    return q.withColumn("reasons", reasons_text()).drop("source", "batch_id", "rejected_at")
 
 
 def _grain_run(spark: SparkSession, sf_dir: str, label: str, build, keys: list[str]

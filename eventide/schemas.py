@@ -68,6 +68,7 @@ FACT = T.StructType([
     T.StructField("raw_payload", T.StringType(), True),
     T.StructField("processed_timestamp", T.TimestampType(), True),
     T.StructField("event_date", T.DateType(), True),
+    T.StructField("source", T.StringType(), True),
     T.StructField("batch_id", T.LongType(), True),
 ])
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from eventide.operators.projections import to_payload_json
 from eventide.session import ship_code
+from eventide.sinks import fs
 
 OK_STATUS = (200, 201, 202)
 RESULT_SCHEMA = "event_id long, delivered boolean, status int, failures int, error string"
@@ -121,6 +122,6 @@ def delivery_stats(results: DataFrame) -> DataFrame:
                         / F.greatest(F.col("total_attempts"), F.lit(1))))
 
 
-def write_results(results: DataFrame, path: str, batch_id: int) -> None:
-    """Results of one batch under ``batch_id=N`` (a replay replaces the folder)."""
-    results.write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+def write_results(results: DataFrame, path: str, batch_id: int, source: str = "stream") -> None:
+    """Results of one batch under ``source=S/batch_id=N`` (a replay replaces the folder)."""
+    results.write.mode("overwrite").parquet(fs.batch_folder(path, source, batch_id))

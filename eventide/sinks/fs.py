@@ -2,9 +2,26 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import SparkSession
 
 
+def source_key(source: str) -> str:
+    """A source's name as a folder name: other characters than letters, digits, ``_ . -`` are
+    replaced, and a short hash of the name keeps such names apart."""
+    plain = re.sub(r"[^A-Za-z0-9_.-]", "_", source)
+    if plain == source and source:
+        return source
+    return f"{plain}-{hashlib.md5(source.encode()).hexdigest()[:8]}"
+
+
+def batch_folder(path: str, source: str, batch_id: int) -> str:
+    """Where a batch of a source writes its own rows (quarantine, delivery, metrics)."""
+    return f"{path}/source={source_key(source)}/batch_id={int(batch_id)}"
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -97,14 +97,18 @@ class ServingStore:
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}/v={seq}"))
 
     # ---- write one batch ------------------------------------------------------------
+    def bucket_of(self):
+        """The bucket number of a row's content."""
+        return self._bucket()
+
     def write_batch(self, enriched: DataFrame, batch_id: int, batch_rows: int | None = None,
-                    source: str = "stream") -> None:
+                    source: str = "stream", touched: list[int] | None = None) -> None:
         """Merge one batch and commit it.
 
         ``source`` names where batch ids come from (a streaming query's id, or a backfill); ids
         of one source must not be used twice for different batches. ``batch_rows`` (when the
         caller counted the batch) bounds the batch's distinct pairs, so the broadcast decision
-        needs no extra count.
+        needs no extra count; ``touched`` are the batch's bucket numbers, if known.
         """
         from eventide.streaming.pipeline import _run_concurrently
 
@@ -115,8 +119,9 @@ class ServingStore:
                 return  # in, and later commits build on it
             base = self._manifest(head["prev"])  # replay of the newest: replace it
         seq = head["seq"] + 1
-        touched = sorted(r["b"] for r in enriched.select(self._bucket().alias("b")).distinct()
-                         .collect())  # at most ``buckets`` numbers
+        if touched is None:
+            touched = sorted(r["b"] for r in enriched.select(self._bucket().alias("b")).distinct()
+                             .collect())  # at most ``buckets`` numbers
         new = copy.deepcopy(base)
         new |= {"seq": seq, "prev": base["seq"], "source": source, "batch": int(batch_id)}
         # a stream's ids only grow: its last few are enough; a backfill's are all kept

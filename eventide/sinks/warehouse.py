@@ -1,16 +1,17 @@
-"""Warehouse fact table (K1-K4): date-partitioned parquet, idempotent per micro-batch.
+"""Warehouse fact table (K1-K4): date-partitioned parquet, idempotent per source and batch.
 
-Layout: ``<path>/event_date=YYYY-MM-DD/batch_id=N/part-*.parquet``, rows sorted within
+Layout: ``<path>/event_date=YYYY-MM-DD/source=S/batch_id=N/part-*.parquet``, rows sorted within
 files by (content_type, event_type, content_id) like the source's clustering, so parquet
 row-group statistics skip data for those keys.
 
-Idempotence: a batch only ever writes its own ``batch_id=N`` partitions, with dynamic
-partition overwrite, and notes their dates under ``<path>/_dates/N`` before it writes.
-Replaying batch N (after a failure, or a backfill run again with the same id) replaces its
-partitions and removes those of dates that it no longer has; other batches and dates are
-untouched. Readers filter on ``event_date`` for partition pruning; ``read_fact(...,
-dedup=True)`` additionally keeps one row per ``event_id`` should the same event have
-arrived in two different batches.
+Idempotence: batch numbers belong to a source (a streaming query with its checkpoint, or a
+backfill), so two sources, or a stream started again with a fresh checkpoint, never touch each
+other's rows. A batch only ever writes its own ``source=S/batch_id=N`` partitions, with dynamic
+partition overwrite, and notes their dates under ``<path>/_dates/S/N`` before it writes.
+Replaying batch N of S (after a failure, or a backfill run again with the same id) replaces its
+partitions and removes those of dates that it no longer has. Readers filter on ``event_date``
+for partition pruning; ``read_fact(..., dedup=True)`` additionally keeps one row per
+``event_id`` should the same event have arrived more than once.
 """
 
 from __future__ import annotations
@@ -26,17 +27,23 @@ CLUSTER_BY = ("content_type", "event_type", "content_id")
 
 
 def write_fact(enriched: DataFrame, path: str, batch_id: int,
-               records_per_file: int = 1_000_000) -> None:
-    """Append (idempotently) one batch of enriched events to the fact table."""
+               records_per_file: int = 1_000_000, source: str = "stream",
+               days: list | None = None) -> None:
+    """Append (idempotently) one batch of enriched events to the fact table.
+
+    ``days`` are the calendar days of the batch, if the caller knows them (saves a job).
+    """
+    own, key = int(batch_id), fs.source_key(source)
     fact = (to_fact(enriched)
-            .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+            .withColumn("source", F.lit(key))
+            .withColumn("batch_id", F.lit(own).cast("long"))
             .withColumn("processed_timestamp", F.current_timestamp()))
     spark = enriched.sparkSession
-    own = int(batch_id)
-    notes = f"{path}/_dates/{own}"
+    notes = f"{path}/_dates/{key}/{own}"
     before = set(fs.list_names(spark, notes))
-    # calendar days of the batch: a handful of values
-    now = {str(r["event_date"]) for r in fact.select("event_date").distinct().collect()}
+    if days is None:  # calendar days of the batch: a handful of values
+        days = [r["event_date"] for r in fact.select("event_date").distinct().collect()]
+    now = {str(d) for d in days}
     for day in now - before:
         fs.touch(spark, f"{notes}/{day}")
     # REBALANCE on the partition column: few files per date, while AQE splits a hot date
@@ -46,10 +53,10 @@ def write_fact(enriched: DataFrame, path: str, batch_id: int,
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", records_per_file)
-     .partitionBy("event_date", "batch_id")
+     .partitionBy("event_date", "source", "batch_id")
      .parquet(path))
     for day in before - now:
-        fs.delete(spark, f"{path}/event_date={day}/batch_id={own}")
+        fs.delete(spark, f"{path}/event_date={day}/source={key}/batch_id={own}")
         fs.delete(spark, f"{notes}/{day}")
 
 
@@ -58,7 +65,8 @@ def read_fact(spark: SparkSession, path: str, dedup: bool = False) -> DataFrame:
     fact = spark.read.schema(FACT).option("basePath", path).parquet(path)
     if not dedup:
         return fact
-    w = Window.partitionBy("event_id").orderBy(F.desc("batch_id"))
+    w = Window.partitionBy("event_id").orderBy(F.desc("processed_timestamp"), F.desc("source"),
+                                               F.desc("batch_id"))
     return fact.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 

@@ -15,6 +15,9 @@ from eventide.operators import enrich as en
 from eventide.sinks import fs
 
 
+SOURCE = "backfill"
+
+
 def backfill_frame(events: DataFrame, content: DataFrame, start, end, strict: bool = True,
                    known_small: bool | None = None, ordered: bool = False) -> DataFrame:
     """Enriched rows of ``[start, end)``.
@@ -47,7 +50,7 @@ def backfill(events: DataFrame, content: DataFrame, start, end, sinks, batch_id:
     if sinks.warehouse and fs.exists(events.sparkSession, sinks.warehouse):
         days = F.col("event_date").between(F.to_date(ts_lit(start)), F.to_date(ts_lit(end)))
         known = (read_fact(events.sparkSession, sinks.warehouse)
-                 .where(days & (F.col("batch_id") != own))
+                 .where(days & ~((F.col("source") == SOURCE) & (F.col("batch_id") == own)))
                  .select(F.col("event_id").alias("id")).distinct())
         ranged = ranged.join(known, "id", "left_anti").select(*events.columns)
-    process_batch(ranged, own, content, sinks, strict=strict, source="backfill")
+    process_batch(ranged, own, content, sinks, strict=strict, source=SOURCE)

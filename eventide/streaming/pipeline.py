@@ -27,6 +27,7 @@ from eventide.operators.joins import fits_broadcast
 from eventide.operators.validate import REASONS, with_canonical_ids
 from eventide.schemas import ENRICHED_COLUMNS, EVENT
 from eventide.session import checkpoint_dir
+from eventide.sinks import fs
 
 log = logging.getLogger(__name__)
 
@@ -92,8 +93,14 @@ def process_batch(batch: DataFrame, batch_id: int, content, sinks: Sinks, strict
     tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # one job: materialises the persisted batch and counts it
-        counts = tagged.agg(F.count(F.lit(1)).alias("n"),
-                            F.count_if(F.size(REASONS) > 0).alias("rejected")).first()
+        good = F.size(REASONS) == 0
+        wanted = [F.count(F.lit(1)).alias("n"), F.count_if(~good).alias("rejected"),
+                  # what the sinks would else ask for in jobs of their own: a few days and
+                  # bucket numbers
+                  F.collect_set(F.when(good, F.to_date("event_ts"))).alias("days")]
+        if hasattr(sinks.serving, "bucket_of"):
+            wanted.append(F.collect_set(F.when(good, sinks.serving.bucket_of())).alias("buckets"))
+        counts = tagged.agg(*wanted).first()
         n, rejected = int(counts["n"]), int(counts["rejected"])
         metrics = {"batch_id": int(batch_id), "input_rows": n, "rejected_rows": rejected,
                    "processed_rows": n - rejected, "duration_sec": 0.0, "prepare_sec": 0.0,
@@ -108,20 +115,23 @@ def process_batch(batch: DataFrame, batch_id: int, content, sinks: Sinks, strict
         tasks: dict[str, Callable[[], None]] = {}
         if sinks.quarantine:
             from eventide.sinks.quarantine import write_rejects
-            tasks["quarantine"] = lambda: write_rejects(rejects, sinks.quarantine, batch_id)
+            tasks["quarantine"] = lambda: write_rejects(rejects, sinks.quarantine, batch_id,
+                                                        source)
         if sinks.warehouse:
             from eventide.sinks.warehouse import write_fact
-            tasks["warehouse"] = lambda: write_fact(enriched, sinks.warehouse, batch_id)
+            tasks["warehouse"] = lambda: write_fact(enriched, sinks.warehouse, batch_id,
+                                                    source=source, days=counts["days"])
         if sinks.serving is not None:
+            known = {"touched": sorted(counts["buckets"])} if "buckets" in counts else {}
             tasks["serving"] = lambda: sinks.serving.write_batch(
-                enriched, batch_id, batch_rows=n - rejected, source=source)
+                enriched, batch_id, batch_rows=n - rejected, source=source, **known)
         if sinks.delivery_client is not None and n > rejected:
             from eventide.sinks.delivery import deliver, write_results
 
             def delivery() -> None:
                 results = deliver(enriched, sinks.delivery_client, **sinks.delivery_options)
                 if sinks.delivery_results:
-                    write_results(results, sinks.delivery_results, batch_id)
+                    write_results(results, sinks.delivery_results, batch_id, source)
                 else:
                     results.write.format("noop").mode("overwrite").save()
             tasks["delivery"] = delivery
@@ -141,13 +151,20 @@ def process_batch(batch: DataFrame, batch_id: int, content, sinks: Sinks, strict
         metrics["duration_sec"] = round(time.time() - t0, 3)
         log.info("batch %s metrics %s", batch_id, metrics)
         if sinks.metrics:
-            (spark.createDataFrame([metrics])
-             .write.mode("overwrite").parquet(f"{sinks.metrics}/batch_id={int(batch_id)}"))
+            write_metrics(spark, metrics, sinks.metrics, batch_id, source)
         return metrics
     finally:
         tagged.unpersist()
 
 
+def write_metrics(spark: SparkSession, metrics: dict, path: str, batch_id: int,
+                  source: str = "stream") -> None:
+    """The metrics row of one batch, with the time it ended, in the batch's own folder."""
+    row = {k: v for k, v in metrics.items() if k != "batch_id"}
+    (spark.createDataFrame([row]).withColumn("finished_at", F.current_timestamp()).coalesce(1)
+     .write.mode("overwrite").parquet(fs.batch_folder(path, source, batch_id)))
+
+
 def prepare_stream(stream: DataFrame, watermark: str = "10 minutes", dedup: bool = False
                    ) -> DataFrame:
     """ST10/ST11: event-time watermark and optional de-duplication of re-sent event ids.
@@ -219,15 +236,19 @@ def raw_json_events(spark: SparkSession, path: str, max_files_per_trigger: int |
 
 
 def processing_metrics(spark: SparkSession, path: str, last: int = 1000) -> DataFrame:
-    """Totals, error rate ``errors / max(n, 1)`` and mean batch duration of the last
-    ``last`` batches."""
+    """Lifetime totals and error rate ``errors / max(n, 1)`` over all batches of all
+    sources, and the mean duration of the ``last`` batches by the time they ended."""
     m = spark.read.parquet(path)
-    recent = m.orderBy(F.desc("batch_id")).limit(last)
-    return recent.agg(
-        F.sum("processed_rows").alias("processed"),
-        F.sum("rejected_rows").alias("errors"),
-        (F.sum("rejected_rows") / F.greatest(F.sum("input_rows"), F.lit(1))).alias("error_rate"),
-        F.avg("duration_sec").alias("avg_batch_seconds"))
+    counters = ["processed_rows", "rejected_rows", "input_rows"]
+    newest = m.orderBy(F.desc("finished_at"), F.desc("source"), F.desc("batch_id")).limit(last)
+    both = m.select(*counters, F.lit(None).cast("double").alias("_d")).unionByName(
+        newest.select(*[F.lit(0).cast("long").alias(c) for c in counters],
+                      F.col("duration_sec").alias("_d")))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(a)
+            for c, a in zip(counters, ("processed", "errors", "_n"))]
+    return both.agg(*sums, F.avg("_d").alias("avg_batch_seconds")).select(
+        "processed", "errors", (F.col("errors") / F.greatest("_n", F.lit(1))).alias("error_rate"),
+        "avg_batch_seconds")
 
 
 def source_backlog(progress) -> int | None:

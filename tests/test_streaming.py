@@ -61,7 +61,7 @@ def test_stream_fact_equals_batch(spark, data, streamed):
     root, _ = streamed
     _, events, enriched, quarantine = data
     from eventide.operators.projections import to_fact
-    fact = read_fact(spark, f"{root}/fact").drop("batch_id", "processed_timestamp")
+    fact = read_fact(spark, f"{root}/fact").drop("source", "batch_id", "processed_timestamp")
     expected = to_fact(enriched)
     assert _rows(fact, sorted(expected.columns)) == _rows(expected)
     q = spark.read.parquet(f"{root}/quarantine")
