@@ -259,6 +259,26 @@ def q_backfill_ordered(spark, sf_dir):
     return marts.page(frame, ["event_ts", "id"], P.PAGE_SIZE, P.PAGE_NUMBER)
 
 
+def _backfill_table(spark, sf_dir):
+    from eventide.operators.paging import ordered_table
+    from eventide.streaming.backfill import backfill_frame
+    content, small = _content(spark, sf_dir)
+    frame = backfill_frame(_events(spark, sf_dir), content, P.BACKFILL_START, P.BACKFILL_END,
+                           strict=False, known_small=small)
+    return ordered_table(frame, ["event_ts", "id"], partitions=P.PAGES)
+
+
+def q_backfill_numbered(spark, sf_dir):
+    """T4: the range with its global row numbers, without a single-partition window."""
+    return _backfill_table(spark, sf_dir).rows()
+
+
+def q_backfill_seek_page(spark, sf_dir):
+    """A page of the range in replay order as a range filter over positions."""
+    table = _backfill_table(spark, sf_dir)
+    return table.page(P.PAGE_SIZE, P.PAGE_NUMBER).drop("position")
+
+
 def q_raw_json_rejected(spark, sf_dir):
     """V1/V6: documents with defects, counted by the reasons for which they are rejected."""
     docs = fx.documents_with_defects(proj.to_change_row(_events(spark, sf_dir)))

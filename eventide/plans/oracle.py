@@ -416,6 +416,26 @@ SELECT CAST(sum(CASE WHEN reasons = '' THEN 1 ELSE 0 END) AS BIGINT) AS processe
        CAST(sum(CASE WHEN reasons <> '' THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS error_rate
 FROM tagged""")
     q["stream_restart_fact"] = q["stream_fact"]
+    q["backfill_seek_page"] = q["backfill_ordered"]
+    q["backfill_numbered"] = ("SELECT *, row_number() OVER (ORDER BY event_ts, id) - 1 AS position "
+                              f"FROM ({q['backfill']})")
+    q["stream_expiry"] = (
+        "SELECT content_id, session_start, session_end, total_events, total_engagement_seconds "
+        f"FROM ({q['sessions']}) WHERE session_end < {_ts(P.EXPIRY_UNTIL)}")
+    held = f"(id % 17 = 0 AND event_ts < {_ts(P.LATE_BEFORE)})"
+    q["stream_late_rows"] = _with(CONTENT, EVENTS, _tagged(True), body=f"""
+SELECT 'accepted' AS outcome, count(*) AS events FROM tagged WHERE NOT {held} AND reasons = ''
+UNION ALL SELECT 'rejected', count(*) FROM tagged WHERE NOT {held} AND reasons <> ''
+UNION ALL SELECT 'late', count(*) FROM tagged WHERE {held}
+UNION ALL SELECT 'duplicate', count(*) FROM tagged WHERE NOT {held} AND id % 41 = 0""")
+    copies = f"1 + CASE WHEN id % 41 = 0 AND NOT {held} THEN 1 ELSE 0 END"
+    last = f"({held} OR event_ts >= {_ts(P.LATE_CUTS[-1])})"
+    q["stream_latency_alerts"] = _with(CONTENT, EVENTS, body=f"""
+SELECT 'latency' AS alert, CAST({len(P.LATE_CUTS) + 1} AS BIGINT) AS batches,
+       CAST(sum({copies}) AS BIGINT) AS sent_rows, count(*) FILTER ({held}) AS late_rows
+FROM engagement_events
+UNION ALL SELECT 'late_rows', CAST(1 AS BIGINT), CAST(sum({copies}) AS BIGINT),
+       count(*) FILTER ({held}) FROM engagement_events WHERE {last}""")
     q["stream_fact"] = q["stream_fact"].replace(EVENTS, STREAM_EVENTS)
     q["stream_quarantine"] = _with(CONTENT, STREAM_EVENTS, _tagged(True), body="""
 SELECT id, content_id, user_id, event_type, event_ts, duration_ms, device, raw_payload, reasons
@@ -428,7 +448,8 @@ FROM tagged WHERE reasons <> ''""")
 
 
 DECIMAL_OUTPUTS = ("enriched", "enriched_view", "anomaly_flags", "backfill", "backfill_ordered",
-                   "stream_fact", "stream_restart_fact")
+                   "stream_fact", "stream_restart_fact",
+                   "backfill_seek_page", "backfill_numbered")
 
 
 def _quality_body() -> str:

@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventide.functions.time import ts_lit
 from eventide.operators import windows
 from eventide.operators.enrich import enrich
 from eventide.operators.validate import reasons_text
@@ -25,7 +26,7 @@ from eventide.sinks.quarantine import read_rejects
 from eventide.sinks.serving import ServingStore
 from eventide.sinks.warehouse import read_fact
 from eventide.sources import fixtures as fx
-from eventide.streaming import stateful
+from eventide.streaming import processors, progress, stateful
 from eventide.streaming.backfill import backfill
 from eventide.streaming.pipeline import (Sinks, file_events, prepare_stream, process_batch,
                                          processing_metrics, run_stream)
@@ -208,6 +209,109 @@ def q_stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("processed", "errors", "error_rate")
 
 
+def q_stream_recent_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST6: the newest events per content as stream state, with a stop and a restart between the
+    two halves of the events."""
+    key = (session_key(spark), sf_dir, "recent-state")
+    if key not in _runs:
+        root = _root(spark, "recent-state")
+        events, content = fx.load_events(spark, sf_dir), fx.load_content(spark, sf_dir)
+        cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+        for half in (F.col("event_ts") < cut, F.col("event_ts") >= cut):
+            events.where(half).write.mode("append").parquet(f"{root}/source")
+            enriched = enrich(file_events(spark, f"{root}/source"), content)[0]
+            with processors.rocksdb_state(spark):
+                # longer than the events' time span: nothing of a replay expires
+                history = processors.recent_history(
+                    prepare_stream(enriched, "1 day"), emit=P.RECENT_N, ttl_minutes=90 * 24 * 60)
+                q = stateful.run_grain(history, f"{root}/out", f"{root}/checkpoint",
+                                       trigger={"availableNow": True})
+            q.awaitTermination()
+        _runs[key] = f"{root}/out"
+    return processors.read_history(spark, _runs[key])
+
+
+def q_stream_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST8: contents whose activity expired, up to an hour before the last event (later ends are
+    behind the watermark's reach)."""
+    key = (session_key(spark), sf_dir, "expiry")
+    if key not in _runs:
+        root = _root(spark, "expiry")
+        dense = fx.load_dense_events(spark, sf_dir)
+        k = write_time_ordered(dense, f"{root}/source")
+        events = file_events(spark, f"{root}/source", max_files_per_trigger=k)
+        enriched = enrich(events, fx.load_content(spark, sf_dir))[0]
+        with processors.rocksdb_state(spark):
+            swept = processors.expiry_sweep(prepare_stream(enriched, "10 minutes"),
+                                            P.SESSION_GAP_MINUTES * 60)
+            q = stateful.run_grain(swept, f"{root}/out", f"{root}/checkpoint",
+                                   trigger={"availableNow": True}, mode="append")
+        q.awaitTermination()
+        _runs[key] = f"{root}/out"
+    end = F.lit(P.EXPIRY_UNTIL).cast("timestamp_ntz")
+    return spark.read.parquet(_runs[key]).drop("batch_id").where(F.col("session_end") < end)
+
+
+def late_run(spark: SparkSession, sf_dir: str) -> str:
+    """Three time slices with exact copies; some events of the first come with the last, more
+    than the watermark's delay behind. Late rows are kept, progress is logged."""
+    key = (session_key(spark), sf_dir, "late")
+    if key not in _runs:
+        root = _root(spark, "late")
+        events, content = fx.load_events(spark, sf_dir), fx.load_content(spark, sf_dir)
+        k = spark.sparkContext.defaultParallelism
+        held = (F.col("id") % 17 == 0) & (F.col("event_ts") < ts_lit(P.LATE_BEFORE))
+        bounds = [F.lit(True), *[F.col("event_ts") >= ts_lit(c) for c in P.LATE_CUTS]]
+        ends = [*[F.col("event_ts") < ts_lit(c) for c in P.LATE_CUTS], F.lit(True)]
+        for i, (lo, hi) in enumerate(zip(bounds, ends)):
+            slice_ = events.where(lo & hi & ~held)
+            sent = slice_.unionByName(slice_.where("id % 41 = 0"))
+            if i == len(P.LATE_CUTS):
+                sent = sent.unionByName(events.where(held))
+            sent.repartition(k).write.mode("append").parquet(f"{root}/source")
+        sinks = Sinks(warehouse=f"{root}/fact", quarantine=f"{root}/quarantine",
+                      metrics=f"{root}/metrics")
+        name = f"late-{uuid.uuid4().hex[:8]}"
+        listener = progress.ProgressLog(spark, f"{root}/progress", (name,))
+        spark.streams.addListener(listener)
+        try:
+            q = run_stream(spark, file_events(spark, f"{root}/source", max_files_per_trigger=k),
+                           content, sinks, checkpoint=f"{root}/checkpoint", query_name=name,
+                           trigger={"availableNow": True}, watermark="1 day", dedup=True,
+                           keep_late=True)
+            q.awaitTermination()
+            listener.wait(q)
+        finally:
+            spark.streams.removeListener(listener)
+        _runs[key] = root
+    return _runs[key]
+
+
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST11: where the sent rows are: accepted, rejected, late or copies."""
+    root = late_run(spark, sf_dir)
+    late = F.array_contains("reasons", "late")
+    rejects = read_rejects(spark, f"{root}/quarantine")
+    copies = spark.read.parquet(f"{root}/metrics").agg(F.sum("duplicate_rows").alias("events"))
+    return (read_fact(spark, f"{root}/fact").agg(F.count(F.lit(1)).alias("events"))
+            .select(F.lit("accepted").alias("outcome"), "events")
+            .unionByName(rejects.groupBy(F.when(late, "late").otherwise("rejected")
+                                         .alias("outcome"))
+                         .agg(F.count(F.lit(1)).alias("events")))
+            .unionByName(copies.select(F.lit("duplicate").alias("outcome"), "events")))
+
+
+def q_stream_latency_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts over the written progress; every batch exceeds the latency limit of this
+    check, one has rows dropped as late."""
+    rows = progress.read_progress(spark, f"{late_run(spark, sf_dir)}/progress")
+    rows = rows.withColumn("sent", F.col("observed")["ingest.rows"].cast("long"))
+    alerts = progress.latency_alerts(rows.where("sent > 0"), latency_ms=-1)
+    return alerts.groupBy("alert").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("sent").alias("sent_rows"),
+        F.sum("late_rows_dropped").alias("late_rows"))
+
+
 class CheckClient:
     """Delivery client of the registered check: refuses some events, fails on others."""
 
@@ -240,6 +344,7 @@ ORACLE_TWIN = {
     "stream_top_content": ("top_content", True),
     "stream_content_stats": ("content_stats", True),
     "stream_recent_events": ("recent_events", True),
+    "stream_recent_state": ("recent_events", False),
     "stream_event_cache": ("event_cache", True),
     "stream_top_content_meta": ("top_content_meta", True),
     "stream_backfill_stats": ("content_stats", False),

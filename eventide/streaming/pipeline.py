@@ -31,6 +31,11 @@ from eventide.sinks import fs
 
 log = logging.getLogger(__name__)
 
+#: Kinds of rows of a batch (``with_late_rows``): taken by the stream's stateful operator; too
+#: late for it; seen at the source only to tell how many were copies.
+KIND = "_kind"
+TAKEN, LATE, SEEN = 0, 1, 2
+
 
 @dataclass
 class Sinks:
@@ -78,7 +83,8 @@ def process_batch(batch: DataFrame, batch_id: int, content, sinks: Sinks, strict
                   known_small: bool | None = None, source: str | None = None) -> dict:
     """Validate, enrich and fan out one batch; returns its metrics (also written).
 
-    ``source`` names where the batch id comes from; by default the id of the streaming query
+    A batch whose rows carry a KIND (``with_late_rows``) has its late rows put aside with the
+    reason ``late`` and its copies counted. ``source`` names where the batch id comes from; by default the id of the streaming query
     that runs the batch, so that a stream started with a fresh checkpoint is another source.
     """
     t0 = time.time()
@@ -87,14 +93,27 @@ def process_batch(batch: DataFrame, batch_id: int, content, sinks: Sinks, strict
     if dict(batch.dtypes).get("event_ts") == "timestamp":
         batch = batch.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
     batch = with_canonical_ids(batch)
+    if KIND in batch.columns:  # what the stream took out is only counted: no values needed
+        batch = batch.select(*[F.col(c) if c == KIND else F.when(F.col(KIND) != SEEN, F.col(c))
+                               .alias(c) for c in batch.columns])
     tagged = en.tag(batch, _content(content), strict=strict, known_small=known_small)
     if "_parse_reasons" in batch.columns:  # raw JSON input: parse errors count too
         tagged = tagged.withColumn(REASONS, F.array_distinct(F.concat("_parse_reasons", REASONS)))
+    if KIND in batch.columns:
+        tagged = tagged.withColumn(REASONS, F.when(F.col(KIND) == LATE, F.array(F.lit("late")))
+                                   .otherwise(F.col(REASONS)))
+    else:
+        tagged = tagged.withColumn(KIND, F.lit(TAKEN))
     tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # one job: materialises the persisted batch and counts it
-        good = F.size(REASONS) == 0
-        wanted = [F.count(F.lit(1)).alias("n"), F.count_if(~good).alias("rejected"),
+        good = (F.col(KIND) == TAKEN) & (F.size(REASONS) == 0)
+        bad = (F.col(KIND) != SEEN) & (F.size(REASONS) > 0)
+        wanted = [F.count_if(F.col(KIND) != SEEN).alias("n"), F.count_if(bad).alias("rejected"),
+                  F.count_if(F.col(KIND) == LATE).alias("late"),
+                  # a row that was read and neither taken nor late is a copy
+                  (F.count_if(F.col(KIND) == SEEN) - F.count_if(F.col(KIND) == TAKEN))
+                  .alias("copies"),
                   # what the sinks would else ask for in jobs of their own: a few days and
                   # bucket numbers
                   F.collect_set(F.when(good, F.to_date("event_ts"))).alias("days")]
@@ -103,15 +122,16 @@ def process_batch(batch: DataFrame, batch_id: int, content, sinks: Sinks, strict
         counts = tagged.agg(*wanted).first()
         n, rejected = int(counts["n"]), int(counts["rejected"])
         metrics = {"batch_id": int(batch_id), "input_rows": n, "rejected_rows": rejected,
-                   "processed_rows": n - rejected, "duration_sec": 0.0, "prepare_sec": 0.0,
+                   "processed_rows": n - rejected, "late_rows": int(counts["late"]),
+                   "duplicate_rows": max(int(counts["copies"]), 0), "duration_sec": 0.0, "prepare_sec": 0.0,
                    "quarantine_sec": 0.0, "warehouse_sec": 0.0, "serving_sec": 0.0,
                    "delivery_sec": 0.0}
         # every sink is written even when it gets no row: a replayed batch replaces all that an
         # earlier attempt wrote
-        enriched = tagged.where(F.size(REASONS) == 0).select(*ENRICHED_COLUMNS)
+        enriched = tagged.where(good).select(*ENRICHED_COLUMNS)
         # the document as it arrived, so that a rejected one can be repaired
         raw = [F.col("_raw").alias("raw_document")] if "_raw" in tagged.columns else []
-        rejects = tagged.where(F.size(REASONS) > 0).select(*EVENT.fieldNames(), REASONS, *raw)
+        rejects = tagged.where(bad).select(*EVENT.fieldNames(), REASONS, *raw)
         tasks: dict[str, Callable[[], None]] = {}
         if sinks.quarantine:
             from eventide.sinks.quarantine import write_rejects
@@ -187,26 +207,60 @@ def prepare_stream(stream: DataFrame, watermark: str = "10 minutes", dedup: bool
     return s.withColumn("_key", key).dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
+def with_late_rows(stream: DataFrame, prepared: DataFrame) -> DataFrame:
+    """ST11: the rows that the stateful operators of ``prepared`` let through, and beside them all
+    rows of ``stream``, on a branch without an operator that could drop any (kind SEEN). The batch
+    then tells the late ones from the others by the watermark that it ran with."""
+    seen = stream.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    return prepared.withColumn(KIND, F.lit(TAKEN)).unionByName(seen.withColumn(KIND, F.lit(SEEN)))
+
+
+def late_watermark(spark: SparkSession, checkpoint: str, batch_id: int) -> int | None:
+    """Milliseconds of the watermark by which batch ``batch_id`` drops late rows: the one its
+    predecessor was planned with, from the query's offset log (a replay finds the same)."""
+    log_file = f"{checkpoint}/offsets/{int(batch_id) - 1}"
+    if batch_id <= 0 or not fs.exists(spark, log_file):
+        return None
+    return int(json.loads(fs.read_text(spark, log_file).splitlines()[1])["batchWatermarkMs"])
+
+
 def run_stream(spark: SparkSession, stream: DataFrame, content, sinks: Sinks,
                checkpoint: str | None = None, trigger: dict | None = None,
                watermark: str = "10 minutes", dedup: bool = False, strict: bool = True,
-               query_name: str | None = None) -> StreamingQuery:
+               query_name: str | None = None, keep_late: bool = False) -> StreamingQuery:
     """Start the pipeline; ``trigger`` e.g. ``{"processingTime": "1 second"}`` (default)
-    or ``{"availableNow": True}`` for catch-up/backfill runs."""
+    or ``{"availableNow": True}`` for catch-up/backfill runs.
+
+    ``keep_late`` (with ``dedup``) puts rows that come behind the watermark into the quarantine
+    with the reason ``late``, where they would otherwise only be counted, and writes the numbers
+    of late rows and of copies with the batch's metrics: taken + late + copies = sent. It reads
+    the source twice.
+    """
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/{query_name or 'engagement-pipeline'}"
     # one rule for catalogues of any size: a DataFrame is read again by every batch from the
     # files it was made of; a callable makes a new DataFrame for every batch, so it sees new
     # files. Only the size check of a fixed DataFrame is not repeated.
     small = None if callable(content) else fits_broadcast(content)
 
+    keep_late = keep_late and dedup
+
     def fn(df: DataFrame, batch_id: int) -> None:
+        if keep_late:
+            behind = late_watermark(spark, ckpt, batch_id)
+            late = F.lit(False) if behind is None else (
+                F.col("event_ts") <= F.timestamp_millis(F.lit(behind)))
+            df = df.withColumn(KIND, F.when((F.col(KIND) == SEEN) & late, LATE)
+                               .otherwise(F.col(KIND)))
         process_batch(df, batch_id, content, sinks, strict=strict, known_small=small)
 
     observed = stream.observe(
         "ingest", F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("id").isNull()).alias("rows_without_id"),
         F.max("event_ts").alias("max_event_ts"))
-    w = (prepare_stream(observed, watermark, dedup).writeStream
+    prepared = prepare_stream(observed, watermark, dedup)
+    if keep_late:
+        prepared = with_late_rows(stream, prepared)
+    w = (prepared.writeStream
          .foreachBatch(fn)
          .option("checkpointLocation", ckpt)
          .trigger(**(trigger or {"processingTime": "1 second"})))

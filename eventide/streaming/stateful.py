@@ -72,13 +72,14 @@ def _timed(stream: DataFrame, minutes: int, name: str, measures) -> DataFrame:
     return rows.select("content_id", cell.alias(name), "user_id", *others)
 
 
-def run_grain(grain: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
-    """Write the rows that each micro-batch changed (update mode) to ``<path>/batch_id=N``; a
-    replayed batch overwrites its folder."""
+def run_grain(grain: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+              mode: str = "update"):
+    """Write the rows that each micro-batch changed (update mode) or closed (append mode) to
+    ``<path>/batch_id=N``; a replayed batch overwrites its folder."""
     def write(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
 
-    return (grain.writeStream.outputMode("update").foreachBatch(write)
+    return (grain.writeStream.outputMode(mode).foreachBatch(write)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "1 minute"})).start())
 
