@@ -55,6 +55,9 @@ class RecentHistory(StatefulProcessor):
         self.handle = handle
         self.kept = handle.getListState("recent", self.state_schema)
 
+    def _due(self, newest: tuple) -> int:
+        return newest[0] // 1000 + 1 + self.ttl_ms
+
     def _newest(self, best: dict) -> list[tuple]:
         return sorted(best.values(), key=lambda v: (v[0], v[1]), reverse=True)[:self.keep]
 
@@ -66,15 +69,18 @@ class RecentHistory(StatefulProcessor):
             if old is None or old[0] <= value[0]:
                 best[value[1]] = value
 
-        for value in self.kept.get():
-            take(tuple(value))
+        kept = [tuple(v) for v in self.kept.get()]
+        # rows come before timers: what the watermark has passed is gone for them, too
+        if kept and self._due(kept[0]) > timerValues.getCurrentWatermarkInMs():
+            for value in kept:
+                take(value)
         for row in rows:
             take(tuple(row[f] for f in ("_us", "event_id", *self.fields)))
             if len(best) > 2 * self.keep:  # never more than twice the bound
                 best = {v[1]: v for v in self._newest(best)}
         newest = self._newest(best)
         self.kept.put(newest)
-        due = newest[0][0] // 1000 + 1 + self.ttl_ms
+        due = self._due(newest[0])
         known = set(self.handle.listTimers())
         for t in known - {due}:
             self.handle.deleteTimer(t)
