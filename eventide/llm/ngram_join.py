@@ -254,22 +254,34 @@ def _segments(sets: DataFrame, fragments: int, percent: int = PERCENT
     toks = sets.select("cid", "n", F.explode("toks").alias("tok"))
     df = toks.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1")
     common = materialize(toks.join(df, "tok"), "common")
-    # the order as one number: frequency, then hash
-    place = F.col("df") * F.lit(1 << 31) + F.expr(f"shiftrightunsigned(tok, {K.TOKEN_BITS - 31})")
-    common = common.withColumn("place", place.cast("double"))
-    cuts = common.agg(F.percentile_approx(
-        "place", [i / fragments for i in range(1, fragments)]).alias("p")).first()["p"] or []
-    frag = sum((F.when(F.col("place") > F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
-    by_class = common.groupBy("cid", "n").agg(
-        F.count("*").alias("m"), F.sum("df").alias("w"),
-        F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("order"))
+
+    def place(df, tok):  # the order as one number: frequency, then hash
+        return (df * F.lit(1 << 31) + F.shiftrightunsigned(tok, K.TOKEN_BITS - 31)).cast("double")
+
+    steps = [i / fragments for i in range(1, fragments)]
+    cuts = common.agg(F.percentile_approx(place(F.col("df"), F.col("tok")), steps).alias("p")
+                      ).first()["p"] or []
+    # one grouping by class: its shingles in the global order
+    by_class = materialize(common.groupBy("cid", "n").agg(
+        F.sum("df").alias("w"),
+        F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("order")), "ordered")
+    m = F.size("order").cast("long")
     need = _need(percent)
-    prefix = (by_class.withColumn("p", (F.col("m") - need + 1).cast("int")).where("p > 0")
+    prefix = (by_class.select("*", m.alias("m"))
+              .withColumn("p", (F.col("m") - need + 1).cast("int")).where("p > 0")
               .select("cid", "n", "m", (F.col("w") / F.col("n")).alias("central"),
                       F.posexplode(F.slice("order", F.lit(1), F.greatest("p", F.lit(0)))))
               .select(F.col("col.tok").alias("tok"), "cid", "n", "m", "central", "pos"))
-    segments = (common.withColumn("frag", frag).groupBy("cid", "frag")
-                .agg(F.collect_list("tok").alias("seg")))
+    bounds = [float("-inf"), *cuts, float("inf")]
+
+    def between(lo: float, hi: float):
+        inside = F.filter("order", lambda e: (place(e["df"], e["tok"]) > F.lit(lo))
+                          & (place(e["df"], e["tok"]) <= F.lit(hi)))
+        return F.transform(inside, lambda e: e["tok"])
+
+    pieces = [F.struct(F.lit(i).alias("frag"), between(lo, hi).alias("seg"))
+              for i, (lo, hi) in enumerate(zip(bounds, bounds[1:]))]
+    segments = by_class.select("cid", F.inline(F.array(*pieces))).where(F.size("seg") > 0)
     return materialize(prefix, "prefix"), materialize(segments, "segments")
 
 
@@ -278,10 +290,10 @@ def partial_overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     pairs: its segments are replicated and its pairs are spread over them."""
     spread = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(HUB_SALTS)).cast("int"))
     right = segments.select(F.col("cid").alias("b"), "frag", F.col("seg").alias("sb"))
-    left = segments.select(F.col("cid").alias("a"), "frag", F.col("seg").alias("sa"),
-                           F.explode(F.sequence(F.lit(0), F.lit(HUB_SALTS - 1))).alias("salt"))
-    hubs = pairs.select("a").distinct()
-    left = left.join(hubs, "a", "left_semi")
+    # only the segments of left classes are replicated, and only after that is known
+    left = (segments.select(F.col("cid").alias("a"), "frag", F.col("seg").alias("sa"))
+            .join(pairs.select("a").distinct(), "a", "left_semi")
+            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(HUB_SALTS - 1)))))
     partial = (spread.join(right, "b").join(left, ["a", "frag", "salt"])
                .select("a", "na", "b", "nb", F.size(F.array_intersect("sa", "sb")).alias("part")))
     return partial.groupBy("a", "na", "b", "nb").agg(F.sum("part").alias("inter"))
