@@ -26,7 +26,7 @@ _DEFAULTS = {
     # hints come after a bounded count (operators.joins), and AQE may still broadcast a
     # side whose shuffle output it has measured at run time.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     # Streaming session windows: merge sessions inside each partition before the shuffle
     # (pre-aggregation for hot keys).
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
