@@ -259,6 +259,23 @@ def q_backfill_ordered(spark, sf_dir):
     return marts.page(frame, ["event_ts", "id"], P.PAGE_SIZE, P.PAGE_NUMBER)
 
 
+def _bucketed(spark, sf_dir):
+    import uuid
+
+    from eventide.session import checkpoint_dir
+    from eventide.sinks.warehouse import write_bucketed
+    name = f"eventide_fact_{uuid.uuid4().hex[:12]}"
+    return _memo(spark, sf_dir, "bucketed", lambda: write_bucketed(
+        _fact(spark, sf_dir), name, f"{checkpoint_dir(spark)}/{name}", P.BUCKETS))
+
+
+def q_bucketed_lookback(spark, sf_dir):
+    """K3/A4: the look-back ranking over the fact table bucketed by content: no exchange of
+    events."""
+    return marts.top_content_lookback(_bucketed(spark, sf_dir), P.AS_OF, P.LOOKBACK_HOURS,
+                                      P.TOP_K)
+
+
 def _backfill_table(spark, sf_dir):
     from eventide.operators.paging import ordered_table
     from eventide.streaming.backfill import backfill_frame

@@ -31,3 +31,4 @@ EXPIRY_UNTIL = "2024-01-01 06:00:00"     # compressed fixture time
 LATE_CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 LATE_BEFORE = "2024-01-09 00:00:00"
 PAGES = 7
+BUCKETS = 8
