@@ -276,6 +276,94 @@ def q_bucketed_lookback(spark, sf_dir):
                                       P.TOP_K)
 
 
+def _week_cut(fact, i):
+    """Facts of the i-th batch: the fixture's time cut at LATE_CUTS."""
+    bounds = (None, *P.LATE_CUTS, None)
+    if bounds[i] is not None:
+        fact = fact.where(F.col("event_timestamp") >= ts_lit(bounds[i]))
+    if bounds[i + 1] is not None:
+        fact = fact.where(F.col("event_timestamp") < ts_lit(bounds[i + 1]))
+    return fact
+
+
+def _states(spark, sf_dir):
+    """A path with the states of all facts, written in batches (one of them twice)."""
+    import uuid
+
+    from eventide.session import checkpoint_dir
+    from eventide.sinks.states import write_states
+
+    def build():
+        path = f"{checkpoint_dir(spark)}/eventide_states_{uuid.uuid4().hex[:12]}"
+        for i in (0, 1, 2, 1):
+            write_states(_week_cut(_fact(spark, sf_dir), i), path, i)
+        return path
+
+    return _memo(spark, sf_dir, "states", build)
+
+
+def _read_states(spark, sf_dir, name):
+    from eventide.sinks.states import read_states
+    return read_states(spark, _states(spark, sf_dir), name)
+
+
+def q_daily_from_states(spark, sf_dir):
+    """A5 from the batches' mergeable states instead of the facts."""
+    from eventide.sinks.states import daily_from_states
+    return daily_from_states(_read_states(spark, sf_dir, "marts"))
+
+
+def q_hourly_from_states(spark, sf_dir):
+    """A6 from the same states."""
+    from eventide.sinks.states import hourly_from_states
+    return hourly_from_states(_read_states(spark, sf_dir, "marts"), P.AS_OF, P.RECENT_DAYS)
+
+
+def q_top_from_states(spark, sf_dir):
+    """Contents with most events from frequent-items sketches."""
+    from eventide.sinks.states import top_from_states
+    return top_from_states(_read_states(spark, sf_dir, "top"), P.TOP_STATES_K, P.STATS_START,
+                           P.STATS_END, whole_ties=True)
+
+
+def q_resent_ids(spark, sf_dir):
+    """V8 across batches: events whose id came in an earlier batch."""
+    import uuid
+
+    from eventide.session import checkpoint_dir
+    from eventide.sinks import seen_ids
+    path = f"{checkpoint_dir(spark)}/eventide_ids_{uuid.uuid4().hex[:12]}"
+    sent = fx.resent_batches(_events(spark, sf_dir), P.LATE_CUTS)
+    found = []
+    for b in range(len(P.LATE_CUTS) + 2):
+        batch = sent.where(F.col("batch") == b)
+        seen_ids.note_ids(batch, path, b)
+        found.append(seen_ids.tag_seen(batch, seen_ids.seen_before(spark, path, b)))
+    rows = found[0]
+    for other in found[1:]:
+        rows = rows.unionByName(other)
+    return rows.where("seen").select("id", F.col("batch").cast("int").alias("batch"),
+                                     "content_id", "event_ts")
+
+
+def q_fact_lookup(spark, sf_dir):
+    """S3: facts by event id from the written table, row groups skipped by bloom filters."""
+    import uuid
+
+    from eventide.session import checkpoint_dir
+    from eventide.sinks import warehouse
+
+    def build():
+        path = f"{checkpoint_dir(spark)}/eventide_lookup_{uuid.uuid4().hex[:12]}"
+        enriched = _enriched(spark, sf_dir)
+        warehouse.write_fact(enriched, path, 0, bloom=("event_id", "content_id"))
+        return path
+
+    path = _memo(spark, sf_dir, "lookup", build)
+    return warehouse.lookup(spark, path, "event_id", list(P.LOOKUP_IDS)).select(
+        "event_id", "content_id", "user_id", "event_type", "event_timestamp", "event_date")
+
+
 def _backfill_table(spark, sf_dir):
     from eventide.operators.paging import ordered_table
     from eventide.streaming.backfill import backfill_frame

@@ -420,6 +420,22 @@ FROM tagged""")
     q["backfill_seek_page"] = q["backfill_ordered"]
     q["backfill_numbered"] = ("SELECT *, row_number() OVER (ORDER BY event_ts, id) - 1 AS position "
                               f"FROM ({q['backfill']})")
+    q["daily_from_states"] = q["daily_summary"]
+    q["hourly_from_states"] = q["hourly_trends"]
+    q["top_from_states"] = _with(*_std(FACT), f"""counted AS (
+  SELECT content_id, count(*) AS total_events FROM fact
+  WHERE event_date BETWEEN DATE '{P.STATS_START}' AND DATE '{P.STATS_END}' GROUP BY content_id)""",
+                                 body=f"""
+SELECT content_id, total_events FROM counted
+QUALIFY rank() OVER (ORDER BY total_events DESC)
+        + count(*) OVER (PARTITION BY total_events) - 1 <= {P.TOP_STATES_K}""")
+    number = " + ".join(f"CASE WHEN event_ts >= {_ts(c)} THEN 1 ELSE 0 END" for c in P.LATE_CUTS)
+    q["resent_ids"] = _with(CONTENT, EVENTS, body=f"""
+SELECT id, CAST({number} + 1 AS INTEGER) AS batch, content_id, event_ts
+FROM engagement_events WHERE id % 41 = 0 AND id % 101 <> 0""")
+    q["fact_lookup"] = _with(*_std(FACT), body=f"""
+SELECT event_id, content_id, user_id, event_type, event_timestamp, event_date FROM fact
+WHERE event_id IN {P.LOOKUP_IDS}""")
     q["stream_expiry"] = (
         "SELECT content_id, session_start, session_end, total_events, total_engagement_seconds "
         f"FROM ({q['sessions']}) WHERE session_end < {_ts(P.EXPIRY_UNTIL)}")

@@ -32,3 +32,5 @@ LATE_CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 LATE_BEFORE = "2024-01-09 00:00:00"
 PAGES = 7
 BUCKETS = 8
+TOP_STATES_K = 20
+LOOKUP_IDS = (1, 100, 101, 555, 702, 1234, 99_999_999)

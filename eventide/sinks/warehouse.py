@@ -28,10 +28,12 @@ CLUSTER_BY = ("content_type", "event_type", "content_id")
 
 def write_fact(enriched: DataFrame, path: str, batch_id: int,
                records_per_file: int = 1_000_000, source: str = "stream",
-               days: list | None = None) -> None:
+               days: list | None = None, bloom: tuple[str, ...] = ()) -> None:
     """Append (idempotently) one batch of enriched events to the fact table.
 
     ``days`` are the calendar days of the batch, if the caller knows them (saves a job).
+    ``bloom`` names columns that get Parquet bloom filters (see ``lookup``), sized by the values of
+    each row group.
     """
     own, key = int(batch_id), fs.source_key(source)
     fact = (to_fact(enriched)
@@ -53,6 +55,7 @@ def write_fact(enriched: DataFrame, path: str, batch_id: int,
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", records_per_file)
+     .options(**bloom_options(bloom))
      .partitionBy("event_date", "source", "batch_id")
      .parquet(path))
     for day in before - now:
@@ -60,6 +63,30 @@ def write_fact(enriched: DataFrame, path: str, batch_id: int,
         fs.delete(spark, f"{notes}/{day}")
 
 
+def bloom_options(columns: tuple[str, ...], max_bytes: int = 2 << 20) -> dict[str, str]:
+    """Parquet writer options: an adaptive bloom filter of at most ``max_bytes`` for each column."""
+    if not columns:
+        return {}
+    each = {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+    return each | {"parquet.bloom.filter.adaptive.enabled": "true",
+                   "parquet.bloom.filter.max.bytes": str(int(max_bytes))}
+
+
+def lookup(spark: SparkSession, path: str, column: str, values: list, dates: tuple | None = None
+           ) -> DataFrame:
+    """S3: facts whose ``column`` is one of ``values``; ``dates`` (first, last) prunes partitions.
+
+    Event ids are spread over all files, so minima and maxima exclude none; a bloom filter on
+    the column lets a reader skip every row group that does not hold the value (up to about one
+    in a hundred). The values are a predicate of the scan, so they should be few: join for many.
+    """
+    fact = read_fact(spark, path)
+    if dates is not None:
+        fact = fact.where(F.col("event_date").between(*[F.lit(str(d)).cast("date")
+                                                        for d in dates]))
+    return fact.where(F.col(column).isin(list(values)))
+
+
 def read_fact(spark: SparkSession, path: str, dedup: bool = False) -> DataFrame:
     """The fact table; ``dedup`` keeps the latest write per ``event_id``."""
     fact = spark.read.schema(FACT).option("basePath", path).parquet(path)

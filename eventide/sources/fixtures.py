@@ -97,6 +97,16 @@ def with_defects(events: DataFrame, resent_after: str = "1 SECOND") -> DataFrame
     return lost.unionByName(again)
 
 
+def resent_batches(events: DataFrame, cuts: tuple[str, ...]) -> DataFrame:
+    """F7 as batches: events with a ``batch`` by their time among ``cuts``; those that are sent
+    again come a second time in the next batch. Some have lost their id."""
+    batch = sum((F.when(F.col("event_ts") >= F.lit(c).cast("timestamp_ntz"), 1).otherwise(0)
+                 for c in cuts), F.lit(0))
+    dealt = events.withColumn("batch", batch)
+    again = dealt.where("id % 41 = 0").withColumn("batch", F.col("batch") + 1)
+    return dealt.withColumn("id", F.when(F.col("id") % 101 != 0, F.col("id"))).unionByName(again)
+
+
 def content_with_defects(content: DataFrame) -> DataFrame:
     """F8: catalogue rows without slug or title, of an unknown type, or with a broken id."""
     k = F.substring("content_id", 25, 12).cast("bigint")
