@@ -8,14 +8,16 @@ merge by uniting their covered positions, also where they overlap the original.
 
 Windows without a copy are dropped by a counting aggregation (partial in each task, so a
 window that a third of all documents carries costs one row per task); only repeated windows
-meet their original in a join, whose skewed partitions Spark splits.
+meet their original in a join. The originals are written before it, so that both sides of the
+join are plain scans below their exchange: the shape whose skewed partitions Spark splits.
 
 Defined cases: null text is the empty text (one empty line, no window); documents of fewer
 than three lines have no window and lose nothing. Rows with a null doc_id come after all
 others. Rows with one doc_id, or none, but different texts are documents of their own (equal
 windows are in the order of line numbers, then of the texts' hashes). Repeated rows of one doc_id
-and text are the same document: none is a later occurrence of the other. An empty table gives an
-empty result.
+and text are the same document: none is a later occurrence of the other. Very long texts are one
+row each; their work grows with their lines. Columns other than doc_id and text are ignored, so
+none can clash. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -53,6 +55,7 @@ def covered_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     first = (found.groupBy("key")
              .agg(F.min(F.struct("ord", "line", ROW_KEY)).alias("first"), F.count("*").alias("n"))
              .where("n > 1").select("key", "first"))
+    first = materialize(first, "originals")
     later = found.join(first, "key").where(F.struct("ord", "line", ROW_KEY) != F.col("first"))
     spans = F.explode(F.sequence(F.col("line"), F.col("line") + (width - 1)))
     return (later.select("ord", ROW_KEY, spans.alias("line"))
@@ -77,7 +80,9 @@ def line_dedup(docs: DataFrame, width: int = WINDOW) -> DataFrame:
                .join(covered.drop("key"), ["ord", ROW_KEY], "left")
                .withColumn("covered", F.coalesce("covered", F.array().cast("array<int>")))
                .withColumn("lines", lines))
-    left = F.array_join(F.filter("lines", lambda x, i: ~F.array_contains("covered", i)), "\n")
+    # array_except hashes the covered numbers: linear in the lines
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("covered"))
+    left = F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n")
     cut = touched.select("doc_id", F.size("lines").cast("long").alias("n_lines"),
                          F.size("covered").cast("long").alias("n_removed"), left.alias("text"))
     return clean.unionByName(cut)
