@@ -6,13 +6,17 @@ the source. The number is the inverse of the distribution function at a uniform
 hashed from (seed, doc_id), so a rerun, a retry or another partitioning gives the same mix.
 The copies are then shuffled globally by a second hash of (seed, doc_id, copy).
 
+A rate above ``PIECE_RATE`` is split into equal pieces of at most that rate, each inverted at a
+variate of its own: their sum is Poisson of the whole rate, so the table of a source has some
+200 entries at any rate, and a document's work grows with the copies it yields.
+
 Target shares: ``weights`` (source -> weight, normalised over the sources present; a source
 without a weight gets 0 and leaves the mix) or, without weights, rows ** ``temperature``.
 
 Defined cases: rows with a null source form a source of their own (weight key None). Rows
 with a null doc_id hash as 'null'; repeated rows of one doc_id get the same count each. Text
-is not looked at, null or not. An empty table gives an empty mix. All columns are passed on;
-a column named copy or shuffle_key in the input is replaced.
+is not looked at, null, empty or very long. An empty table gives an empty mix. All columns are
+passed on, whatever their names; a column named copy or shuffle_key in the input is replaced.
 """
 
 from __future__ import annotations
@@ -20,8 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Sources whose rate tables are broadcast; at 20 doubles and a name each this is a few MB.
+#: Bounds of the rate tables that are broadcast: their sources, and bytes of names and doubles.
 MAX_BROADCAST_SOURCES = 20_000
+MAX_BROADCAST_BYTES = 32 << 20
+#: Largest rate of one table; rates above it are sums of pieces.
+PIECE_RATE = 64
 #: Copies of each rate row where the join has to shuffle (more sources than the bound above):
 #: the rows of one source spread over so many tasks.
 SALTS = 64
@@ -34,7 +41,8 @@ def _hash52(*parts: Column) -> Column:
 
 def source_rates(docs: DataFrame, weights: dict | None = None, temperature: float = 0.5,
                  size: float = 1.0) -> DataFrame:
-    """(source, n, rate, cdf): cdf[k] = P(count <= k), up to where it is 1 in a double."""
+    """(source, n, rate, pieces, cdf): cdf[k] = P(count of a piece <= k), up to where it is 1 in a
+    double; a count is the sum over the pieces."""
     counts = docs.groupBy("source").agg(F.count("*").alias("n"))
     if weights is None:
         raw = F.pow(F.col("n").cast("double"), F.lit(float(temperature)))
@@ -47,20 +55,22 @@ def source_rates(docs: DataFrame, weights: dict | None = None, temperature: floa
     total = counts.agg(F.sum("n").alias("n"), F.sum("raw").alias("raw")).first()
     rows, mass = float(total["n"] or 0), float(total["raw"] or 0.0) or 1.0
     rate = F.col("raw") / F.lit(mass) * F.lit(rows * size) / F.col("n")
-    rated = counts.select("source", "n", rate.alias("rate"))
-    # log p(k) grows by ln(rate / k) from log p(0) = -rate; no underflow for large rates
-    top = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 40).cast("int")
-    start = F.struct((-F.col("rate")).alias("lp"), F.exp(-F.col("rate")).alias("c"),
-                     F.array(F.exp(-F.col("rate"))).alias("cdf"))
+    pieces = F.greatest(F.ceil(F.col("rate") / PIECE_RATE), F.lit(1)).cast("int")
+    rated = (counts.select("source", "n", rate.alias("rate")).withColumn("pieces", pieces)
+             .withColumn("piece", F.col("rate") / F.col("pieces")))
+    # log p(k) grows by ln(rate / k) from log p(0) = -rate
+    top = F.ceil(F.col("piece") + 12 * F.sqrt("piece") + 40).cast("int")
+    start = F.struct((-F.col("piece")).alias("lp"), F.exp(-F.col("piece")).alias("c"),
+                     F.array(F.exp(-F.col("piece"))).alias("cdf"))
 
     def step(acc, k):
-        lp = acc["lp"] + F.log(F.col("rate")) - F.log(k.cast("double"))
+        lp = acc["lp"] + F.log(F.col("piece")) - F.log(k.cast("double"))
         c = acc["c"] + F.exp(lp)
         return F.struct(lp.alias("lp"), c.alias("c"),
                         F.concat(acc["cdf"], F.array(c)).alias("cdf"))
 
     cdf = F.aggregate(F.sequence(F.lit(1), top), start, step)["cdf"]
-    return rated.select("source", "n", "rate",
+    return rated.select("source", "n", "rate", "pieces",
                         F.when(F.col("rate") > 0, cdf).otherwise(F.array(F.lit(1.0))).alias("cdf"))
 
 
@@ -69,24 +79,36 @@ def poisson_mix(docs: DataFrame, weights: dict | None = None, temperature: float
     """The mix: columns of ``docs``, then copy (from 1) and shuffle_key, in shuffled order."""
     docs = docs.drop("copy", "shuffle_key")
     rates = source_rates(docs, weights, temperature, size).select(
-        F.col("source").alias("__source"), F.col("cdf").alias("__cdf"))
-    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    few = rates.limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES
-    if few:
-        rated = docs.join(F.broadcast(rates), F.col("source").eqNullSafe(F.col("__source")))
+        F.col("source").alias("of"), "pieces", "cdf")
+    # the input's row is one column, so its names cannot clash with the ones used here
+    rows = docs.select(F.struct("*").alias("row")).select(
+        "row", F.col("row.source").alias("source"),
+        F.coalesce(F.col("row.doc_id").cast("string"), F.lit("null")).alias("ident"))
+    bytes_ = F.coalesce(F.octet_length(F.col("of").cast("string")), F.lit(0)) + 8 * F.size("cdf")
+    bound = rates.limit(MAX_BROADCAST_SOURCES + 1).agg(
+        F.count("*").alias("n"), F.coalesce(F.sum(bytes_), F.lit(0)).alias("bytes")).first()
+    if bound["n"] <= MAX_BROADCAST_SOURCES and bound["bytes"] <= MAX_BROADCAST_BYTES:
+        rated = rows.join(F.broadcast(rates), F.col("source").eqNullSafe(F.col("of")))
     else:
-        salted = rates.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        spread = docs.withColumn("__row_salt", F.pmod(F.hash(ident), F.lit(SALTS)))
-        rated = spread.join(salted, (F.col("__row_salt") == F.col("__salt"))
-                            & F.col("source").eqNullSafe(F.col("__source"))
-                            ).drop("__salt", "__row_salt")
+        salted = rates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        spread = rows.withColumn("row_salt", F.pmod(F.hash("ident"), F.lit(SALTS)))
+        rated = spread.join(salted, (F.col("row_salt") == F.col("salt"))
+                            & F.col("source").eqNullSafe(F.col("of")))
+    ident = F.col("ident")
     u = _hash52(F.lit(seed), ident) / F.lit(float(1 << 52))
-    n = F.size(F.filter("__cdf", lambda c: c <= F.col("__u")))
-    copies = (rated.withColumn("__u", u).withColumn("__n", n).where("__n > 0")
-              .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-              .drop("__source", "__cdf", "__u", "__n"))
+
+    def piece(total, i):
+        v = _hash52(F.lit(seed), F.lit("piece"), i.cast("string"), ident) / F.lit(float(1 << 52))
+        return total + F.size(F.filter("cdf", lambda c: c <= v))
+
+    n = F.size(F.filter("cdf", lambda c: c <= F.col("u")))
+    n = F.when(F.col("pieces") == 1, n).otherwise(
+        F.aggregate(F.sequence(F.lit(2), F.greatest("pieces", F.lit(2))), n, piece))
+    copies = (rated.withColumn("u", u).withColumn("n", n).where("n > 0")
+              .select("row", "ident", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")))
     key = _hash52(F.lit(seed), F.lit("order"), ident, F.col("copy").cast("string"))
-    return copies.withColumn("shuffle_key", key).orderBy("shuffle_key", "doc_id", "copy")
+    return (copies.select("row", "copy", key.alias("shuffle_key"))
+            .orderBy("shuffle_key", "row.doc_id", "copy").select("row.*", "copy", "shuffle_key"))
 
 
 ORACLE_SQL = """
