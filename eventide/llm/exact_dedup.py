@@ -4,25 +4,29 @@ Texts are equal when they are identical after every run of ASCII white space bec
 space. The key of a text is the 64-bit hash of that form. The index is an extendible hash
 file: a directory addressed by the leading bits of the key, doubled until no bucket holds
 more than ``capacity`` keys (or the directory has ``max_depth`` bits: what is still overfull
-then is an overflow chain). Its entries are written to the shared folder in key order, so an
-owner task reads one range of keys. A key that occurs once needs no comparison. Texts of
-keys that occur more often are fetched and compared byte for byte (Spark's grouping compares
-the strings themselves), so colliding texts become separate links of the key's chain.
+then is an overflow chain). Its entries are written to the shared folder in key order. A key that
+occurs once needs no comparison. A row whose key occurs more often looks its bucket up in the
+directory and goes to the bucket's owner: the task that reads the entries of that bucket from
+the files and holds its whole key range. The owner puts the texts of an entry in byte order and
+compares neighbours, so that copies unite and colliding texts become further links of the chain.
+A row gets its group from the chain it was put in, and from nowhere else.
 
-Only hashes travel for texts that are unique; texts of repeated keys are aggregated in each
-map task before they are shuffled, so a group with a third of all rows costs one row per task.
+Only hashes travel for texts that are unique. Copies are aggregated before the owner gets them:
+within each map task, then over ``SALTS`` shares of the rows, so a group with a third of all
+rows reaches its owner as at most ``SALTS`` texts.
 
 Defined cases: null text is the empty text. A row without doc_id takes part, but it stays
 only if no row of its group has an id (then every such row reports keep_id null, kept true).
 Repeated rows with one doc_id are copies of each other: all rows with the staying id are kept.
-An empty table gives an empty result. Extra columns are ignored.
+An empty table gives an empty result. Very long texts are compared whole, like any other. Extra
+columns are ignored, so none can clash.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.llm.common import keep_maybe_present, materialize, presence_bitmap
@@ -31,6 +35,8 @@ from eventide.llm.common import keep_maybe_present, materialize, presence_bitmap
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 #: At most 2^20 directory cells (about 25 MB), the proven bound of its broadcast.
 MAX_DEPTH = 20
+#: Shares of a text's copies that are united before the bucket's owner compares them.
+SALTS = 16
 
 
 def normalised(text: Column) -> Column:
@@ -70,26 +76,49 @@ def directory(keys: DataFrame, capacity: int, max_depth: int = MAX_DEPTH
     return cells, cell
 
 
-def build_index(keyed: DataFrame, capacity: int = 4096) -> DataFrame:
-    """Index entries (bucket, depth, key, n) on shared files, in bucket and key order."""
+def build_index(keyed: DataFrame, capacity: int = 4096
+                ) -> tuple[DataFrame, DataFrame, Column]:
+    """Index on shared files: entries (bucket, depth, key, n) in bucket and key order, the
+    directory (cell, bucket, depth) and the cell of a key."""
     counts = keyed.groupBy("key").agg(F.count("*").alias("n"))
     counts = materialize(counts, "keys")
     cells, cell = directory(counts, capacity)
     cells = materialize(cells, "directory")
-    entries = counts.withColumn("cell", cell).join(F.broadcast(cells), "cell")
-    owned = (entries.select("bucket", "depth", "key", "n")
+    owned = (_in_bucket(counts, cells, cell)
              .repartitionByRange("bucket", "depth", "key")
              .sortWithinPartitions("bucket", "depth", "key"))
-    return materialize(owned, "index")
-
-
-def chains(docs: DataFrame, index: DataFrame) -> DataFrame:
-    """(key, text_sha256, keep_id, group_size, chain) for every text of a repeated key."""
-    repeated = presence_bitmap(index.where("n > 1"), "key")
-    texts = keep_maybe_present(_keyed(docs), "key", repeated)
-    return (texts.groupBy("key", "norm")
-            .agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-            .select("key", F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size"))
+    return materialize(owned.select("bucket", "depth", "key", "n"), "index"), cells, cell
+
+
+def _in_bucket(rows: DataFrame, cells: DataFrame, cell: Column) -> DataFrame:
+    """Rows with the bucket of their key; the directory is broadcast, see MAX_DEPTH."""
+    return rows.withColumn("cell", cell).join(F.broadcast(cells), "cell").drop("cell")
+
+
+def chains(docs: DataFrame, index: DataFrame, cells: DataFrame, cell: Column) -> DataFrame:
+    """(key, text_sha256, keep_id, group_size, link, overflow): every link of the chains of
+    repeated keys, numbered from 1 in byte order of the texts. ``overflow``: rows of the key that
+    the index counts, but the chain does not hold (0 unless index and texts disagree)."""
+    entries = index.where("n > 1")
+    texts = keep_maybe_present(_keyed(docs), "key", presence_bitmap(entries, "key"))
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
+    shares = (_in_bucket(texts, cells, cell)
+              .groupBy("bucket", "depth", "key", "norm", salt.alias("salt"))
+              .agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("rows")))
+    owned = entries.join(shares, ["bucket", "depth", "key"])
+    entry = Window.partitionBy("bucket", "depth", "key")
+    order = entry.orderBy("norm")
+    new = F.when(F.col("norm") == F.lag("norm").over(order), 0).otherwise(1)
+    # the rows of one link carry one text: it is hashed where the link starts
+    linked = (owned.withColumn("new", new)
+              .withColumn("link", F.sum("new").over(order.rowsBetween(
+                  Window.unboundedPreceding, Window.currentRow)))
+              .withColumn("sha", F.when(F.col("new") == 1, F.sha2("norm", 256))).drop("norm"))
+    return (linked.groupBy("bucket", "depth", "key", "link")
+            .agg(F.max("sha").alias("text_sha256"), F.min("keep_id").alias("keep_id"),
+                 F.sum("rows").alias("group_size"), F.first("n").alias("n"))
+            .withColumn("overflow", F.col("n") - F.sum("group_size").over(entry))
+            .select("key", "text_sha256", "keep_id", "group_size", "link", "overflow"))
 
 
 def exact_groups(docs: DataFrame, capacity: int = 4096) -> DataFrame:
@@ -97,8 +126,11 @@ def exact_groups(docs: DataFrame, capacity: int = 4096) -> DataFrame:
     keyed = _keyed(docs)
     digests = materialize(keyed.select("doc_id", "key", F.sha2("norm", 256).alias("text_sha256")),
                           "digests")
-    index = build_index(digests, capacity)
-    linked = digests.join(chains(docs, index), ["key", "text_sha256"], "left")
+    index, cells, cell = build_index(digests, capacity)
+    # written, so that the join below may split a partition that a hot text skews
+    found = materialize(chains(docs, index, cells, cell).select(
+        "key", "text_sha256", "keep_id", "group_size"), "chains")
+    linked = digests.join(found, ["key", "text_sha256"], "left")
     size = F.coalesce("group_size", F.lit(1).cast("long"))
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return linked.select("doc_id", keep.alias("keep_id"), size.alias("group_size"),

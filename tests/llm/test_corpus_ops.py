@@ -457,4 +457,4 @@ def test_colliding_keys_are_compared(spark, monkeypatch):
 def test_registered():
     import __spark_entry__ as entry
     assert set(queries.QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))
