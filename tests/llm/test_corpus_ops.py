@@ -234,6 +234,70 @@ def test_random_tokens(spark):
     assert dict(rows)[one.doc_id][int(start):int(end)] == dict(rows)[one.doc_id].split(" ")[1]
 
 
+def test_random_tokens_among_words(spark):
+    """Long words, paths and dates of ordinary text are left alone; keys of each alphabet that
+    carry enough evidence are found."""
+    rng = random.Random(23)
+    mid = [t or "" for (t,) in spark.read.parquet(f"{MID}/documents.parquet").select("text")
+           .collect()][:300]
+    words = [w for t in mid for w in re.findall("[a-z]{4,}", t)]
+    rows = [(i, f"{t} {''.join(rng.sample(words, 4))} 2024-01-15/2024-02-16_12-30-00 "
+                f"wiki/{rng.choice(words)}/{rng.choice(words)}/index_page "
+                f"{rng.choice(words).title()}{''.join(w.title() for w in rng.sample(words, 3))}")
+            for i, t in enumerate(mid)]
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    kinds = {"base64": (lower + upper + digits + "+/", 24), "letters": (lower + upper, 24),
+             "UPPER": (upper, 24), "base32": (upper + "234567", 24),
+             "base36": (lower + digits, 24), "BASE36": (upper + digits, 24),
+             "lower": (lower, 48), "HEX": ("0123456789ABCDEF", 24)}
+    keys, at = {}, len(rows)
+    for kind, (chars, n) in kinds.items():
+        for _ in range(40):
+            key = "".join(rng.choice(chars) for _ in range(n))
+            keys[at], at = (kind, f"key é {key} end"), at + 1
+    out = secret_scan.secret_digest(secret_scan.scan_secrets(_frame(
+        spark, rows + [(i, t) for i, (_, t) in keys.items()]))).collect()
+    found = {r.doc_id for r in out if r.n_random}
+    shares = {k: sum(i in found for i, (kind, _) in keys.items() if kind == k) / 40 for k in kinds}
+    wrong = [rows[i][1] for i in found if i < len(rows)]
+    assert len(wrong) <= 0.01 * len(found), wrong[:3]
+    assert min(shares.values()) >= 0.95, shares
+
+
+def test_random_tokens_brute(spark):
+    """Cuts and evidence by their definitions, token by token."""
+    rng = random.Random(29)
+    chars = secret_scan._ALL
+    rows = [(i, " ".join(["plain words of a text"] * 3 + [
+        "".join(rng.choice(chars[26:52] if rng.random() < 0.5 else chars)
+                for _ in range(rng.choice((22, 30, 70, 140))))])) for i in range(120)]
+    df = _frame(spark, rows)
+    seen = {}
+    for _, t in rows:
+        for c in re.sub(secret_scan.TOKEN, " ", t):
+            seen[c] = seen.get(c, 0) + 1
+    base = secret_scan.texts(df)
+    found = secret_scan.with_evidence(base.select(
+        "doc_id", secret_scan._candidates(secret_scan.F.col("text")).alias("candidates"),
+        secret_scan.ordinary_counts(secret_scan.F.col("text")).alias("ordinary"))).collect()
+    for r in found:
+        token = re.findall(secret_scan.TOKEN, rows[r.doc_id][1])[0]
+        own = next(c for _, p, c in secret_scan._ALPHABETS if re.search(p, token))
+        total = sum(seen.get(c, 0) for c in own) + len(own) / 2
+        ratio = math.prod((1 / len(own)) / ((seen.get(c, 0) + 0.5) / total)
+                          for c in token.rstrip("=").translate(str.maketrans("-_", "+/")))
+        (c,) = r.candidates
+        assert c.q == 1.0 or abs(math.log(c.q) + max(math.log(ratio), 0.0)) < 1e-6
+        assert rows[r.doc_id][1][c.start:c.end] == token
+
+
+def test_many_matches_of_a_text(spark):
+    """Offsets across blocks of matches."""
+    text = "é " + " ".join(f"token={i:08d}" for i in range(3000)) + " deadbeef" * 2
+    (r,) = _check_secrets(_frame(spark, [(0, text)]), {0: text})
+    assert r.n_assign == 3000
+
+
 # 5 ------------------------------------------------------------------------------------------
 def _check_packing(out, rows):
     from tokenizers import Tokenizer
