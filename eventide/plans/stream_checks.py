@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from eventide.functions.time import ts_lit
 from eventide.operators import windows
 from eventide.operators.enrich import enrich
-from eventide.operators.validate import reasons_text
+from eventide.operators.projections import to_change_row
+from eventide.operators.validate import reasons_text, validate_raw
 from eventide.plans import params as P
 from eventide.session import checkpoint_dir, session_key
 from eventide.sinks.delivery import deliver, delivery_stats
@@ -26,6 +27,7 @@ from eventide.sinks.quarantine import read_rejects
 from eventide.sinks.serving import ServingStore
 from eventide.sinks.warehouse import read_fact
 from eventide.sources import fixtures as fx
+from eventide.sources.change_feed import change_feed
 from eventide.streaming import processors, progress, stateful
 from eventide.streaming.backfill import backfill
 from eventide.streaming.pipeline import (Sinks, file_events, prepare_stream, process_batch,
@@ -136,6 +138,32 @@ def q_stream_restart_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_fact(spark, f"{_runs[key]}/fact").drop(*WRITTEN)
 
 
+def q_stream_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST14: rows appended to an event table come out of its change feed as JSON change rows, in
+    batches of a few row groups, over a restart; parsed back they are the typed events."""
+    key = (session_key(spark), sf_dir, "feed")
+    if key not in _runs:
+        root = _root(spark, "feed")
+        events = fx.load_events(spark, sf_dir)
+
+        def publish(df: DataFrame, batch_id: int) -> None:
+            to_change_row(df).write.mode("overwrite").parquet(f"{root}/feed/batch_id={batch_id}")
+
+        for part in (events.where("id % 2 = 0"), events.where("id % 2 = 1")):
+            part.write.option("parquet.block.size", 1 << 20).mode("append").parquet(f"{root}/table")
+            q = (change_feed(spark, f"{root}/table", checkpoint=f"{root}/checkpoint",
+                             row_groups_per_trigger=8, settle_seconds=0.0)
+                 .writeStream.option("checkpointLocation", f"{root}/checkpoint")
+                 .foreachBatch(publish).trigger(processingTime="0 seconds").start())
+            try:
+                q.processAllAvailable()
+            finally:
+                q.stop()
+        _runs[key] = root
+    return validate_raw(spark.read.parquet(f"{_runs[key]}/feed").select("key", "value"),
+                        "value")[0]
+
+
 def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = read_rejects(spark, f"{pipeline_run(spark, sf_dir)}/quarantine")
     return q.withColumn("reasons", reasons_text()).drop("source", "batch_id", "rejected_at")
@@ -350,4 +378,5 @@ ORACLE_TWIN = {
     "stream_backfill_stats": ("content_stats", False),
     "stream_sessions": ("sessions", False),
     "stream_sliding_counts": ("sliding_counts", False),
+    "stream_change_feed": ("raw_json_valid", False),
 }

@@ -13,14 +13,15 @@ from eventide.operators.projections import to_change_row
 
 
 def kafka_events(spark: SparkSession, servers: str, topic: str,
-                 starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None
-                 ) -> DataFrame:
-    """The topic as a stream of JSON strings in ``value`` (key = content id)."""
+                 starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None,
+                 fail_on_data_loss: bool = True) -> DataFrame:
+    """The topic as a stream of JSON strings in ``value`` (key = content id). Offsets that the
+    topic no longer holds fail the query unless ``fail_on_data_loss`` is off."""
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", servers)
               .option("subscribe", topic)
               .option("startingOffsets", starting_offsets)
-              .option("failOnDataLoss", "false"))
+              .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
     return reader.load().select(F.col("key").cast("string").alias("key"),
