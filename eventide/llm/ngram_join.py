@@ -48,8 +48,8 @@ PERCENT = 85
 FRAGMENTS = 8
 #: One in so many shingles is looked at by the first test (a power of two).
 SAMPLE = 4
-#: Rows of a replicated side per hub row: a hub with many pairs is read by several tasks.
-HUB_SALTS = 16
+#: Pairs for which a hub's segments are sent once: a hub with many pairs is read by several tasks.
+HUB_PAIRS = 256
 #: Prefix shingles by which a pair's list is chosen.
 HEAD = 24
 _LAST = (1 << 63) - 1
@@ -287,13 +287,19 @@ def _segments(sets: DataFrame, fragments: int, percent: int = PERCENT
 
 def partial_overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     """pairs (a, na, b, nb) with ``inter``, summed over the fragments. ``a`` may have very many
-    pairs: its segments are replicated and its pairs are spread over them."""
-    spread = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(HUB_SALTS)).cast("int"))
+    pairs: its segments are replicated, once for about every HUB_PAIRS pairs, and its pairs are
+    spread over the replicas."""
+    pairs = materialize(pairs, "pairs")
+    salts = materialize(pairs.groupBy("a").agg(
+        F.ceil(F.count("*") / HUB_PAIRS).cast("int").alias("salts")), "salts")
+    # both sides are written, so a hub's pairs are split over tasks here
+    spread = pairs.join(salts, "a").withColumn(
+        "salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int")).drop("salts")
     right = segments.select(F.col("cid").alias("b"), "frag", F.col("seg").alias("sb"))
-    # only the segments of left classes are replicated, and only after that is known
     left = (segments.select(F.col("cid").alias("a"), "frag", F.col("seg").alias("sa"))
-            .join(pairs.select("a").distinct(), "a", "left_semi")
-            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(HUB_SALTS - 1)))))
+            .join(salts, "a")
+            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+            .drop("salts"))
     partial = (spread.join(right, "b").join(left, ["a", "frag", "salt"])
                .select("a", "na", "b", "nb", F.size(F.array_intersect("sa", "sb")).alias("part")))
     return partial.groupBy("a", "na", "b", "nb").agg(F.sum("part").alias("inter"))
