@@ -295,8 +295,11 @@ def partial_overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     # both sides are written, so a hub's pairs are split over tasks here
     spread = pairs.join(salts, "a").withColumn(
         "salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int")).drop("salts")
-    right = segments.select(F.col("cid").alias("b"), "frag", F.col("seg").alias("sb"))
-    left = (segments.select(F.col("cid").alias("a"), "frag", F.col("seg").alias("sa"))
+    def of(side):  # segments of the classes on one side, and of a few others
+        return keep_maybe_present(segments, "cid", presence_bitmap(pairs, side))
+
+    right = of("b").select(F.col("cid").alias("b"), "frag", F.col("seg").alias("sb"))
+    left = (of("a").select(F.col("cid").alias("a"), "frag", F.col("seg").alias("sa"))
             .join(salts, "a")
             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
             .drop("salts"))
