@@ -50,6 +50,8 @@ FRAGMENTS = 8
 SAMPLE = 4
 #: Pairs for which a hub's segments are sent once: a hub with many pairs is read by several tasks.
 HUB_PAIRS = 256
+#: Bytes of text whose shingles, none left out, are one hash range.
+RANGE_BYTES = 16 << 20
 #: Prefix shingles by which a pair's list is chosen.
 HEAD = 24
 _LAST = (1 << 63) - 1
@@ -78,9 +80,12 @@ def chunk_shingles(buf: np.ndarray, off: np.ndarray, k: int = WORDS
     return seq, n, keys
 
 
-def _parts(spark) -> int:
-    """Hash ranges of an exchange: a power of two of about twice the shuffle partitions."""
-    want = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _parts(docs: DataFrame, one_in: int) -> int:
+    """Hash ranges of an exchange: a power of two, at least about twice the shuffle partitions,
+    and so many that a range has the sampled shingles of about RANGE_BYTES of text."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    want = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+               size // (RANGE_BYTES * one_in))
     return 1 << max(4, (want - 1).bit_length())
 
 
@@ -207,7 +212,7 @@ def _need(percent: int):
 def may_link(docs: DataFrame, one_in: int, name: str, words: int = WORDS, percent: int = PERCENT
              ) -> tuple[DataFrame, DataFrame]:
     """(texts, classes): all rows of the scan, and (cid, rep) of the classes that may link."""
-    parts = _parts(docs.sparkSession)
+    parts = _parts(docs, one_in)
     scanned = materialize(scan(docs, parts, one_in, words), name)
     rows = scanned.where("part IS NULL").select(
         "doc_id", "cid", "n", "sampled", "shared", *[c for c in docs.columns if c == ROW_KEY])
@@ -252,7 +257,8 @@ def _segments(sets: DataFrame, fragments: int, percent: int = PERCENT
     in the order, and (cid, frag, seg) with a class's shingles in each fragment of the global
     order."""
     toks = sets.select("cid", "n", F.explode("toks").alias("tok"))
-    df = toks.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1")
+    # written, so that the join can split a frequent shingle's rows over tasks
+    df = materialize(toks.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1"), "shared")
     common = materialize(toks.join(df, "tok"), "common")
 
     def place(df, tok):  # the order as one number: frequency, then hash
@@ -341,6 +347,7 @@ def class_links(prefix: DataFrame, segments: DataFrame, percent: int = PERCENT)
     sizes = (own.groupBy("tok").agg(F.collect_set("n").alias("sizes"),
                                     F.min("comp").alias("c1"), F.max("comp").alias("c2"))
              .where("c1 <> c2").select("tok", "sizes"))
+    sizes = materialize(sizes, "list-sizes")  # again a frequent shingle's rows can be split
     # a group of a list: classes of two sizes, without those that the bound rules out for them
     most = F.col("o") + F.col("e")
     able = F.filter("sizes", lambda s: _fits("n", s, percent)
