@@ -346,8 +346,8 @@ def q_resent_ids(spark, sf_dir):
                                      "content_id", "event_ts")
 
 
-def q_fact_lookup(spark, sf_dir):
-    """S3: facts by event id from the written table, row groups skipped by bloom filters."""
+def _written_fact(spark, sf_dir):
+    """Path of the fact table of all enriched events, with bloom filters."""
     import uuid
 
     from eventide.session import checkpoint_dir
@@ -359,11 +359,33 @@ def q_fact_lookup(spark, sf_dir):
         warehouse.write_fact(enriched, path, 0, bloom=("event_id", "content_id"))
         return path
 
-    path = _memo(spark, sf_dir, "lookup", build)
+    return _memo(spark, sf_dir, "lookup", build)
+
+
+def q_fact_lookup(spark, sf_dir):
+    """S3: facts by event id from the written table, row groups skipped by bloom filters."""
+    from eventide.sinks import warehouse
+    path = _written_fact(spark, sf_dir)
     return warehouse.lookup(spark, path, "event_id", list(P.LOOKUP_IDS)).select(
         "event_id", "content_id", "user_id", "event_type", "event_timestamp", "event_date")
 
 
+def _view(spark, sf_dir, name):
+    from eventide.sinks import warehouse
+    warehouse.register_views(spark, _written_fact(spark, sf_dir), P.AS_OF)
+    return spark.sql(f"SELECT * FROM {name}")
+
+
+def q_view_daily_summary(spark, sf_dir):
+    """K4: the daily view over the written fact table, by SQL."""
+    return _view(spark, sf_dir, "daily_engagement_summary")
+
+
+def q_view_hourly_trends(spark, sf_dir):
+    """K4: the hourly view over the written fact table, by SQL."""
+    return _view(spark, sf_dir, "hourly_engagement_trends")
+
+
 def _backfill_table(spark, sf_dir):
     from eventide.operators.paging import ordered_table
     from eventide.streaming.backfill import backfill_frame

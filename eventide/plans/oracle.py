@@ -416,6 +416,7 @@ SELECT CAST(sum(CASE WHEN reasons = '' THEN 1 ELSE 0 END) AS BIGINT) AS processe
        CAST(sum(CASE WHEN reasons <> '' THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS error_rate
 FROM tagged""")
     q["stream_restart_fact"] = q["stream_fact"]
+    q["view_daily_summary"], q["view_hourly_trends"] = q["daily_summary"], q["hourly_trends"]
     q["bucketed_lookback"] = q["top_content_lookback"]
     q["backfill_seek_page"] = q["backfill_ordered"]
     q["backfill_numbered"] = ("SELECT *, row_number() OVER (ORDER BY event_ts, id) - 1 AS position "
