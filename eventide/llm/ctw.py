@@ -7,11 +7,15 @@ Pw(s) = (Pe(s) + product of Pw(children)) / 2. Counts come from the training tex
 weights they imply give fixed predictive probabilities, so a text's code length is a sum of
 table look-ups. A text starts in a context of zero bytes and ends with a zero byte.
 
-The tree keeps the MAX_CONTEXTS contexts seen most often (a parent is seen at least as often
-as its children); the rest of a context's children is one further child. That bounds the
-broadcast model at about 2 KB a context, whatever the input. Counts of byte strings are added
-up in every batch before they are shuffled, then by the node they end in; subtrees are weighted
-in tasks, one for each last byte, which get at most 256 rows a node.
+The tree holds every context of the training texts. Counts of byte strings (DEPTH + 1 bytes) are
+added up in every batch before they are shuffled; strings whose contexts end in the same two
+bytes are weighted in one task, about GRAMS_PER_PART strings each, and their sums for each last
+byte (at most 256 x 255 rows) make the top of the tree on the driver. A second pass gives the
+probability of every byte string that occurs in any text (``gram_scores``). Texts are scored by
+look-ups: strings that occur often (at most FREQUENT_GRAMS, broadcast) in the task that reads the
+text, all others by a join of their postings. Which strings these are changes no result.
+``fit_model`` is the same tree cut to MAX_CONTEXTS contexts, as dense next-byte tables for callers
+that want whole distributions; no score comes from it.
 
 The base score is a smoothed unigram model over words. A text's base score needs the corpus
 count of each of its words, so batches send postings (word, training count, texts) to the
@@ -49,6 +53,10 @@ SAMPLE = 64
 HELD_GRAMS = 2_000_000
 #: Tokens whose postings one owner takes, about.
 TOKENS_PER_PART = 8_000_000
+#: Byte strings whose part of the tree one task weights, about.
+GRAMS_PER_PART = 100_000
+#: Byte strings whose scores are broadcast (12 bytes each); all others are joined.
+FREQUENT_GRAMS = 1 << 19
 _U = np.uint64
 _REST = 256  # edge of the child that stands for all contexts that are not kept
 
@@ -199,6 +207,16 @@ def padded(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return out, coded, size + 1
 
 
+def _grams(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The byte string (DEPTH bytes of context, the oldest highest, and the byte) of every coded
+    byte, text by text; strings per text."""
+    full, coded, size = padded(low, off)
+    g = np.zeros(max(len(full) - DEPTH, 0), _U)
+    for i in range(DEPTH + 1):
+        g = (g << _U(8)) | full[i:len(full) - DEPTH + i]
+    return g[coded[DEPTH:]], size
+
+
 _ENDS = 0x1F83D9ABFB41BD6B  # stands for the end token among word hashes
 
 
@@ -240,41 +258,44 @@ def _counts(kind: int, key: np.ndarray, n: np.ndarray, names: list[str]) -> pa.R
 
 
 def count_training(rows: DataFrame, frequent) -> DataFrame:
-    """(kind, key, n) added up: kind 0 byte strings of DEPTH + 1 bytes, kind 1 counts of the
-    frequent words, kind 2 tokens (key 0) and texts (key 1)."""
+    """(kind, key, n) added up: of training texts kind 0 byte strings of DEPTH + 1 bytes, kind 1
+    counts of the frequent words, kind 2 tokens (key 0) and texts (key 1); kind 3 byte strings of
+    held-out texts."""
     names = ["kind", "key", "n"]
 
     def run(batches):
         common = frequent.value
         words, tokens, n_docs = np.zeros(len(common), np.int64), 0, 0
-        grams, held = [], 0
+        grams = {0: [], 3: []}
         for batch in batches:
-            for _, _, buf, off in K.chunks(batch.column(0)):
+            held = batch.column(1).to_numpy(zero_copy_only=False)
+            for a, _, buf, off in K.chunks(batch.column(0)):
                 low = K.FOLD[buf]
                 with np.errstate(over="ignore"):
                     w, per = _words(low, off)
-                tokens += len(w) + len(per)
-                n_docs += len(per)
+                out = held[a:a + len(per)]
+                w = w[np.repeat(~out, per)]
+                tokens += len(w) + int((~out).sum())
+                n_docs += int((~out).sum())
                 if len(common) and len(w):
                     pos = np.minimum(np.searchsorted(common, w), len(common) - 1)
                     words += np.bincount(pos[common[pos] == w], minlength=len(common))
-                full, coded, _ = padded(low, off)
-                g = np.zeros(len(full) - DEPTH, _U)
-                for i in range(DEPTH + 1):
-                    g = (g << _U(8)) | full[i:len(full) - DEPTH + i]
-                grams.append(np.unique(g[coded[DEPTH:]], return_counts=True))
-                held += len(grams[-1][0])
-                if held > HELD_GRAMS:
-                    grams = [_added(grams)]
-                    held = len(grams[0][0])
-                    if held > HELD_GRAMS // 2:
-                        yield _counts(0, *grams[0], names)
-                        grams, held = [], 0
-        if grams:
-            yield _counts(0, *_added(grams), names)
+                g, size = _grams(low, off)
+                out = np.repeat(out, size)
+                for kind, mine in ((0, ~out), (3, out)):
+                    held_here = grams[kind]
+                    held_here.append(np.unique(g[mine], return_counts=True))
+                    if sum(len(k) for k, _ in held_here) > HELD_GRAMS:
+                        grams[kind] = held_here = [_added(held_here)]
+                        if len(held_here[0][0]) > HELD_GRAMS // 2:
+                            yield _counts(kind, *held_here[0], names)
+                            grams[kind] = []
+        for kind, rest in grams.items():
+            if rest:
+                yield _counts(kind, *_added(rest), names)
         yield _counts(1, common, words, names)
         yield _counts(2, np.array([0, 1], _U), np.array([tokens, n_docs]), names)
-    return (rows.where("NOT held").select("text").mapInArrow(run, "kind int, key long, n long")
+    return (rows.select("text", "held").mapInArrow(run, "kind int, key long, n long")
             .groupBy("kind", "key").agg(F.sum("n").alias("n")).where("n > 0"))
 
 
@@ -395,15 +416,139 @@ def assemble(nodes: pd.DataFrame, unseen: np.ndarray) -> Model:
     return Model(trans, table.ravel())
 
 
-_SCORED = ("part int, block long, doc_id long, held boolean, at int, n_tokens long, model double, "
+class Lower:
+    """The tree below depth 1 of some byte strings, whole for each two last context bytes: a node
+    is a context and a bit prefix. Strings with count 0 get nodes without counts, which weigh
+    nothing and predict 1/2, as a context that was never seen does."""
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray):
+        byte = (grams & _U(255)).astype(np.int64)
+        ctx = grams >> _U(8)
+        rev = np.zeros(len(grams), _U)  # newest context byte highest
+        for i in range(DEPTH):
+            rev = (rev << _U(8)) | ((ctx >> _U(8 * i)) & _U(255))
+        level = np.arange(8)[:, None]
+        self.bit = (byte >> (7 - level)) & 1
+        keys = ((rev << _U(8)) | ((256 + byte) >> (8 - level)).astype(_U)).ravel()
+        ones, zeros = (self.bit * counts).ravel(), ((1 - self.bit) * counts).ravel()
+        self.nodes, self.up = [], []  # from depth DEPTH to 2: (zeros, ones); rows in the next one
+        for d in range(DEPTH, 0, -1):
+            uniq, back = np.unique(keys, return_inverse=True)
+            self.up.append(back)
+            zeros = np.bincount(back, zeros, minlength=len(uniq))
+            ones = np.bincount(back, ones, minlength=len(uniq))
+            if d == 1:
+                break
+            self.nodes.append((zeros, ones))
+            keys = ((uniq >> _U(16)) << _U(8)) | (uniq & _U(255))
+        self.top, self.zeros, self.ones = uniq.astype(np.int64), zeros, ones  # last * 256 + prefix
+        self.pe = [log_kt(z, o) for z, o in self.nodes]
+        self.pw = [self.pe[0]]
+        for i in range(1, len(self.nodes)):
+            below = np.bincount(self.up[i], self.pw[-1], minlength=len(self.pe[i]))
+            self.pw.append(np.logaddexp(self.pe[i], below) - math.log(2))
+        self.below = np.bincount(self.up[-1], self.pw[-1], minlength=len(self.top))
+
+    def log10(self, acc: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """log10 probability of every string's byte, given by last * 256 + prefix what the tree
+        above contributes (acc) and leaves (weight)."""
+        acc, weight = acc[self.top], weight[self.top]
+        for i in range(len(self.nodes) - 1, -1, -1):
+            zeros, ones = self.nodes[i]
+            acc, weight = acc[self.up[i + 1]], weight[self.up[i + 1]]
+            stop = np.exp(self.pe[i] - math.log(2) - self.pw[i]) if i else 1.0
+            acc = acc + weight * stop * (ones + 0.5) / (zeros + ones + 1.0)
+            weight = weight * (1.0 - stop)
+        p = np.clip(acc[self.up[0]].reshape(self.bit.shape), 1e-12, 1 - 1e-12)
+        return np.log10(np.where(self.bit, p, 1.0 - p)).sum(axis=0)
+
+
+def gram_scores(grams: DataFrame) -> DataFrame:
+    """(key, total, log10p) for byte strings (key; n in training texts, total in all): the
+    probability of their last byte by the tree of all n."""
+    spark = grams.sparkSession
+    grams = materialize(grams, "grams")
+    parts = grams.count() // GRAMS_PER_PART + 1
+    dealt = grams.withColumn("part", F.pmod(F.xxhash64(
+        F.expr("shiftright(key, 8) & 65535")), F.lit(parts)).cast("int"))
+
+    def lower(pdf: pd.DataFrame) -> Lower:
+        return Lower(pdf["key"].to_numpy(np.int64).view(_U), pdf["n"].to_numpy(np.float64))
+
+    def tops(pdf: pd.DataFrame) -> pd.DataFrame:
+        t = lower(pdf)
+        return pd.DataFrame({"top": t.top, "zeros": t.zeros, "ones": t.ones, "below": t.below})
+
+    sums = (dealt.groupBy("part").applyInPandas(
+        tops, "top long, zeros double, ones double, below double").groupBy("top")
+        .agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "below")])
+        .toPandas())  # at most 256 x 255 rows
+    zeros, ones, below = np.zeros((3, 256, 256))
+    at = sums["top"].to_numpy(np.int64)
+    for a, c in ((zeros, "zeros"), (ones, "ones"), (below, "below")):
+        a.ravel()[at] = sums[c].to_numpy(np.float64)
+    pe = log_kt(zeros, ones)
+    pw = np.logaddexp(pe, below) - math.log(2)
+    all_zeros, all_ones = zeros.sum(axis=0), ones.sum(axis=0)
+    root = log_kt(all_zeros, all_ones)
+    stop = np.exp(root - np.logaddexp(root, pw.sum(axis=0)))
+    acc, weight = stop * (all_ones + 0.5) / (all_zeros + all_ones + 1.0), 1.0 - stop
+    stop = np.exp(pe - math.log(2) - pw)
+    above = spark.sparkContext.broadcast((
+        (acc + weight * stop * (ones + 0.5) / (zeros + ones + 1.0)).ravel(),
+        (weight * (1.0 - stop)).ravel()))
+
+    def scores(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"key": pdf["key"], "total": pdf["total"],
+                             "log10p": lower(pdf).log10(*above.value)})
+
+    return materialize(dealt.groupBy("part").applyInPandas(
+        scores, "key long, total long, log10p double"), "gram-scores")
+
+
+def frequent_grams(scores: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and scores of the byte strings that occur most, at most FREQUENT_GRAMS: all
+    above a number of occurrences, so that nothing is sorted."""
+    level = F.floor(F.log2("total") * 8).cast("int")
+    sizes = {r["level"]: r["n"] for r in scores.groupBy(level.alias("level")).agg(
+        F.count(F.lit(1)).alias("n")).collect()}  # at most 8 x 63 rows
+    least, held = 8 * 64, 0
+    for x in sorted(sizes, reverse=True):
+        held += sizes[x]
+        if held > FREQUENT_GRAMS:
+            break
+        least = x
+    top = scores.where(level >= least).select("key", F.col("log10p").cast("float")).toArrow()
+    keys, logs = (top[c].to_numpy() for c in ("key", "log10p"))
+    order = np.argsort(keys)  # 48 bits: never negative
+    return keys[order].view(_U), logs[order]
+
+
+_SCORED = ("gram long, tf int, part int, block long, doc_id long, held boolean, at int, n_tokens long, model double, "
            "base double, known long, words binary, counts binary, sizes binary, docs binary, "
            "tfs binary")
 
 
 def _score_texts(rows: DataFrame, model, frequent, parts: int) -> DataFrame:
-    """One row per text (its number in the block, model score, and the terms of frequent words
-    as counts); one per block and hash range: postings of all other words."""
+    """One row per text (its number in the block, and of frequent words and byte strings the terms
+    and the score); one per block and hash range: postings of all other words; one per text and
+    other byte string (gram): its occurrences (tf)."""
     shift = _U(64 - parts.bit_length() + 1)
+    def looked_up(low, off, keys, logs):
+        """Score per text, and (text, byte string, n) of strings that are not in the table."""
+        g, size = _grams(low, off)
+        uniq, back = np.unique(g, return_inverse=True)
+        value, known = np.zeros(len(uniq)), np.zeros(len(uniq), bool)
+        if len(keys):
+            pos = np.minimum(np.searchsorted(keys, uniq), len(keys) - 1)
+            known = keys[pos] == uniq
+            value = np.where(known, logs[pos], 0.0).astype(np.float64)
+        other = ~known[back]
+        doc = np.repeat(np.arange(len(size)), size)[other]
+        pair, n = np.unique(back[other].astype(np.int64) * len(size) + doc, return_counts=True)
+        return (K.per_doc_sum(value[back], size), pair % len(size),
+                uniq[pair // len(size)].view(np.int64), n)
+
     kinds = {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(),
              "binary": pa.binary()}
     schema = pa.schema([(n, kinds[t]) for n, t in (c.split() for c in _SCORED.split(", "))])
@@ -418,13 +563,19 @@ def _score_texts(rows: DataFrame, model, frequent, parts: int) -> DataFrame:
             m = model.value
             common, logs = frequent.value
             held = batch.column(1).to_numpy(zero_copy_only=False)
+            block = int(np.random.default_rng().integers(1 << 62))
             score, words, doc, tokens, base, known = [], [], [], [], [], []
             for a, _, buf, off in K.chunks(batch.column(2)):
                 low = K.FOLD[buf]
                 with np.errstate(over="ignore"):
                     w, per = _words(low, off)
-                full, coded, n = padded(low, off)
-                score.append(K.per_doc_sum(m.log10(full)[coded[DEPTH:]].astype(np.float64), n))
+                sums, rare_doc, rare, n = looked_up(low, off, *m)
+                score.append(sums)
+                for i in range(0, len(rare), 100_000):
+                    part = slice(i, i + 100_000)
+                    yield rows_of(len(rare[part]), block=np.full(len(rare[part]), block),
+                                  at=(rare_doc[part] + a).astype(np.int32), gram=rare[part],
+                                  tf=n[part].astype(np.int32))
                 tokens.append(per + 1)
                 d = np.repeat(np.arange(len(per)), per)
                 if len(common):
@@ -439,7 +590,6 @@ def _score_texts(rows: DataFrame, model, frequent, parts: int) -> DataFrame:
                     known.append(np.zeros(len(per)))
                 words.append(w)
                 doc.append(d + a)
-            block = int(np.random.default_rng().integers(1 << 62))
             n_docs = batch.num_rows
             yield rows_of(n_docs, block=np.full(n_docs, block), doc_id=batch.column(0),
                           held=batch.column(1), at=np.arange(n_docs, dtype=np.int32),
@@ -524,11 +674,18 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     small = {(r["kind"], r["key"]): r["n"] for r in counted.where("kind > 0").collect()}
     tokens, n_docs = small.get((2, 0), 0), small.get((2, 1), 0)
     counts = np.array([small.get((1, int(k)), 0) for k in common.view(np.int64)], np.float64)
-    model = fit_model(counted.where("kind = 0").select("key", "n"))
+    scores = gram_scores(counted.where("kind IN (0, 3)").groupBy("key").agg(
+        F.sum(F.when(F.col("kind") == 0, F.col("n")).otherwise(0)).alias("n"),
+        F.sum("n").alias("total")))
+    model = frequent_grams(scores)
     parts = 1 << max(4, (int(tokens * 1.2) // TOKENS_PER_PART).bit_length())
+    shared = spark.sparkContext.broadcast(model)
     scored = materialize(_score_texts(
-        rows, spark.sparkContext.broadcast(model),
+        rows, shared,
         spark.sparkContext.broadcast((common, (np.log10(counts + 1.0), counts))), parts), "scored")
+    shared.destroy()
+    del model
+    K.trim()
     terms = materialize(scored.where("part IS NOT NULL").select(
         "part", "block", "words", "counts", "sizes", "docs", "tfs").groupBy("part").applyInPandas(
             _terms, _TERMS), "terms")
@@ -537,13 +694,16 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     per_text = terms.where("block >= 0").groupBy("block").applyInPandas(
         _block_terms, "block long, at int, terms double, more long")
     each = math.log10(tokens + vocab + 1)
-    own = scored.where("part IS NULL").select("block", "at", "doc_id", "held", "n_tokens", "model",
+    other = (scored.where("gram IS NOT NULL").select("block", "at", F.col("gram").alias("key"), "tf")
+             .join(scores.select("key", "log10p"), "key")
+             .groupBy("block", "at").agg(F.sum(F.col("tf") * F.col("log10p")).alias("other")))
+    own = scored.where("part IS NULL AND gram IS NULL").select("block", "at", "doc_id", "held", "n_tokens", "model",
                                               "base", "known")
-    both = own.join(per_text, ["block", "at"], "left")
+    both = own.join(per_text, ["block", "at"], "left").join(other, ["block", "at"], "left")
     base = (F.col("base") + F.coalesce("terms", F.lit(0.0)) + F.lit(math.log10(n_docs + 1))
             - F.col("n_tokens") * F.lit(each))
     return both.select(
         "doc_id", F.col("held").alias("held_out"), "n_tokens",
         (F.col("known") + F.coalesce("more", F.lit(0)) + F.lit(1 if n_docs else 0)).alias("n_known"),
         F.lit(int(tokens)).cast("long").alias("train_tokens"), base.alias("base_score"),
-        F.col("model").alias("score"))
+        (F.col("model") + F.coalesce("other", F.lit(0.0))).alias("score"))

@@ -394,6 +394,23 @@ def test_bounded_tree_is_a_distribution(spark, monkeypatch):
     assert np.allclose((10 ** used).sum(axis=1), 1, atol=1e-4)
 
 
+@pytest.mark.parametrize("frequent", [0, 300])
+def test_scores_use_every_context(spark, monkeypatch, frequent):
+    """Neither a bound on contexts nor on looked-up strings changes a score; tasks are many."""
+    monkeypatch.setattr(ctw, "MAX_CONTEXTS", 40)
+    monkeypatch.setattr(ctw, "FREQUENT_GRAMS", frequent, raising=False)
+    monkeypatch.setattr(ctw, "GRAMS_PER_PART", 200, raising=False)
+    rng = random.Random(21)
+    rows = [(i, _words(rng, 15) + " aaaa" * (i % 3)) for i in range(40)] + [
+        (40, ""), (41, None), (42, "\u4e16\u754c \u00fc")]
+    held = {d for d, _ in rows if zlib.crc32(str(d).encode()) % 7 == 2}
+    tree = brute.ByteTree([t for d, t in rows if d not in held], ctw.DEPTH)
+    out = {r.doc_id: r.score for r in ctw.lm_scores(_frame(spark, rows)).collect()}
+    assert set(out) == {d for d, _ in rows}
+    for d, t in rows:
+        assert abs(out[d] - tree.log10(t)) < 1e-6 * max(1, abs(out[d]))
+
+
 # 7 ------------------------------------------------------------------------------------------
 def test_poisson_mix(spark, edge, edge_rows, empty):
     rows = [(i, "t") for i in range(20_000)]
