@@ -125,94 +125,20 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
             .where(F.col("batch_id") == F.col("_newest")).drop("_newest", "batch_id"))
 
 
-class ActivityExpiry(StatefulProcessor):
-    """Spans of activity of a content, and an event-time timer for the end of each.
-
-    Events no further apart than ``gap_us`` are one span; events that come late but within the
-    watermark join or bridge spans. When the watermark passes a span's last event by the gap,
-    nothing can extend it any more: its expiry row is sent and its state dropped. State is the
-    spans that the watermark has not closed.
-    """
-
-    STATE = "first long, last long, n long, cents long"
-
-    def __init__(self, gap_us: int):
-        self.gap = gap_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getListState("open", self.STATE)
-
-    def _due(self, span: list) -> int:
-        """The first millisecond at which the span has ended."""
-        return (span[1] + self.gap) // 1000 + 1
-
-    def _merge(self, spans: list[list]) -> list[list]:
-        out: list[list] = []
-        for span in sorted(spans):
-            if out and span[0] - out[-1][1] <= self.gap:
-                last = out[-1]
-                last[1] = max(last[1], span[1])
-                last[2] += span[2]
-                last[3] = last[3] if span[3] is None else (last[3] or 0) + span[3]
-            else:
-                out.append(span)
-        return out
-
-    def _keep(self, spans: list[list]) -> None:
-        wanted = {self._due(s) for s in spans}
-        known = set(self.handle.listTimers())
-        for t in known - wanted:
-            self.handle.deleteTimer(t)
-        for t in wanted - known:
-            self.handle.registerTimer(t)
-        if spans:
-            self.open.put([tuple(s) for s in spans])
-        else:
-            self.open.clear()
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        spans = [list(s) for s in self.open.get()]
-        size = 64
-        for row in rows:
-            spans.append([row["_us"], row["_us"], 1, row["_cents"]])
-            if len(spans) > size:  # events become spans as they are read
-                spans = self._merge(spans)
-                size = 2 * len(spans) + 64
-        self._keep(self._merge(spans))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        spans = [list(s) for s in self.open.get()]
-        over = [s for s in spans if self._due(s) <= now]
-        if over:
-            left = [s for s in spans if self._due(s) > now]
-            if left:
-                self.open.put([tuple(s) for s in left])
-            else:
-                self.open.clear()
-        for first, last, n, cents in over:
-            yield Row(content_id=key[0], first=first, expired=last + self.gap, total_events=n,
-                      cents=cents)
-
-    def close(self) -> None:
-        pass
-
-
 def expiry_sweep(stream: DataFrame, inactive_seconds: int = 900) -> DataFrame:
     """ST8: one row per content and span of activity, sent when ``inactive_seconds`` have passed
-    in event time without another event; ``stream`` has a watermark. Append mode."""
-    ship_code(stream.sparkSession)
-    rows = stream.select("content_id", "event_ts",
-                         F.unix_micros(F.col("event_ts").cast("timestamp")).alias("_us"),
-                         (F.col("engagement_seconds") * 100).cast("long").alias("_cents"))
-    swept = rows.groupBy("content_id").transformWithState(
-        ActivityExpiry(int(inactive_seconds) * 1_000_000),
-        "content_id string, first long, expired long, total_events long, cents long",
-        "append", "eventTime")
+    in event time without another event; ``stream`` has a watermark. Append mode.
+
+    Events no further apart than that are one span (Spark's session window); events that come late
+    but within the watermark join or bridge spans. The watermark closes a span: its row is sent
+    and its state dropped, so state is the open spans only.
+    """
+    cents = (F.col("engagement_seconds") * 100).cast("long")
+    span = F.session_window("event_ts", f"{int(inactive_seconds)} seconds").alias("_s")
+    swept = stream.groupBy("content_id", span).agg(
+        F.count(F.lit(1)).alias("total_events"), F.sum(cents).alias("cents"))
     return swept.select(
-        "content_id", F.timestamp_micros("first").cast("timestamp_ntz").alias("session_start"),
-        F.timestamp_micros("expired").cast("timestamp_ntz").alias("session_end"), "total_events",
+        "content_id", F.col("_s.start").cast("timestamp_ntz").alias("session_start"),
+        F.col("_s.end").cast("timestamp_ntz").alias("session_end"), "total_events",
         (F.coalesce("cents", F.lit(0)).cast("decimal(20,0)") / 100).cast("double")
         .alias("total_engagement_seconds"))

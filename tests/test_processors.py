@@ -92,6 +92,14 @@ def test_expiry_rows_are_the_closed_spans(spark, tmp_path):
     assert got == [("a", at(0), at(46), 4, 4.0), ("b", at(40), at(56), 2, 1.0)]
 
 
+def test_expiry_runs_without_calls_per_content(spark, tmp_path):
+    root = str(tmp_path)
+    _send(spark, root, [(1, "a", 0)])
+    swept = pr.expiry_sweep(_enriched(spark, root, "10 minutes"))
+    plan = swept._jdf.queryExecution().analyzed().toString()
+    assert "session_window" in plan.lower() and "TransformWithState" not in plan
+
+
 @pytest.mark.parametrize("check", ["late", "progress"])
 def test_late_rows_and_progress(spark, check):
     from eventide.plans import stream_checks as sc
