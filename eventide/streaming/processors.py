@@ -1,10 +1,9 @@
-"""Arbitrary stateful operators (``transformWithState``): bounded history (ST6) and expiry of
-inactive contents (ST8).
+"""Stateful operators: bounded history (ST6, ``transformWithState``) and expiry of inactive
+contents (ST8, session windows).
 
-State lives in RocksDB, one entry per content, so it is bounded by (contents) x (a fixed number of
-rows) and not by the executors' heap. Both processors read the rows of a content as an iterator
-and keep no more of them than the state may hold: a content with a third of all events needs
-no more memory than another. State is part of the query's checkpoint: a restarted stream goes on
+State lives in RocksDB and is bounded by (contents) x (a fixed number of rows) and not by the
+executors' heap. The history reads rows as an iterator and keeps no more of a content than the
+state may hold: a content with a third of all events needs no more memory than another. State is part of the query's checkpoint: a restarted stream goes on
 where it stopped.
 """
 
@@ -40,14 +39,21 @@ def rocksdb_state(spark: SparkSession):
             spark.conf.set(_PROVIDER, before)
 
 
+#: Groups of contents that share a state entry's timer and its calls to the state store.
+HISTORY_BUCKETS = 4096
+
+
 class RecentHistory(StatefulProcessor):
-    """The newest ``keep`` events of a content, one per event id. Every event sets the content's
-    timer anew; when the watermark passes the newest event by ``ttl_ms``, the history is dropped.
+    """The newest ``keep`` events of each content, one per event id. A content's history ends when
+    the watermark passes its newest event by ``ttl_ms``.
     (Event time, so that a replay expires what the live stream expired; Spark's own TTL counts
     processing time, and a stream with it never runs out of batches under ``availableNow``.)
-    Sends the newest ``emit`` events, numbered, whenever a batch touches the content."""
+    Sends the newest ``emit`` events, numbered, whenever a batch touches the content.
+
+    The key is a bucket of contents, so that the calls to the state store (each a message to the
+    JVM) do not grow with the catalogue. A bucket has one timer, for the first history to end."""
 
-    def __init__(self, fields: list[str], state_schema: str, keep: int, emit: int, ttl_ms: int):
+    def __init__(self, fields: list[str], state_schema, keep: int, emit: int, ttl_ms: int):
         self.fields, self.state_schema = fields, state_schema
         self.keep, self.emit, self.ttl_ms = keep, emit, ttl_ms
 
@@ -61,58 +67,80 @@ class RecentHistory(StatefulProcessor):
     def _newest(self, best: dict) -> list[tuple]:
         return sorted(best.values(), key=lambda v: (v[0], v[1]), reverse=True)[:self.keep]
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        best: dict = {}
+    def _load(self) -> dict[str, list[tuple]]:
+        """content -> its events, newest first, as they were put."""
+        histories: dict = {}
+        for value in self.kept.get():
+            value = tuple(value)
+            histories.setdefault(value[-1], []).append(value)
+        return histories
+
+    def _store(self, histories: dict[str, list[tuple]], due: int | None) -> None:
+        """Put what is left; ``due`` is the time of the timer that is set, if one is."""
+        if not histories:
+            self.kept.clear()
+        else:
+            self.kept.put([v for values in histories.values() for v in values])
+        first = min((self._due(values[0]) for values in histories.values()), default=None)
+        if first != due:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            if first is not None:
+                self.handle.registerTimer(first)
 
-        def take(value: tuple) -> None:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        kept = self._load()
+        due = min((self._due(values[0]) for values in kept.values()), default=None)
+        # rows come before timers: what the watermark has passed is gone for them, too
+        watermark = timerValues.getCurrentWatermarkInMs()
+        kept = {c: values for c, values in kept.items() if self._due(values[0]) > watermark}
+        touched: dict[str, dict] = {}
+        for row in rows:
+            value = tuple(row[f] for f in ("_us", "event_id", *self.fields, "content_id"))
+            best = touched.get(value[-1])
+            if best is None:
+                best = touched[value[-1]] = {v[1]: v for v in kept.get(value[-1], ())}
             old = best.get(value[1])
             if old is None or old[0] <= value[0]:
                 best[value[1]] = value
-
-        kept = [tuple(v) for v in self.kept.get()]
-        # rows come before timers: what the watermark has passed is gone for them, too
-        if kept and self._due(kept[0]) > timerValues.getCurrentWatermarkInMs():
-            for value in kept:
-                take(value)
-        for row in rows:
-            take(tuple(row[f] for f in ("_us", "event_id", *self.fields)))
             if len(best) > 2 * self.keep:  # never more than twice the bound
-                best = {v[1]: v for v in self._newest(best)}
-        newest = self._newest(best)
-        self.kept.put(newest)
-        due = self._due(newest[0])
-        known = set(self.handle.listTimers())
-        for t in known - {due}:
-            self.handle.deleteTimer(t)
-        if due not in known:
-            self.handle.registerTimer(due)
+                touched[value[-1]] = {v[1]: v for v in self._newest(best)}
+        for content, best in touched.items():
+            kept[content] = self._newest(best)
+        self._store(kept, due)
         record = Row("content_id", "position", "event_id", *self.fields)
-        for i, value in enumerate(newest[:self.emit]):
-            yield record(key[0], i + 1, *value[1:])
+        for content in touched:
+            for i, value in enumerate(kept[content][:self.emit]):
+                yield record(content, i + 1, *value[1:-1])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.kept.clear()  # the only timer of a content is that of its newest event
+        watermark = timerValues.getCurrentWatermarkInMs()
+        self._store({c: values for c, values in self._load().items()
+                     if self._due(values[0]) > watermark}, None)  # the timer that fired is gone
         return iter(())
 
     def close(self) -> None:
         pass
 
 
-def recent_history(stream: DataFrame, keep: int = 1000, emit: int = 50, ttl_minutes: int = 60
-                   ) -> DataFrame:
+def recent_history(stream: DataFrame, keep: int = 1000, emit: int = 50, ttl_minutes: int = 60,
+                   buckets: int = HISTORY_BUCKETS) -> DataFrame:
     """ST6: bounded history per content as stream state: for every content of a batch its newest
     ``emit`` events (the record of ``recent_events``, with ``position``). ``stream`` has a
-    watermark. Update mode."""
+    watermark. Update mode. A task holds the histories of one of ``buckets`` groups of contents;
+    a checkpoint keeps the number that it began with."""
     ship_code(stream.sparkSession)
     rec = proj.to_recent_event(stream)
     rec = rec.withColumn("_us", F.unix_micros(F.col("event_ts").cast("timestamp")))
     kinds = {f.name: f.dataType for f in rec.schema.fields}
     fields = [c for c in rec.columns if c not in ("content_id", "event_id", "event_ts", "_us")]
-    state = T.StructType([T.StructField(c, kinds[c], True) for c in ("_us", "event_id", *fields)])
+    state = T.StructType([T.StructField(c, kinds[c], True)
+                          for c in ("_us", "event_id", *fields, "content_id")])
+    rec = rec.withColumn("_bucket", F.pmod(F.xxhash64("content_id"), F.lit(int(buckets))))
     out = T.StructType([T.StructField("content_id", T.StringType()),
                         T.StructField("position", T.IntegerType()),
                         *[T.StructField(c, kinds[c]) for c in ("event_id", *fields)]])
-    return rec.groupBy("content_id").transformWithState(
+    return rec.groupBy("_bucket").transformWithState(
         RecentHistory(fields, state, int(keep), int(emit), int(ttl_minutes) * 60_000), out,
         "update", "eventTime")
 

@@ -92,6 +92,26 @@ def test_expiry_rows_are_the_closed_spans(spark, tmp_path):
     assert got == [("a", at(0), at(46), 4, 4.0), ("b", at(40), at(56), 2, 1.0)]
 
 
+def test_histories_of_one_bucket_end_apart(spark, tmp_path):
+    """Contents that share a bucket have their own bounds and ends."""
+    root = str(tmp_path)
+
+    def build(s):
+        return pr.recent_history(s, keep=3, emit=2, ttl_minutes=60, buckets=1)
+
+    _send(spark, root, [(10 * c + i, f"c{c}", c * 10 + i) for c in range(5) for i in range(4)])
+    _send(spark, root, [(1000, "far", 85)])    # watermark 75: c0 (3 + 60) and c1 (13 + 60) are over
+    _send(spark, root, [(2000 + c, f"c{c}", 86) for c in range(5)])
+    q = _run(spark, root, build, "update")
+    got = sorted((r.content_id, r.position, r.event_id)
+                 for r in pr.read_history(spark, f"{root}/out").collect())
+    want = [("far", 1, 1000)] + [(f"c{c}", 1, 2000 + c) for c in range(5)] + [
+        (f"c{c}", 2, 10 * c + 3) for c in range(2, 5)]
+    assert got == sorted(want)
+    # 1 + 2 x 1 + 3 x 3 events, one timer and the lists' bookkeeping
+    assert q.recentProgress[-1].stateOperators[0].numRowsTotal <= 16
+
+
 def test_expiry_runs_without_calls_per_content(spark, tmp_path):
     root = str(tmp_path)
     _send(spark, root, [(1, "a", 0)])
