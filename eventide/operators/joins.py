@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bounds on what may be broadcast: bytes of values, and rows (each costs a hash table entry).
-DEFAULT_BROADCAST_BYTES = 64 << 20
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# Bounds on what may be broadcast: bytes of values, and rows (each costs a hash table entry). A
+# stream sends its dimension through the driver again in every micro-batch, so they are small.
+DEFAULT_BROADCAST_BYTES = 8 << 20
+DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,

@@ -227,3 +227,11 @@ def test_catalogue_refresh_is_the_same_at_any_size(spark, tmp_path, monkeypatch)
         assert process_batch(events, 0, read, Sinks())["processed_rows"] == 0
         content.write.mode("overwrite").parquet(path)
         assert process_batch(events, 1, read, Sinks())["processed_rows"] > 0
+
+
+def test_broadcasts_are_small(spark):
+    """A stream sends its dimension through the driver with every batch."""
+    from eventide.operators.joins import fits_broadcast
+    assert fits_broadcast(spark.range(50_000))
+    assert not fits_broadcast(spark.range(150_000))
+    assert not fits_broadcast(spark.range(20_000).selectExpr("id", "repeat('x', 500) AS v"))
