@@ -295,8 +295,19 @@ def _states(spark, sf_dir):
 
     def build():
         path = f"{checkpoint_dir(spark)}/eventide_states_{uuid.uuid4().hex[:12]}"
+        # facts are derived once, in as many tasks as there are cores, however few files or row
+        # groups hold the events; each batch then reads its columns of them
+        content, small = _content(spark, sf_dir)
+        raw = fx.table(spark, sf_dir, "events").repartition(
+            spark.sparkContext.defaultParallelism, "event_id", "user_id", "ts")
+        events = fx.events_from_raw(raw, fx.table(spark, sf_dir, "part").count())
+        fact = proj.to_fact(en.enrich_valid(events, content, known_small=small)).select(
+            "event_date", "event_timestamp", "content_type", "event_type", "user_id", "content_id",
+            "engagement_seconds", "engagement_pct")
+        fact.write.parquet(f"{path}/facts")
+        written = spark.read.schema(fact.schema).parquet(f"{path}/facts")
         for i in (0, 1, 2, 1):
-            write_states(_week_cut(_fact(spark, sf_dir), i), path, i)
+            write_states(_week_cut(written, i), path, i)
         return path
 
     return _memo(spark, sf_dir, "states", build)

@@ -150,3 +150,13 @@ def test_lookup_skips_row_groups_by_bloom_filter(spark, tmp_path):
     assert warehouse.lookup(spark, with_filter, "event_id", [mid], (other, other)).count() == 0
     assert warehouse.lookup(spark, with_filter, "event_id", ids[:50]).count() == 50
     enriched.unpersist()
+
+
+def test_registered_states_derive_facts_once(spark):
+    from eventide.plans import catalog
+    sf = "/root/testdata/sf0.001"
+    path = catalog._states(spark, sf)
+    facts = spark.read.parquet(f"{path}/facts")
+    assert facts.count() == catalog._fact(spark, sf).count()
+    files = facts.select(F.input_file_name().alias("f")).distinct().count()
+    assert files == spark.sparkContext.defaultParallelism  # though one row group holds the events
