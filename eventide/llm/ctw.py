@@ -671,7 +671,8 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     rows = _docs(docs)
     common = frequent_words(rows)
     counted = materialize(count_training(rows, spark.sparkContext.broadcast(common)), "counts")
-    small = {(r["kind"], r["key"]): r["n"] for r in counted.where("kind > 0").collect()}
+    # not the byte strings (kinds 0 and 3): at most FREQUENT + 2 rows
+    small = {(r["kind"], r["key"]): r["n"] for r in counted.where("kind IN (1, 2)").collect()}
     tokens, n_docs = small.get((2, 0), 0), small.get((2, 1), 0)
     counts = np.array([small.get((1, int(k)), 0) for k in common.view(np.int64)], np.float64)
     scores = gram_scores(counted.where("kind IN (0, 3)").groupBy("key").agg(
