@@ -122,7 +122,8 @@ def top_from_states(top: DataFrame, k: int, start_date=None, end_date=None, trac
     first = ranked.orderBy(F.desc("total_events"), F.desc("content_id")).limit(int(k) + 1)
     if not whole_ties:
         return first.orderBy(F.desc("total_events"), F.desc("content_id")).limit(int(k))
-    border = first.agg(F.when(F.count(F.lit(1)) > int(k), F.min("total_events"))
-                       .otherwise(0).alias("border"))  # one row
-    return (first.join(F.broadcast(border), F.col("total_events") > F.col("border"))
-            .drop("border"))
+    n = F.transform("best", lambda c: c["total_events"])
+    border = F.when(F.size("best") > int(k), F.array_min(n)).otherwise(0)
+    return (first.agg(F.collect_list(F.struct("content_id", "total_events")).alias("best"))
+            .withColumn("border", border)  # one row of at most k + 1 contents
+            .select(F.inline(F.filter("best", lambda c: c["total_events"] > F.col("border")))))
